@@ -61,10 +61,12 @@ def eligible_members(
     flag: str,
     unknown=UNKNOWN,
 ) -> DataFrame:
-    """Members whose unit belongs to a flagged group: member -> unit -> group, sentinel member excluded."""
+    """Members whose unit belongs to a flagged group: member -> unit -> group, without the sentinel member."""
     flagged = groups.where(F.col(flag)).select(group_key)
     wanted = units.join(flagged, group_key, "left_semi").select(unit_key)
-    return members.where(F.col(member_key) != F.lit(unknown)).join(wanted, unit_key, "left_semi")
+    if unknown is not None:
+        members = members.where(F.col(member_key) != F.lit(unknown))
+    return members.join(wanted, unit_key, "left_semi")
 
 
 def school_days(calendar: DataFrame) -> DataFrame:

@@ -28,21 +28,14 @@ from pyspark.sql import types as T
 ACTION = "_action"
 INSERT, UPDATE, DELETE, NONE = "INSERT", "UPDATE", "DELETE", "NONE"
 
-_SRC = "_src_"
-
 Row = Callable[[str], Column]
 
 
-def _t(name: str) -> Column:
-    return F.col(name)
-
-
-def _s(name: str) -> Column:
-    return F.col(_SRC + name)
+def _side(alias: str) -> Row:
+    return lambda name: F.col(f"{alias}.`{name}`")
 
 
-def _prefixed(df: DataFrame) -> DataFrame:
-    return df.select([F.col(c).alias(_SRC + c) for c in df.columns])
+_t, _s = _side("t"), _side("s")
 
 
 def _both(tests: Sequence[Column]) -> Column:
@@ -61,7 +54,8 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def repeated_keys_fail(counts: DataFrame, keys: Sequence[str], schema: T.StructType) -> DataFrame:
     """No rows, in ``schema``; running it fails with the first repeated key it meets.
 
-    The message holds the count, so the test cannot move below the aggregate.
+    The message holds the count, so the test cannot move below the aggregate, and
+    no column is a constant, so no filter above can make the optimizer drop it.
     """
     named = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
     message = F.concat(
@@ -69,7 +63,10 @@ def repeated_keys_fail(counts: DataFrame, keys: Sequence[str], schema: T.StructT
     )
     repeated = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.col("_n") < 1)
     return counts.where(repeated).select(
-        [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        [
+            (F.col(f.name) if f.name in keys else message.try_cast(f.dataType)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
     )
 
 
@@ -109,15 +106,19 @@ def merge(
     insert = [c for c in source.columns if c in names] if insert is None else list(insert)
     used = [c for c in source.columns if c in {*keys, *update, *insert} or changed is not None]
     source = source.select(used)
-    keyed = source.where(_no_null(keys))
+    # Both joins take this one frame, without renaming, so that its shuffle can be shared.
+    keyed = source.where(_no_null(keys)).alias("s")
+    same_key = _both([_t(k) == _s(k) for k in keys])
 
     counts = key_counts(source, keys)
-    known = _known_rows(target, keyed, keys, schema, changed, update, gone, gone_if)
+    known = _known_rows(
+        target.alias("t").join(keyed, same_key, "left"), keys, schema, changed, update, gone, gone_if
+    )
 
     # Reading the count here too makes both uses of ``counts`` the same shuffle.
     wanted = counts.where("_n > 0").select(keys)
     hits = target.select(keys).distinct().join(wanted, keys, "left_semi")
-    new = _new_rows(keyed.join(hits, keys, "left_anti"), schema, insert)
+    new = _new_rows(keyed.join(hits.alias("t"), same_key, "left_anti"), schema, insert)
     unmatched = _new_rows(source.where(~_no_null(keys)), schema, insert)
 
     return (
@@ -127,9 +128,8 @@ def merge(
     )
 
 
-def _known_rows(target, keyed, keys, schema, changed, update, gone, gone_if) -> DataFrame:
-    joined = target.join(_prefixed(keyed), _both([_t(k) == _s(k) for k in keys]), "left")
-    # ``keyed`` has no null key, so after the left join the key itself says whether there was a match.
+def _known_rows(joined, keys, schema, changed, update, gone, gone_if) -> DataFrame:
+    # The source side has no null key, so after the left join its key says whether there was a match.
     matched = _s(keys[0]).isNotNull()
     updated = matched if changed is None else matched & F.coalesce(changed(_t, _s), F.lit(False))
     left_over = F.lit(False)
@@ -137,24 +137,20 @@ def _known_rows(target, keyed, keys, schema, changed, update, gone, gone_if) ->
         left_over = ~matched & (F.lit(True) if gone_if is None else F.coalesce(gone_if(_t), F.lit(False)))
     resets = gone if isinstance(gone, Mapping) else {}
 
-    joined = joined.withColumn(
-        ACTION,
+    def value(field: T.StructField) -> Column:
+        old = _t(field.name)
+        if field.name in resets:
+            old = F.when(left_over, F.lit(resets[field.name]).cast(field.dataType)).otherwise(old)
+        if field.name in update:
+            old = F.when(updated, _s(field.name).cast(field.dataType)).otherwise(old)
+        return old.alias(field.name)
+
+    action = (
         F.when(updated, F.lit(UPDATE))
         .when(left_over, F.lit(UPDATE if isinstance(gone, Mapping) else DELETE))
-        .otherwise(F.lit(NONE)),
+        .otherwise(F.lit(NONE))
     )
-    # After this point an UPDATE with a match came from the source, one without is a reset.
-    out = []
-    for field in schema.fields:
-        value = _t(field.name)
-        if field.name in update:
-            value = F.when((F.col(ACTION) == UPDATE) & matched, _s(field.name).cast(field.dataType)).otherwise(value)
-        if field.name in resets:
-            value = F.when(
-                (F.col(ACTION) == UPDATE) & ~matched, F.lit(resets[field.name]).cast(field.dataType)
-            ).otherwise(value)
-        out.append(value.alias(field.name))
-    return joined.select(*out, ACTION)
+    return joined.select(*[value(f) for f in schema.fields], action.alias(ACTION))
 
 
 def _new_rows(rows: DataFrame, schema: T.StructType, insert: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "dimkeep", master: str | None = None, **extra: str) -> SparkSession:
@@ -24,3 +24,16 @@ def build_session(app: str = "dimkeep", master: str | None = None, **extra: str)
     for name, value in settings.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def cut_lineage(df: DataFrame, shared_root: str) -> DataFrame:
+    """Checkpoint in the cluster's shared folder, so that a lost executor does not mean starting over.
+
+    The folder is the session's own; only where none is set does one under
+    ``shared_root``, which every executor can reach, take its place.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        configured = context.getConf().get("spark.checkpoint.dir")
+        context.setCheckpointDir(configured or f"{shared_root}/_checkpoint")
+    return df.checkpoint()
