@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,14 @@ from dimkeep.sources.files import Files
 _COMMITS = "_commits"
 
 
+def _observed(seen: Observation) -> dict[str, int]:
+    """The counts of a finished write; none arrive if Spark found its plan to be empty and ran nothing."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        return {"rows": 0, "inserted": 0, "updated": 0, "deleted": 0}
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -100,7 +109,7 @@ class Store:
             names = [n for n in self.files.names(f"{table}/{folder}") if n.startswith(f"{partition}=")]
             written = [(int(n.split("=")[1]), f"{folder}/{n}") for n in names]
         self.files.write_text(f"{table}/{_COMMITS}/{version:08d}.json", json.dumps([*kept(live), *written]))
-        return dict(seen.get)
+        return _observed(seen)
 
     def forget(self, table: str, keep: int = 3) -> None:
         """Drop the directories that none of the last ``keep`` commits list."""
