@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimkeep.catalog.registry import Tables, query
-from dimkeep.plans import model
+from dimkeep.plans.model import schema_of
 from dimkeep.sources import sections
 from dimkeep.sources.delimited import read_delimited
 from dimkeep.sources.staging import select_renamed, typed, with_load_date
@@ -103,7 +103,7 @@ def stage_select(t: Tables) -> DataFrame:
     mapping = {"Kunde": "customer_code", "Ordre": "order_code", "Prioritet": "priority", "_extra_3": "priority", "Kladde": "draft", "Mangler": "absent"}
     staged = select_renamed(text, mapping, drop={"draft"}).where(F.col("priority").isNotNull())
     staged = with_load_date(staged, datetime(2024, 1, 31, 4))
-    schema = model._schema("order_code bigint, customer_code bigint, priority string, stg_load_date timestamp_ntz")
+    schema = schema_of("order_code bigint, customer_code bigint, priority string, stg_load_date timestamp_ntz")
     return typed(staged, schema).select(
         "order_code", "customer_code", "priority", F.date_format("stg_load_date", "yyyyMMdd").cast("int").alias("load_day")
     )

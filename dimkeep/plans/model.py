@@ -7,8 +7,22 @@ from pyspark.sql import types as T
 from dimkeep.plans.fixed_values import COLUMNS, DROPPED
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "smallint": T.ShortType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(3,1)": T.DecimalType(3, 1),
+}
+
+
+def schema_of(columns: str) -> T.StructType:
+    """``"a int, b string"`` -> schema, without needing a session."""
+    pairs = [column.split() for column in columns.replace("(3,1)", "(3;1)").split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind.replace(";", ",")]) for name, kind in pairs])
 
 
 def _columns(kind: str, names: str) -> str:
@@ -61,56 +75,56 @@ GRADES = ("sp1_grade", "sp2_grade", "sps_grade", "arb1_grade", "arb2_grade", "ar
 
 TABLES: dict[str, T.StructType] = {
     **{
-        f"dim_{x}": _schema(f"{x}_code int, {x}_name string")
+        f"dim_{x}": schema_of(f"{x}_code int, {x}_name string")
         for x in ("municipality", "citizenship", "country", "language", "school_type", "student_type")
     },
-    "dim_main_school": _schema("main_school_code int, main_school_name string, include_absence boolean"),
-    "dim_school": _schema(
+    "dim_main_school": schema_of("main_school_code int, main_school_name string, include_absence boolean"),
+    "dim_school": schema_of(
         "school_code int, school_name string, school_owner string, school_type_code int, main_school_code int"
     ),
-    "dim_school_district": _schema("school_district_code int, school_district_name string"),
-    "dim_field_name": _schema("field_name string, description string"),
-    "dim_student_sensitive": _schema(
+    "dim_school_district": schema_of("school_district_code int, school_district_name string"),
+    "dim_field_name": schema_of("field_name string, description string"),
+    "dim_student_sensitive": schema_of(
         f"student_id int, {_columns('string', _PERSON)}, birth_date date, last_seen string"
     ),
-    "dim_student": _schema(
+    "dim_student": schema_of(
         "student_id int, age int, student_level int, grade_level int, class_track string, class_label string, "
         f"school_district_code int, photo_permission string, transport_permission string, {_columns('boolean', ' '.join(FLAGS))}, "
         "municipality_code int, paying_mun_code int, school_code int, student_type_code int, citizenship_code int, "
         "country_code int, language_code int, previous_main_school_code int"
     ),
-    "dim_date": _schema(
+    "dim_date": schema_of(
         "date_id int, full_date date, is_weekend boolean, is_vacation_day boolean, school_year_label string"
     ),
     **{
-        f"dim_{x}": _schema(f"{x}_code int, {x}_name string")
+        f"dim_{x}": schema_of(f"{x}_code int, {x}_name string")
         for x in ("class_type", "action_type", "referral_reason", "event_type", "subject", "discipline")
     },
-    "dim_exam_type": _schema("exam_type_code string, exam_type_name string"),
-    "fact_enrollment": _schema(
+    "dim_exam_type": schema_of("exam_type_code string, exam_type_name string"),
+    "fact_enrollment": schema_of(
         "student_id int, school_code int, school_name string, school_type_code int, class_name string, "
         "class_type_code int, student_grade_level int, home_grade_level int, track string, from_date_id int, to_date_id int"
     ),
-    "fact_student_action": _schema(
+    "fact_student_action": schema_of(
         "student_id int, action_type_code int, referral_reason_code int, from_date_id int, to_date_id int, "
         "hours string, hours_outside_teaching string"
     ),
-    "fact_student_event": _schema("student_id int, event_type_code int, date_id int"),
-    "fact_student_field": _schema("student_id int, field_name string, field_value string"),
-    "fact_student_relocation": _schema("student_id int, municipality_code int, relocation_date_id int"),
-    "fact_absence_daily": _schema(
+    "fact_student_event": schema_of("student_id int, event_type_code int, date_id int"),
+    "fact_student_field": schema_of("student_id int, field_name string, field_value string"),
+    "fact_student_relocation": schema_of("student_id int, municipality_code int, relocation_date_id int"),
+    "fact_absence_daily": schema_of(
         "student_id int, absence_reason_code string, date_id int, school_code int, grade_level smallint, "
         "track string, absence_value decimal(3,1), lesson string"
     ),
-    "fact_absence_lesson": _schema(
+    "fact_absence_lesson": schema_of(
         "student_id int, absence_reason_code string, date_id int, lesson_number int, subject_code int, "
         "school_code int, grade_level smallint, track string, absence_value decimal(3,1)"
     ),
-    "fact_grade": _schema(
+    "fact_grade": schema_of(
         "student_id int, subject_code int, discipline_code int, grade_level int, school_year int, fs10 string, "
         f"{_columns('string', ' '.join(GRADES))}, school_code int, exam_type_code string"
     ),
-    "fact_student_snapshot": _schema(
+    "fact_student_snapshot": schema_of(
         "date_id int, student_id int, school_code int, municipality_code int, paying_mun_code int, "
         "student_type_code int, citizenship_code int, country_code int, language_code int, grade_level int, "
         f"class_track string, student_level int, gender string, age int, {_columns('smallint', ' '.join(FLAGS))}"
