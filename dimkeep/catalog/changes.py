@@ -153,6 +153,7 @@ def _merge_absence(t: Tables) -> DataFrame:
         & (old("date_id") >= 20240115)
         & old("buyer"),
         markers=["buyer"],
+        unique=True,
     )
 
 

@@ -21,7 +21,7 @@ def events_as_absence(events: DataFrame) -> DataFrame:
         "user_id",
         F.to_date("ts").alias("day"),
         day_key(F.to_date("ts")).alias("date_id"),
-        F.when(F.col("value") >= 30, 5).when(F.col("value") >= 2, 7).otherwise(6).alias("kind"),
+        F.when(F.col("value") >= 90, 5).when(F.col("value") >= 10, 7).otherwise(6).alias("kind"),
         F.col("event_type").alias("reason"),
         F.when(number >= 90, "x").otherwise(F.floor(number / 10).cast("string")).alias("level"),
         F.when(hour < 12, RULES.first_part).when(hour >= 18, RULES.last_part).alias("part"),
@@ -44,7 +44,7 @@ def events_rollup(rows: DataFrame) -> DataFrame:
 
 _ABSENCE = """
     SELECT user_id, CAST(ts AS DATE) AS day, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_id,
-           CASE WHEN value >= 30 THEN 5 WHEN value >= 2 THEN 7 ELSE 6 END AS kind, event_type AS reason,
+           CASE WHEN value >= 90 THEN 5 WHEN value >= 10 THEN 7 ELSE 6 END AS kind, event_type AS reason,
            CASE WHEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) >= 90 THEN 'x'
                 ELSE CAST(CAST(regexp_extract(props, '[0-9]+') AS INTEGER) // 10 AS VARCHAR) END AS level,
            CASE WHEN hour(ts) < 12 THEN 'første' WHEN hour(ts) >= 18 THEN 'sidste' END AS part,

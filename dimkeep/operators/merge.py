@@ -85,6 +85,7 @@ def merge(
     gone: str | Mapping[str, object] | None = None,
     gone_if: Callable[[Row], Column] | None = None,
     markers: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Bring ``target`` up to date with ``source``, matching on ``keys`` (same names on both sides).
 
@@ -95,6 +96,7 @@ def merge(
               or a mapping column -> value they are reset to.
     gone_if   ``(t) -> Column``: the rows ``gone`` applies to (default: all).
     markers   target columns that exist only for ``gone_if``; they are not part of the result.
+    unique    the source was grouped by the keys, so there is nothing to check.
 
     Keys match by ``=``: a null key never matches, so such source rows are always
     new. A repeated non-null source key fails the job and is named in the error.
@@ -110,22 +112,21 @@ def merge(
     keyed = source.where(_no_null(keys)).alias("s")
     same_key = _both([_t(k) == _s(k) for k in keys])
 
-    counts = key_counts(source, keys)
     known = _known_rows(
         target.alias("t").join(keyed, same_key, "left"), keys, schema, changed, update, gone, gone_if
     )
 
+    counts = key_counts(source, keys)
     # Reading the count here too makes both uses of ``counts`` the same shuffle.
-    wanted = counts.where("_n > 0").select(keys)
+    wanted = (keyed if unique else counts.where("_n > 0")).select(keys)
     hits = target.select(keys).distinct().join(wanted, keys, "left_semi")
     new = _new_rows(keyed.join(hits.alias("t"), same_key, "left_anti"), schema, insert)
     unmatched = _new_rows(source.where(~_no_null(keys)), schema, insert)
 
-    return (
-        known.unionByName(new)
-        .unionByName(unmatched)
-        .unionByName(repeated_keys_fail(counts, keys, _with_action(schema)))
-    )
+    result = known.unionByName(new).unionByName(unmatched)
+    if unique:
+        return result
+    return result.unionByName(repeated_keys_fail(counts, keys, _with_action(schema)))
 
 
 def _known_rows(joined, keys, schema, changed, update, gone, gone_if) -> DataFrame:

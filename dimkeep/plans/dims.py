@@ -99,7 +99,7 @@ def school(
             ]
         )
 
-    return merge(target, schools, ["school_code"], changed=changed)
+    return merge(target, schools, ["school_code"], changed=changed, unique=True)
 
 
 def _insert_numbered(target: DataFrame, rows: DataFrame, natural: str, key: str) -> DataFrame:

@@ -230,6 +230,7 @@ def absence_daily(fact, rollup, eligible, as_of: date) -> DataFrame:
         & (t("date_id") >= start)
         & t(_ELIGIBLE),
         markers=[_ELIGIBLE],
+        unique=True,
     )
 
 

@@ -21,8 +21,10 @@ def read_extract(spark: SparkSession, path, file: str) -> DataFrame:
         return read_delimited(spark, path)
     mapping = fixed.COLUMNS[fixed.FILES[file]]
     lines = read_lines(spark, path)
-    wanted = [c for c in section_columns(lines) if c in mapping or c in mapping.values()]
-    return parse_sections(lines, wanted)
+    if len(set(mapping.values())) == len(mapping):
+        return parse_sections(lines, [c for c in mapping if c != "row_type"])
+    # Two source columns share a name: which one comes first is up to the files.
+    return parse_sections(lines, [c for c in section_columns(lines) if c in mapping])
 
 
 def stage(parsed: DataFrame, table: str, moment: datetime) -> DataFrame:
@@ -42,7 +44,10 @@ def load_staging(warehouse: Warehouse, folder: str, moment: datetime) -> dict[st
     loaded = {}
     for file, table in fixed.FILES.items():
         parsed = read_extract(warehouse.spark, f"{folder}/{file}", file)
-        loaded[table] = 0
-        if not parsed.isEmpty():
-            loaded[table] = warehouse.store.replace(table, stage(parsed, table, moment))
+        staged = stage(parsed, table, moment)
+        if file in fixed.SECTIONED:
+            # Nothing is filtered here, so the rows written say whether the file was empty.
+            loaded[table] = warehouse.store.replace(table, staged, unless_empty=True)
+        else:
+            loaded[table] = 0 if parsed.isEmpty() else warehouse.store.replace(table, staged)
     return loaded

@@ -20,6 +20,7 @@ from dimkeep.functions.text import windows_line
 
 SEPARATOR = ";"
 HEADER, TOTAL = "2", "3"
+EXTRA = "_extra_"
 # Blocks of a table of lines hold 2^16 of them.
 BLOCK_BITS = 16
 # What Python's strip() removes, as far as it occurs in single-byte text.
@@ -81,7 +82,7 @@ def _data_rows(lines: DataFrame) -> DataFrame:
             F.last("_last", ignorenulls=True).over(earlier).alias("_inherited"),
         )
     )
-    above = Window.partitionBy("path", "block").orderBy("ln")
+    above = Window.partitionBy("path", "block").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
     rows = lines.withColumn("_own", F.last(header_ln, ignorenulls=True).over(above)).join(
         blocks, ["path", "block"]
     )
@@ -96,33 +97,27 @@ def _data_rows(lines: DataFrame) -> DataFrame:
     )
 
 
-def _section_names(lines: DataFrame, rows: DataFrame) -> DataFrame:
-    """Column names of every section that has rows: ``(path, section, names)``.
-
-    Blank names at the end of a header are dropped; where rows reach further than
-    the header, ``_extra_N`` names are added, N counting header positions from 0.
-    """
-    widths = rows.groupBy("path", "section").agg(F.max(_last_filled(_cells(F.col("line")))).alias("_width"))
-    headers = lines.where(_is_header()).select(
-        "path", F.col("ln").alias("section"), _cells(F.col("line")).alias("_cells")
-    )
+def _headers(lines: DataFrame) -> DataFrame:
+    """Every header with its names, blank ones at the end dropped: ``(path, section, names)``."""
     # Cell 0 is the row type, so the header's own columns are the cells after it.
-    named = F.greatest(_last_filled(F.slice("_cells", 2, F.size("_cells"))), F.lit(0))
-    extra = F.when(
-        F.col("_width") - 1 > F.col("_named"), F.sequence(F.col("_named"), F.col("_width") - 2)
-    ).otherwise(F.array().cast("array<int>"))
+    cells = F.slice(_cells(F.col("line")), 2, F.size(_cells(F.col("line"))))
     return (
-        headers.join(widths, ["path", "section"])
-        .withColumn("_named", F.coalesce(named, F.lit(0)))
-        .select(
-            "path",
-            "section",
-            F.concat(
-                F.slice("_cells", F.lit(2), F.col("_named")),
-                F.transform(extra, lambda n: F.concat(F.lit("_extra_"), n.cast("string"))),
-            ).alias("names"),
-        )
+        lines.where(_is_header())
+        .select("path", F.col("ln").alias("section"), cells.alias("_cells"))
+        .select("path", "section", F.slice("_cells", F.lit(1), F.coalesce(_last_filled(F.col("_cells")), F.lit(0))).alias("names"))
+    )
+
+
+def _widened(headers: DataFrame, rows: DataFrame) -> DataFrame:
+    """Headers of sections that have rows. Where rows reach further than the header, ``_extra_N``
+    names are added, N counting header positions from 0."""
+    widths = rows.groupBy("path", "section").agg(F.max(_last_filled(_cells(F.col("line")))).alias("_width"))
+    named = F.size("names")
+    extra = F.when(F.col("_width") - 1 > named, F.sequence(named, F.col("_width") - 2)).otherwise(
+        F.array().cast("array<int>")
     )
+    names = F.concat("names", F.transform(extra, lambda n: F.concat(F.lit(EXTRA), n.cast("string"))))
+    return headers.join(widths, ["path", "section"]).select("path", "section", names.alias("names"))
 
 
 def section_columns(lines: DataFrame) -> list[str]:
@@ -131,7 +126,7 @@ def section_columns(lines: DataFrame) -> list[str]:
     Like a header read of a flat file this runs a job; only the distinct names
     come back. Blank names inside a header have no use as a column and are left out.
     """
-    names = _section_names(lines, _data_rows(lines))
+    names = _widened(_headers(lines), _data_rows(lines))
     found = (
         names.select("path", "section", F.posexplode("names").alias("pos", "name"))
         .where("name != ''")
@@ -151,8 +146,12 @@ def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None) -> Da
     """
     wanted = section_columns(lines) if columns is None else list(columns)
     rows = _data_rows(lines)
+    headers = _headers(lines)
+    # Only added columns depend on the rows; without them one pass over the rows is enough.
+    if any(name.startswith(EXTRA) for name in wanted):
+        headers = _widened(headers, rows)
     # Where each wanted column sits is worked out once per section, not per row.
-    places = _section_names(lines, rows).select(
+    places = headers.select(
         "path",
         "section",
         F.array(*[F.array_position("names", F.lit(name)).cast("int") for name in wanted]).alias("_at"),

@@ -67,10 +67,12 @@ class Store:
 
     # -- writing -----------------------------------------------------------
 
-    def replace(self, table: str, df: DataFrame, partition: str | None = None) -> int:
-        """New content for the whole table; returns its rows."""
+    def replace(
+        self, table: str, df: DataFrame, partition: str | None = None, *, unless_empty: bool = False
+    ) -> int:
+        """New content for the whole table; returns its rows. ``unless_empty`` keeps the old content if there are none."""
         rows = [F.count(F.lit(1)).alias("rows")]
-        return self._write(table, df, partition, rows, lambda live: [])["rows"]
+        return self._write(table, df, partition, rows, lambda live: [], unless_empty)["rows"]
 
     def append(self, table: str, df: DataFrame, partition: str | None = None) -> int:
         rows = [F.count(F.lit(1)).alias("rows")]
@@ -90,26 +92,31 @@ class Store:
 
         return self._write(table, changed, partition, count_columns(), kept)
 
-    def _write(self, table, df, partition, counts: Sequence[Column], kept) -> dict[str, int]:
-        seen = Observation(f"write_{table}")
-        rows = df.observe(seen, *counts)
-        if ACTION in df.columns:
-            rows = survivors(rows)
+    def _write(self, table, df, partition, counts: Sequence[Column], kept, unless_empty=False) -> dict[str, int]:
         live = self._live(table)
         version = self._version(table) + 1
         folder = f"v={version:08d}"
-        if partition is None:
-            rows.write.mode("overwrite").parquet(f"{self.files.root}/{table}/{folder}")
-            written = [(None, folder)]
-        else:
+        if partition is not None:
             # Even files per partition; a large partition is split over several tasks.
-            rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(
-                f"{self.files.root}/{table}/{folder}"
-            )
+            df = df.hint("rebalance", partition)
+        # Observed after the last shuffle: there, tasks that run again are not counted twice.
+        seen = Observation(f"write_{table}")
+        rows = df.observe(seen, *counts)
+        if ACTION in df.columns:
+            rows = survivors(rows)
+        writer = rows.write.mode("overwrite")
+        if partition is not None:
+            writer = writer.partitionBy(partition)
+        writer.parquet(f"{self.files.root}/{table}/{folder}")
+        written = [(None, folder)]
+        if partition is not None:
             names = [n for n in self.files.names(f"{table}/{folder}") if n.startswith(f"{partition}=")]
             written = [(int(n.split("=")[1]), f"{folder}/{n}") for n in names]
-        self.files.write_text(f"{table}/{_COMMITS}/{version:08d}.json", json.dumps([*kept(live), *written]))
-        return _observed(seen)
+        seen_counts = _observed(seen)
+        if not (unless_empty and seen_counts["rows"] == 0):
+            commit = json.dumps([*kept(live), *written])
+            self.files.write_text(f"{table}/{_COMMITS}/{version:08d}.json", commit)
+        return seen_counts
 
     def forget(self, table: str, keep: int = 3) -> None:
         """Drop the directories that none of the last ``keep`` commits list."""
