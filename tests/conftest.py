@@ -9,7 +9,7 @@ def spark():
         "tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
         },
