@@ -4,9 +4,11 @@ The first field of a line says what it is: ``2`` a header, ``3`` a sum line,
 anything else a data row of that type. Line 1 is metadata.
 
 The header a row belongs to is the last one above it, so the rows of a file form
-a chain. The chain is cut into blocks: headers are carried within a block by a
-window and between blocks over one summary row per block, so a file that holds
-most of the data is still spread over many tasks.
+a chain. The chain is cut into blocks. One summary row per block holds the
+headers inside it and the one it inherits from earlier blocks; joined to the
+lines it tells each row its header. So a file that holds most of the data is
+still spread over many tasks, and the lines themselves are neither shuffled nor
+sorted as long as the summary is small enough to broadcast.
 """
 
 from __future__ import annotations
@@ -21,8 +23,9 @@ from dimkeep.functions.text import windows_line
 SEPARATOR = ";"
 HEADER, TOTAL = "2", "3"
 EXTRA = "_extra_"
-# Blocks of a table of lines hold 2^16 of them.
-BLOCK_BITS = 16
+# Blocks hold at most 2^14 lines; up to this many blocks and headers are broadcast.
+BLOCK_BITS = 14
+BROADCAST_BLOCKS = 100_000
 # What Python's strip() removes, as far as it occurs in single-byte text.
 _SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f "
 
@@ -61,63 +64,101 @@ def _is_header() -> Column:
     return F.substring_index("line", SEPARATOR, 1) == HEADER
 
 
-def _data_rows(lines: DataFrame) -> DataFrame:
-    """Data rows below a header: ``(path, section, line)``, where section is the ``ln`` of the header."""
-    if "block" not in lines.columns:
-        lines = lines.withColumn("block", F.shiftright("ln", BLOCK_BITS))
-    header_ln = F.when(_is_header(), F.col("ln"))
+def _blocked(lines: DataFrame) -> DataFrame:
+    return lines if "block" in lines.columns else lines.withColumn("block", F.shiftright("ln", BLOCK_BITS))
 
-    # One row per block: where it starts, its last header, and what it inherits from earlier blocks.
+
+def _block_summary(lines: DataFrame) -> tuple[DataFrame, bool]:
+    """One row per block: its headers as (ln, line) in order, and the last header before it.
+
+    The summary is looked up first. If it has few blocks and headers it comes back
+    as a local table, fit to be broadcast; otherwise it stays a distributed plan.
+    """
+    header = F.when(_is_header(), F.struct("ln", "line"))
+    # Line 1 never counts as a header, whatever it starts with.
     chain = Window.partitionBy("path").orderBy("block")
-    earlier = chain.rowsBetween(Window.unboundedPreceding, -1)
+    opens_file = F.row_number().over(chain) == 1
     blocks = (
         lines.groupBy("path", "block")
-        .agg(F.min("ln").alias("_from"), F.max(header_ln).alias("_last"))
-        .withColumn("_metadata_ln", F.when(F.row_number().over(chain) == 1, F.col("_from")))
-        .withColumn("_last", F.when(~F.equal_null("_last", "_metadata_ln"), F.col("_last")))
+        .agg(F.min("ln").alias("_from"), F.sort_array(F.collect_list(header)).alias("_found"))
+        .withColumn("metadata_ln", F.when(opens_file, F.col("_from")))
+        .withColumn("own", F.filter("_found", lambda h: ~F.equal_null(h["ln"], F.col("metadata_ln"))))
         .select(
             "path",
             "block",
-            "_metadata_ln",
-            F.last("_last", ignorenulls=True).over(earlier).alias("_inherited"),
+            "metadata_ln",
+            "own",
+            F.last(_last_of("own"), ignorenulls=True)
+            .over(chain.rowsBetween(Window.unboundedPreceding, -1))
+            .alias("inherited"),
         )
     )
-    above = Window.partitionBy("path", "block").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
-    rows = lines.withColumn("_own", F.last(header_ln, ignorenulls=True).over(above)).join(
-        blocks, ["path", "block"]
-    )
-    # Line 1 never counts as a header, whatever it starts with.
-    own = F.when(~F.equal_null("_own", "_metadata_ln"), F.col("_own"))
+    head = blocks.limit(BROADCAST_BLOCKS + 1).collect()
+    if len(head) > BROADCAST_BLOCKS or sum(len(b["own"]) for b in head) > BROADCAST_BLOCKS:
+        return blocks, False
+    return lines.sparkSession.createDataFrame(head, blocks.schema), True
+
+
+def _last_of(items) -> Column:
+    items = F.col(items) if isinstance(items, str) else items
+    return F.get(items, F.size(items) - 1)
+
+
+def _marked(lines: DataFrame, marks: DataFrame, small: bool) -> DataFrame:
+    """Data rows below a header with the mark of that header: ``(path, line, mark)``.
+
+    ``marks`` has the blocks with one struct per header, ``ln`` first.
+    """
     kind = F.substring_index("line", SEPARATOR, 1)
+    above = F.filter("own", lambda mark: mark["ln"] < F.col("ln"))
     return (
-        rows.withColumn("section", F.coalesce(own, F.col("_inherited")))
-        .where(F.col("section").isNotNull() & ~F.equal_null("ln", "_metadata_ln"))
-        .where(~kind.isin(HEADER, TOTAL) & ~_is_blank(F.col("line")))
-        .select("path", "section", "line")
+        lines.where(~kind.isin(HEADER, TOTAL) & ~_is_blank(F.col("line")))
+        .join(F.broadcast(marks) if small else marks, ["path", "block"])
+        .where(~F.equal_null("ln", "metadata_ln"))
+        .select("path", "line", F.coalesce(_last_of(above), F.col("inherited")).alias("mark"))
+        .where(F.col("mark").isNotNull())
     )
 
 
-def _headers(lines: DataFrame) -> DataFrame:
-    """Every header with its names, blank ones at the end dropped: ``(path, section, names)``."""
+def _names(header: Column) -> Column:
+    """Column names of a header line; blank ones at the end are dropped."""
     # Cell 0 is the row type, so the header's own columns are the cells after it.
-    cells = F.slice(_cells(F.col("line")), 2, F.size(_cells(F.col("line"))))
-    return (
-        lines.where(_is_header())
-        .select("path", F.col("ln").alias("section"), cells.alias("_cells"))
-        .select("path", "section", F.slice("_cells", F.lit(1), F.coalesce(_last_filled(F.col("_cells")), F.lit(0))).alias("names"))
+    cells = F.slice(_cells(header), 2, F.size(_cells(header)))
+    return F.slice(cells, F.lit(1), F.coalesce(_last_filled(cells), F.lit(0)))
+
+
+def _extra_position(name: str) -> int | None:
+    """N of ``_extra_N``."""
+    number = name.removeprefix(EXTRA)
+    return int(number) if name.startswith(EXTRA) and number.isdigit() else None
+
+
+def _marks(blocks: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """The blocks, each header reduced to the cells of the wanted columns: worked out per header, not per row."""
+
+    def cell(names: Column, name: str) -> Column:
+        place = F.array_position(names, F.lit(name)).cast("int")
+        added = _extra_position(name)
+        if added is None:
+            return place
+        return F.when((place == 0) & (F.size(names) <= added), F.lit(added + 1)).otherwise(place)
+
+    def mark(header: Column) -> Column:
+        names = _names(header["line"])
+        at = F.array(*[cell(names, name) for name in wanted]).cast("array<int>")
+        return F.struct(header["ln"].alias("ln"), F.size(names).alias("named"), at.alias("at"))
+
+    return blocks.withColumn("own", F.transform("own", mark)).withColumn(
+        "inherited", F.when(F.col("inherited").isNotNull(), mark(F.col("inherited")))
     )
 
 
-def _widened(headers: DataFrame, rows: DataFrame) -> DataFrame:
-    """Headers of sections that have rows. Where rows reach further than the header, ``_extra_N``
-    names are added, N counting header positions from 0."""
-    widths = rows.groupBy("path", "section").agg(F.max(_last_filled(_cells(F.col("line")))).alias("_width"))
-    named = F.size("names")
-    extra = F.when(F.col("_width") - 1 > named, F.sequence(named, F.col("_width") - 2)).otherwise(
-        F.array().cast("array<int>")
+def _widths(lines: DataFrame, blocks: DataFrame, small: bool) -> DataFrame:
+    """How far the rows of each section reach, white space aside: ``(path, section, width)``."""
+    rows = _marked(lines, _marks(blocks, []), small)
+    return rows.groupBy("path", F.col("mark.ln").alias("section")).agg(
+        F.max(_last_filled(_cells(F.col("line")))).alias("width")
     )
-    names = F.concat("names", F.transform(extra, lambda n: F.concat(F.lit(EXTRA), n.cast("string"))))
-    return headers.join(widths, ["path", "section"]).select("path", "section", names.alias("names"))
 
 
 def section_columns(lines: DataFrame) -> list[str]:
@@ -126,9 +167,18 @@ def section_columns(lines: DataFrame) -> list[str]:
     Like a header read of a flat file this runs a job; only the distinct names
     come back. Blank names inside a header have no use as a column and are left out.
     """
-    names = _widened(_headers(lines), _data_rows(lines))
+    lines = _blocked(lines)
+    blocks, small = _block_summary(lines)
+    headers = blocks.select("path", F.explode("own").alias("h")).select(
+        "path", F.col("h.ln").alias("section"), _names(F.col("h.line")).alias("named")
+    )
+    # Where rows reach further than the header, ``_extra_N`` names are added, N counting its positions from 0.
+    size, reach = F.size("named"), F.col("width") - 1
+    added = F.when(reach > size, F.sequence(size, reach - 1)).otherwise(F.array().cast("array<int>"))
+    names = F.concat("named", F.transform(added, lambda n: F.concat(F.lit(EXTRA), n.cast("string"))))
     found = (
-        names.select("path", "section", F.posexplode("names").alias("pos", "name"))
+        headers.join(_widths(lines, blocks, small), ["path", "section"])
+        .select("path", "section", F.posexplode(names).alias("pos", "name"))
         .where("name != ''")
         .groupBy("name")
         .agg(F.min(F.struct("path", "section", "pos")).alias("seen"))
@@ -141,26 +191,33 @@ def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None) -> Da
 
     ``lines`` is ``(path, ln, line)``, ``ln`` counting from the top of each file;
     :func:`read_lines` adds the blocks it was read in. Columns a section does not
-    have are null, and so are empty cells; other white space is kept. Without
-    ``columns`` the names are looked up first.
+    have are null, and so are empty cells; other white space is kept. Where the
+    headers lie is looked up at once; without ``columns`` the names are, too.
     """
     wanted = section_columns(lines) if columns is None else list(columns)
-    rows = _data_rows(lines)
-    headers = _headers(lines)
-    # Only added columns depend on the rows; without them one pass over the rows is enough.
-    if any(name.startswith(EXTRA) for name in wanted):
-        headers = _widened(headers, rows)
-    # Where each wanted column sits is worked out once per section, not per row.
-    places = headers.select(
-        "path",
-        "section",
-        F.array(*[F.array_position("names", F.lit(name)).cast("int") for name in wanted]).alias("_at"),
-    )
-    cells = rows.join(places, ["path", "section"]).select(_cells(F.col("line")).alias("_cell"), "_at")
-    return cells.select(
-        F.nullif(F.get("_cell", F.lit(0)), F.lit("")).alias("row_type"),
+    lines = _blocked(lines)
+    blocks, small = _block_summary(lines)
+    rows = _marked(lines, _marks(blocks, wanted), small)
+    reaches = [F.lit(True)] * len(wanted)
+    extras = [i for i, name in enumerate(wanted) if _extra_position(name) is not None]
+    if extras:
+        # An added column exists only as far as some row of the section has text.
+        widths = _widths(lines, blocks, small)
+        rows = rows.withColumn("section", F.col("mark.ln")).join(
+            F.broadcast(widths) if small else widths, ["path", "section"]
+        )
+        for i in extras:
+            at = F.get("mark.at", F.lit(i))
+            reaches[i] = (at <= F.col("mark.named")) | (at < F.col("width"))
+    rows = rows.withColumn("_cell", _cells(F.col("line")))
+
+    def text(at: Column) -> Column:
+        return F.nullif(F.get("_cell", at), F.lit(""))
+
+    return rows.select(
+        text(F.lit(0)).alias("row_type"),
         *[
-            F.when(F.get("_at", F.lit(i)) > 0, F.nullif(F.get("_cell", F.get("_at", F.lit(i))), F.lit(""))).alias(name)
+            F.when((F.get("mark.at", F.lit(i)) > 0) & reaches[i], text(F.get("mark.at", F.lit(i)))).alias(name)
             for i, name in enumerate(wanted)
         ],
     )

@@ -112,9 +112,11 @@ def brute_force(files):
     return in_order(out)
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_random_files_in_small_blocks(spark, monkeypatch, seed):
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+@pytest.mark.parametrize("seed", range(3))
+def test_random_files_in_small_blocks(spark, monkeypatch, seed, broadcast):
     monkeypatch.setattr(sections, "BLOCK_BITS", 2)
+    monkeypatch.setattr(sections, "BROADCAST_BLOCKS", broadcast)
     rng = random.Random(seed)
     files = {}
     for f in range(4):
@@ -149,6 +151,12 @@ def test_a_file_read_in_many_splits(spark, tmp_path):
     assert all(r[f"N{int(r.row_type) % 3}"] == r.row_type for r in parsed)
 
 
+def test_lines_are_not_shuffled(spark, tmp_path):
+    lines = read_lines(spark, write(tmp_path / "h.csv", GOLDEN))
+    plan = parse_sections(lines, ["Cprnr", "Feltnavn"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_missing_file_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_lines(spark, str(tmp_path / "none.csv"))
