@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimkeep.functions.predicates import UNKNOWN
+from dimkeep.operators.skew import evenly
 
 _KEY = "_dim_key"
 
@@ -92,18 +93,17 @@ def latest_prior_parent(
 ) -> DataFrame:
     """Parent unit of the last ended stay elsewhere, for members now at ``this_unit``; ties are kept.
 
-    The last day is an aggregate joined back on (member, day), so no member's
-    stays are ever gathered in one task.
+    The last day per member is an aggregate, cut down to the members concerned
+    and joined back on (member, day): no member's stays are ever gathered in one
+    task, and the stays move once.
     """
     here = members.where(F.col(unit) == F.lit(this_unit)).select(member)
-    elsewhere = (
-        stays.where((F.col(unit) != F.lit(this_unit)) & F.col(until).isNotNull())
-        .select(member, unit, until)
-        .join(here, member, "left_semi")
+    ended = stays.where((F.col(unit) != F.lit(this_unit)) & F.col(until).isNotNull()).select(
+        member, unit, until
     )
-    last = elsewhere.groupBy(member).agg(F.max(until).alias(until))
+    last = ended.groupBy(member).agg(F.max(until).alias(until)).join(here, member, "left_semi")
     return (
-        elsewhere.join(last, [member, until], "left_semi")
+        ended.join(evenly(last), [member, until], "left_semi")
         .join(units.select(unit, parent), unit)
         .select(member, parent)
         .distinct()

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimkeep.operators.skew import distinct_keys, evenly
+
 ACTION = "_action"
 INSERT, UPDATE, DELETE, NONE = "INSERT", "UPDATE", "DELETE", "NONE"
 
@@ -119,7 +121,7 @@ def merge(
     counts = key_counts(source, keys)
     # Reading the count here too makes both uses of ``counts`` the same shuffle.
     wanted = (keyed if unique else counts.where("_n > 0")).select(keys)
-    hits = target.select(keys).distinct().join(wanted, keys, "left_semi")
+    hits = distinct_keys(target, keys).join(wanted, keys, "left_semi")
     new = _new_rows(keyed.join(hits.alias("t"), same_key, "left_anti"), schema, insert)
     unmatched = _new_rows(source.where(~_no_null(keys)), schema, insert)
 
@@ -174,7 +176,9 @@ def rows_to_insert(
     """
     keys = list(keys)
     rows = source.distinct() if distinct else source
-    new = rows.join(target.select(keys).distinct(), keys, "left_anti").select(source.columns)
+    # A small source cuts the target's keys down to its own before they move.
+    known = distinct_keys(target, keys).join(source.select(keys), keys, "left_semi")
+    new = rows.join(evenly(known), keys, "left_anti").select(source.columns)
     if distinct and set(keys) != set(source.columns):
         new = new.unionByName(repeated_keys_fail(key_counts(rows, keys), keys, new.schema))
     return new
@@ -204,7 +208,7 @@ def update_where(df: DataFrame, condition: Column, values: Mapping[str, Column])
 
 def mark_members(df: DataFrame, members: DataFrame, on: Sequence[str], marker: str) -> DataFrame:
     """Boolean column saying whether the row's ``on`` columns are among ``members``."""
-    ids = members.select(list(on)).distinct().withColumn(marker, F.lit(True))
+    ids = evenly(distinct_keys(members, on)).withColumn(marker, F.lit(True))
     return (
         df.join(ids, list(on), "left")
         .withColumn(marker, F.col(marker).isNotNull())

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimkeep.operators.skew import distinct_keys, evenly
+
 VALUE_TYPE = "decimal(3,1)"
 
 
@@ -115,5 +117,5 @@ def code_names(df: DataFrame, pairs: Sequence[tuple[str, str]], code: str, name:
 
 def with_fallback(primary: DataFrame, fallback: DataFrame, key: str) -> DataFrame:
     """The primary rows, and the fallback rows of codes the primary does not have."""
-    only = fallback.join(primary.select(key).distinct(), key, "left_anti")
+    only = fallback.join(evenly(distinct_keys(primary, [key])), key, "left_anti")
     return primary.unionByName(only.select(primary.columns))
