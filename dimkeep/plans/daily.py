@@ -39,8 +39,15 @@ class DailyLoad:
     def _eligible(self) -> list[DataFrame]:
         return self._named("dim_student", "dim_school", "dim_main_school")
 
-    def _change(self, table: str, changed: DataFrame, read: int | None = None, parts=None) -> Counts:
-        done = self.wh.apply(table, changed, parts)
+    def _change(self, table: str, changed: DataFrame, read: int | None = None) -> Counts:
+        done = self.wh.apply(table, changed)
+        return {"read": read, "inserted": done["inserted"], "updated": done["updated"]}
+
+    def _change_parts(
+        self, table: str, merged: Callable[[DataFrame], DataFrame], candidates: list[int], read: int
+    ) -> Counts:
+        """Merge into a table in parts. The candidates are only read; the parts with a change are written."""
+        done = self.wh.apply_where_changed(table, merged, candidates)
         return {"read": read, "inserted": done["inserted"], "updated": done["updated"]}
 
     def _append(self, table: str, rows: DataFrame, read: int | None = None) -> Counts:
@@ -138,12 +145,10 @@ class DailyLoad:
         history, read = self._history(fixed.ENROLLMENT)
         rows = facts.of_type(history, fixed.ENROLLMENT).where("valid_from is not null")
         parts = self._touched("fact_enrollment", rows.select("valid_from"))
-        changed = facts.enrollment(
-            history,
-            self.wh.table("fact_enrollment", parts),
-            *self._named("dim_student_sensitive", "dim_school", "dim_school_type", "dim_class_type"),
+        dimensions = self._named("dim_student_sensitive", "dim_school", "dim_school_type", "dim_class_type")
+        return self._change_parts(
+            "fact_enrollment", lambda fact: facts.enrollment(history, fact, *dimensions), parts, read
         )
-        return self._change("fact_enrollment", changed, read, parts)
 
     def student_action(self) -> Counts:
         history, read = self._history(fixed.ACTION)
@@ -196,32 +201,29 @@ class DailyLoad:
         resettable = [p for p in self.wh.parts(table) if p >= first]
         parts = sorted({*resettable, *self._touched(table, rollup.select("date_id"))})
         eligible = facts.absence_students(*self._eligible).select("student_id")
-        changed = facts.absence_daily(self.wh.table(table, parts), rollup, eligible, self.as_of)
-        counts = self._change(table, changed, read, parts)
+        counts = self._change_parts(
+            table, lambda fact: facts.absence_daily(fact, rollup, eligible, self.as_of), parts, read
+        )
         return {**counts, "inserted": inserted + counts["inserted"]}
 
     def absence_lesson(self) -> Counts:
         staged = self.wh.staging("student_absence")
         rows = facts.of_type(staged, fixed.LESSON).where(F.col("absence_reason").isin(list(fixed.REASONS)))
         parts = self._touched("fact_absence_lesson", rows.select("absence_date"))
-        changed = facts.absence_lesson(
-            staged,
-            self.wh.table("fact_absence_lesson", parts),
-            self.wh.table("dim_student_sensitive"),
-            *self._eligible,
-            self.wh.table("dim_subject"),
+        others = [self.wh.table("dim_student_sensitive"), *self._eligible, self.wh.table("dim_subject")]
+        return self._change_parts(
+            "fact_absence_lesson", lambda fact: facts.absence_lesson(staged, fact, *others), parts, rows.count()
         )
-        return self._change("fact_absence_lesson", changed, rows.count(), parts)
 
     def grade(self) -> Counts:
         staged = self.wh.staging("student_grades")
         parts = self._touched("fact_grade", staged.select("school_year_int"))
-        changed = facts.grade(
-            staged,
-            self.wh.table("fact_grade", parts),
-            *self._named("dim_student_sensitive", "dim_subject", "dim_discipline", "dim_school", "dim_exam_type"),
+        dimensions = self._named(
+            "dim_student_sensitive", "dim_subject", "dim_discipline", "dim_school", "dim_exam_type"
+        )
+        return self._change_parts(
+            "fact_grade", lambda fact: facts.grade(staged, fact, *dimensions), parts, staged.count()
         )
-        return self._change("fact_grade", changed, staged.count(), parts)
 
     def student_snapshot(self) -> Counts:
         old = self.wh.table("fact_student_snapshot").count()

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimkeep.operators.merge import ACTION
+from dimkeep.operators.merge import ACTION, NONE
 from dimkeep.plans.model import PART, PARTS, TABLES, staged, staged_types
 from dimkeep.sources.staging import typed
 from dimkeep.sources.store import Store
@@ -55,6 +55,22 @@ class Warehouse:
     def apply(self, name: str, changed: DataFrame, parts: Iterable[int] | None = None) -> dict[str, int]:
         return self.store.apply(name, *self._stored(name, changed), None if parts is None else list(parts))
 
+    def apply_where_changed(
+        self, name: str, merged: Callable[[DataFrame], DataFrame], candidates: Iterable[int]
+    ) -> dict[str, int]:
+        """Merge into a table in parts, writing only the parts in which some row changes.
+
+        A first run of the merge, over the key and change columns alone, finds
+        them. The part is a function of a key column, so no row leaves its part.
+        """
+        key = F.col(PARTS[name][0])
+        news = merged(self.table(name, candidates)).where(F.col(ACTION) != NONE)
+        parts = self.parts_in(name, key, news)
+        if not parts:
+            return {"inserted": 0, "updated": 0, "deleted": 0}
+        changed = merged(self.table(name, parts)).where(part_of(name, key).isin(parts))
+        return self.apply(name, changed, parts)
+
     def parts_in(self, name: str, column: Column, rows: DataFrame) -> list[int]:
         """Parts of ``name`` that ``rows`` fall into; one number per month or year comes back."""
         return sorted(r[0] for r in rows.select(part_of(name, column).alias(PART)).distinct().collect())

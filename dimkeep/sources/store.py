@@ -83,14 +83,15 @@ class Store:
     ) -> dict[str, int]:
         """Write the result of a table change and count its actions on the way.
 
-        With ``parts`` only these partitions are replaced; ``changed`` must hold all their rows.
+        With ``parts`` only these partitions are replaced; ``changed`` must hold all
+        their rows. A change that turns out to be none is not committed.
         """
         replaced = None if parts is None else set(parts)
 
         def kept(live):
             return [] if replaced is None else [d for d in live if d[0] not in replaced]
 
-        return self._write(table, changed, partition, count_columns(), kept)
+        return self._write(table, changed, partition, count_columns(), kept, unless_empty=True)
 
     def _write(self, table, df, partition, counts: Sequence[Column], kept, unless_empty=False) -> dict[str, int]:
         live = self._live(table)
@@ -113,7 +114,7 @@ class Store:
             names = [n for n in self.files.names(f"{table}/{folder}") if n.startswith(f"{partition}=")]
             written = [(int(n.split("=")[1]), f"{folder}/{n}") for n in names]
         seen_counts = _observed(seen)
-        if not (unless_empty and seen_counts["rows"] == 0):
+        if any(seen_counts.values()) or not unless_empty:
             commit = json.dumps([*kept(live), *written])
             self.files.write_text(f"{table}/{_COMMITS}/{version:08d}.json", commit)
         return seen_counts

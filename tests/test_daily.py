@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from dimkeep.operators.merge import merge
 from dimkeep.plans.audit import Run, run_log, step_log
 from dimkeep.plans.daily import DailyLoad, run_daily
 from dimkeep.plans.staging_load import load_staging
@@ -294,3 +295,27 @@ def test_failure_is_logged_and_stops_the_run(spark, tmp_path):
 
 def test_a_second_warehouse_starts_empty(spark, tmp_path):
     assert Warehouse(spark, str(tmp_path)).table("fact_absence_daily").count() == 0
+
+
+def test_only_parts_with_a_change_are_written(spark, tmp_path, rows):
+    wh = Warehouse(spark, str(tmp_path))
+    columns = "student_id int, date_id int, school_code int, absence_reason_code string"
+    wh.replace("fact_absence_daily", spark.createDataFrame([(1, 20260901, 1, "S"), (1, 20261001, 1, "S"), (1, 20261101, 1, "S")], columns))
+    source = spark.createDataFrame([(1, 20260901, 1, "S"), (1, 20261001, 1, "U"), (2, 20261201, 1, "S")], columns)
+
+    def merged(fact):
+        return merge(
+            fact, source, ["student_id", "date_id", "school_code"],
+            changed=lambda t, s: t("absence_reason_code") != s("absence_reason_code"),
+        )
+
+    done = wh.apply_where_changed("fact_absence_daily", merged, [202609, 202610, 202612])
+    assert done == {"inserted": 1, "updated": 1, "deleted": 0}
+    assert rows(wh.table("fact_absence_daily"), *source.columns) == [
+        (1, 20260901, 1, "S"), (1, 20261001, 1, "U"), (1, 20261101, 1, "S"), (2, 20261201, 1, "S")
+    ]
+    assert {value: folder.split("/")[0] for value, folder in wh.store._live("fact_absence_daily")} == {
+        202609: "v=00000001", 202610: "v=00000002", 202611: "v=00000001", 202612: "v=00000002"
+    }
+    assert wh.apply_where_changed("fact_absence_daily", merged, [202609, 202610, 202612])["inserted"] == 0
+    assert wh.store._version("fact_absence_daily") == 2
