@@ -76,13 +76,13 @@ def without(table: DataFrame, gone: DataFrame) -> DataFrame:
 # -- loads from the history -----------------------------------------------------
 
 
-def enrollment(history, target, people, schools, school_types, class_types) -> DataFrame:
+def enrollment_rows(history, people, schools, school_types, class_types) -> DataFrame:
     rows = of_type(history, fixed.ENROLLMENT).where(F.col("valid_from").isNotNull())
     rows = with_student(rows, people)
     rows = with_code(rows, schools, "school_code")
     rows = with_code(rows, school_types, "school_type_code")
     rows = with_code(rows, class_types, "class_type_code")
-    source = rows.select(
+    return rows.select(
         "student_id",
         "school_code",
         "school_name",
@@ -95,6 +95,9 @@ def enrollment(history, target, people, schools, school_types, class_types) -> D
         F.col("valid_from").cast("int").alias("from_date_id"),
         F.col("valid_to").try_cast("int").alias("to_date_id"),
     )
+
+
+def enrollment(history, target, people, schools, school_types, class_types) -> DataFrame:
     blanks = {
         "to_date_id": -1,
         "school_name": "",
@@ -107,7 +110,7 @@ def enrollment(history, target, people, schools, school_types, class_types) -> D
     }
     return merge(
         target,
-        source,
+        enrollment_rows(history, people, schools, school_types, class_types),
         ["student_id", "school_code", "from_date_id"],
         changed=lambda t, s: any_of([differs(t(c), s(c), blank) for c, blank in blanks.items()]),
     )
@@ -130,13 +133,15 @@ def student_action(history, people, action_types, reasons) -> DataFrame:
     )
 
 
-def student_event(history, target, people, event_types) -> DataFrame:
-    """New rows only; repeats within one extract all go in."""
+def event_rows(history, people, event_types) -> DataFrame:
     rows = of_type(history, fixed.EVENT).where(F.col("event_date").isNotNull())
     rows = with_code(with_student(rows, people), event_types, "event_type_code")
-    source = rows.select(
-        "student_id", "event_type_code", F.col("event_date").cast("int").alias("date_id")
-    )
+    return rows.select("student_id", "event_type_code", F.col("event_date").cast("int").alias("date_id"))
+
+
+def student_event(history, target, people, event_types) -> DataFrame:
+    """New rows only; repeats within one extract all go in."""
+    source = event_rows(history, people, event_types)
     return rows_to_insert(target, source, ["student_id", "event_type_code", "date_id"], distinct=False)
 
 
@@ -151,16 +156,20 @@ def student_field(history, target, people, field_names) -> DataFrame:
     )
 
 
-def student_relocation(history, target, people, municipalities) -> DataFrame:
-    """New rows only; the municipality is not part of the key."""
+def relocation_rows(history, people, municipalities) -> DataFrame:
     rows = of_type(history, fixed.RELOCATION).where(F.col("moved_date").isNotNull())
     rows = lookup(
         with_student(rows, people), municipalities, "moved_to_mun_code", "municipality_code",
         {"municipality_code": "municipality_code"}, default=UNKNOWN,
     )
-    source = rows.select(
+    return rows.select(
         "student_id", "municipality_code", F.col("moved_date").cast("int").alias("relocation_date_id")
     )
+
+
+def student_relocation(history, target, people, municipalities) -> DataFrame:
+    """New rows only; the municipality is not part of the key."""
+    source = relocation_rows(history, people, municipalities)
     return rows_to_insert(target, source, ["student_id", "relocation_date_id"], distinct=False)
 
 
@@ -234,8 +243,7 @@ def absence_daily(fact, rollup, eligible, as_of: date) -> DataFrame:
     )
 
 
-def absence_lesson(staged, target, people, students, schools, main_schools, subjects) -> DataFrame:
-    """Lesson registrations. Only a changed reason updates a row; grade and track then come along."""
+def lesson_rows(staged, people, students, schools, main_schools, subjects) -> DataFrame:
     rows = of_type(staged, fixed.LESSON).where(F.col("absence_reason").isin(list(fixed.REASONS)))
     # Here the sentinel student is not excluded.
     eligible = eligible_members(
@@ -245,7 +253,7 @@ def absence_lesson(staged, target, people, students, schools, main_schools, subj
     ).select("student_id")
     rows = with_student(rows, people).join(eligible, "student_id", "left_semi")
     rows = with_code(with_code(rows, subjects, "subject_code"), schools, "school_code")
-    source = rows.select(
+    return rows.select(
         "student_id",
         F.col("absence_reason").alias("absence_reason_code"),
         F.col("absence_date").cast("int").alias("date_id"),
@@ -256,9 +264,13 @@ def absence_lesson(staged, target, people, students, schools, main_schools, subj
         F.col("class_track").alias("track"),
         F.lit(1).cast("decimal(3,1)").alias("absence_value"),
     )
+
+
+def absence_lesson(staged, target, people, students, schools, main_schools, subjects) -> DataFrame:
+    """Lesson registrations. Only a changed reason updates a row; grade and track then come along."""
     return merge(
         target,
-        source,
+        lesson_rows(staged, people, students, schools, main_schools, subjects),
         ["student_id", "date_id", "lesson_number", "school_code", "subject_code"],
         changed=lambda t, s: differs(t("absence_reason_code"), s("absence_reason_code")),
         update=["absence_reason_code", "grade_level", "track"],
@@ -268,14 +280,14 @@ def absence_lesson(staged, target, people, students, schools, main_schools, subj
 # -- grades and snapshot --------------------------------------------------------
 
 
-def grade(staged, target, people, subjects, disciplines, schools, exam_types) -> DataFrame:
+def grade_rows(staged, people, subjects, disciplines, schools, exam_types) -> DataFrame:
     rows = with_student(staged, people)
     rows = with_code(rows, subjects, "subject_code", F.col("subject_code").try_cast("int"))
     rows = with_code(rows, disciplines, "discipline_code", F.col("discipline_code").try_cast("int"))
     rows = with_code(rows, schools, "school_code")
     rows = with_code(rows, exam_types, "exam_type_code", default=fixed.UNKNOWN_EXAM)
     taken = ("grade_sp1", "grade_sp2", "grade_sp_final", "grade_work1", "grade_work2", "grade_work_final", "grade_exam")
-    source = rows.select(
+    return rows.select(
         "student_id",
         "subject_code",
         "discipline_code",
@@ -287,13 +299,15 @@ def grade(staged, target, people, subjects, disciplines, schools, exam_types) ->
         "exam_type_code",
     )
 
+
+def grade(staged, target, people, subjects, disciplines, schools, exam_types) -> DataFrame:
     def changed(t, s):
         blank = [differs(t(c), s(c), "") for c in GRADES]
         return any_of([*blank, differs(t("fs10"), s("fs10")), differs(t("school_code"), s("school_code"))])
 
     return merge(
         target,
-        source,
+        grade_rows(staged, people, subjects, disciplines, schools, exam_types),
         ["student_id", "subject_code", "discipline_code", "grade_level", "school_year", "exam_type_code"],
         changed=changed,
     )
