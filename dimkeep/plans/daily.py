@@ -16,7 +16,7 @@ from dimkeep.plans.audit import Run
 from dimkeep.plans.model import STUDENT_FACTS
 from dimkeep.plans.staging_load import load_staging
 from dimkeep.plans.warehouse import Warehouse
-from dimkeep.session import cut_lineage
+from dimkeep.session import written_once
 
 Counts = dict[str, int | None]
 
@@ -54,13 +54,13 @@ class DailyLoad:
         return {"read": read, "inserted": self.wh.append(table, rows)}
 
     def _touched(self, table: str, days: DataFrame) -> list[int]:
-        """Parts the source rows fall into; ``days`` holds the part column as text or number."""
-        return self.wh.parts_in(table, F.col(days.columns[0]).cast("int"), days)
+        """Parts the source rows fall into; ``days`` holds the part column alone."""
+        return self.wh.parts_in(table, F.col(days.columns[0]), days)
 
     # -- before the loads ------------------------------------------------------
 
     def cleanup(self, run: Run) -> None:
-        gone = cut_lineage(facts.departed(self.wh.table("dim_student_sensitive"), self.as_of, self.keep_years), self.wh.root)
+        gone = written_once(facts.departed(self.wh.table("dim_student_sensitive"), self.as_of, self.keep_years), self.wh.root)
         for table in STUDENT_FACTS:
             run.step(
                 "cleanup", f"Cleanup {table}",
@@ -143,12 +143,10 @@ class DailyLoad:
 
     def enrollment(self) -> Counts:
         history, read = self._history(fixed.ENROLLMENT)
-        rows = facts.of_type(history, fixed.ENROLLMENT).where("valid_from is not null")
-        parts = self._touched("fact_enrollment", rows.select("valid_from"))
         dimensions = self._named("dim_student_sensitive", "dim_school", "dim_school_type", "dim_class_type")
-        return self._change_parts(
-            "fact_enrollment", lambda fact: facts.enrollment(history, fact, *dimensions), parts, read
-        )
+        rows = written_once(facts.enrollment_rows(history, *dimensions), self.wh.root)
+        parts = self._touched("fact_enrollment", rows.select("from_date_id"))
+        return self._change_parts("fact_enrollment", lambda fact: facts.enrollment(fact, rows), parts, read)
 
     def student_action(self) -> Counts:
         history, read = self._history(fixed.ACTION)
@@ -191,7 +189,7 @@ class DailyLoad:
         inserted = self.wh.append(table, baseline)
 
         # The rollup feeds both joins of the merge and the choice of parts; it is computed once.
-        rollup = cut_lineage(
+        rollup = written_once(
             facts.absence_rollup(
                 staged, self.wh.table("dim_student_sensitive"), *self._eligible, calendar, self.as_of
             ),
@@ -208,22 +206,20 @@ class DailyLoad:
 
     def absence_lesson(self) -> Counts:
         staged = self.wh.staging("student_absence")
-        rows = facts.of_type(staged, fixed.LESSON).where(F.col("absence_reason").isin(list(fixed.REASONS)))
-        parts = self._touched("fact_absence_lesson", rows.select("absence_date"))
+        read = facts.of_type(staged, fixed.LESSON).where(F.col("absence_reason").isin(list(fixed.REASONS))).count()
         others = [self.wh.table("dim_student_sensitive"), *self._eligible, self.wh.table("dim_subject")]
-        return self._change_parts(
-            "fact_absence_lesson", lambda fact: facts.absence_lesson(staged, fact, *others), parts, rows.count()
-        )
+        rows = written_once(facts.lesson_rows(staged, *others), self.wh.root)
+        parts = self._touched("fact_absence_lesson", rows.select("date_id"))
+        return self._change_parts("fact_absence_lesson", lambda fact: facts.absence_lesson(fact, rows), parts, read)
 
     def grade(self) -> Counts:
         staged = self.wh.staging("student_grades")
-        parts = self._touched("fact_grade", staged.select("school_year_int"))
         dimensions = self._named(
             "dim_student_sensitive", "dim_subject", "dim_discipline", "dim_school", "dim_exam_type"
         )
-        return self._change_parts(
-            "fact_grade", lambda fact: facts.grade(staged, fact, *dimensions), parts, staged.count()
-        )
+        rows = written_once(facts.grade_rows(staged, *dimensions), self.wh.root)
+        parts = self._touched("fact_grade", rows.select("school_year"))
+        return self._change_parts("fact_grade", lambda fact: facts.grade(fact, rows), parts, staged.count())
 
     def student_snapshot(self) -> Counts:
         old = self.wh.table("fact_student_snapshot").count()

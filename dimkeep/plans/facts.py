@@ -97,7 +97,7 @@ def enrollment_rows(history, people, schools, school_types, class_types) -> Data
     )
 
 
-def enrollment(history, target, people, schools, school_types, class_types) -> DataFrame:
+def enrollment(target, rows) -> DataFrame:
     blanks = {
         "to_date_id": -1,
         "school_name": "",
@@ -110,7 +110,7 @@ def enrollment(history, target, people, schools, school_types, class_types) -> D
     }
     return merge(
         target,
-        enrollment_rows(history, people, schools, school_types, class_types),
+        rows,
         ["student_id", "school_code", "from_date_id"],
         changed=lambda t, s: any_of([differs(t(c), s(c), blank) for c, blank in blanks.items()]),
     )
@@ -266,11 +266,11 @@ def lesson_rows(staged, people, students, schools, main_schools, subjects) -> Da
     )
 
 
-def absence_lesson(staged, target, people, students, schools, main_schools, subjects) -> DataFrame:
+def absence_lesson(target, rows) -> DataFrame:
     """Lesson registrations. Only a changed reason updates a row; grade and track then come along."""
     return merge(
         target,
-        lesson_rows(staged, people, students, schools, main_schools, subjects),
+        rows,
         ["student_id", "date_id", "lesson_number", "school_code", "subject_code"],
         changed=lambda t, s: differs(t("absence_reason_code"), s("absence_reason_code")),
         update=["absence_reason_code", "grade_level", "track"],
@@ -300,14 +300,14 @@ def grade_rows(staged, people, subjects, disciplines, schools, exam_types) -> Da
     )
 
 
-def grade(staged, target, people, subjects, disciplines, schools, exam_types) -> DataFrame:
+def grade(target, rows) -> DataFrame:
     def changed(t, s):
         blank = [differs(t(c), s(c), "") for c in GRADES]
         return any_of([*blank, differs(t("fs10"), s("fs10")), differs(t("school_code"), s("school_code"))])
 
     return merge(
         target,
-        grade_rows(staged, people, subjects, disciplines, schools, exam_types),
+        rows,
         ["student_id", "subject_code", "discipline_code", "grade_level", "school_year", "exam_type_code"],
         changed=changed,
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,14 +28,20 @@ def build_session(app: str = "dimkeep", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame, shared_root: str) -> DataFrame:
-    """Checkpoint in the cluster's shared folder, so that a lost executor does not mean starting over.
+def written_once(df: DataFrame, shared_root: str) -> DataFrame:
+    """``df`` written to the cluster's shared folder and read back.
 
-    The folder is the session's own; only where none is set does one under
-    ``shared_root``, which every executor can reach, take its place.
+    What several joins use is then computed once, a lost executor does not mean
+    starting over, and the joins know its real size and read only the columns
+    they need. The folder is the one ``spark.checkpoint.dir`` names; only where
+    none is set does one under ``shared_root``, which every executor can reach,
+    take its place.
     """
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(configured or f"{shared_root}/_checkpoint")
-    return df.checkpoint()
+    path = f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
