@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkeep.llm import token_counts
+from dimkeep.llm import packing, token_counts
 from dimkeep.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 ORACLES: dict[str, str] = {}
 
 
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 4,096 tokens."""
+    packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document, and where to cut it for 1,024 tokens."""
     counted = token_counts.count_prefixes(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), budgets=(1024,))
