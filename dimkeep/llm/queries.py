@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkeep.llm import packing, token_counts
-from dimkeep.llm.shared import table
+from dimkeep.llm import packing, quality_classifier, token_counts
+from dimkeep.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 ORACLES: dict[str, str] = {}
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learnt from the labelled rows outside the held-out fifth."""
+    measured = stored(quality_classifier.statistics(table(spark, folder, "documents")))
+    model = quality_classifier.fit(measured.filter(~quality_classifier.held_out("doc_id")), table(spark, folder, "labels"))
+    scored = measured.select(
+        "doc_id",
+        quality_classifier.held_out("doc_id").alias("held_out"),
+        quality_classifier.score(model, F.col("statistics")).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 4,096 tokens."""
     packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
