@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkeep.llm import packing, quality_classifier, token_counts
+from dimkeep.llm import packing, quality_classifier, quality_rules, token_counts
 from dimkeep.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,20 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every document, and whether the rules' votes speak for it."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    measured = stored(quality_rules.with_measures(docs, "text", "m").drop("text"))
+    model = quality_rules.learn(measured, "m")
+    return measured.select(
+        "doc_id",
+        *(F.col("m")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
+        quality_rules.base_failed("m").alias("base_failed"),
+        quality_rules.kept(model, "m").alias("kept"),
+        quality_rules.posterior(model, "m").alias("good"),
+    )
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 4,096 tokens."""
     packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
