@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkeep.llm import packing, quality_classifier, quality_rules, token_counts
+from dimkeep.llm import near_duplicates, packing, quality_classifier, quality_rules, token_counts
 from dimkeep.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 ORACLES: dict[str, str] = {}
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, learnt from the labelled rows outside the held-out fifth."""
     measured = stored(quality_classifier.statistics(table(spark, folder, "documents")))
