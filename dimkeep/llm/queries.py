@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkeep.llm import near_duplicates, packing, quality_classifier, quality_rules, token_counts
+from dimkeep.llm import mixing, near_duplicates, packing, quality_classifier, quality_rules, token_counts
 from dimkeep.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,13 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every document when sources are mixed by the square roots of their sizes."""
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    mixed = mixing.mix(docs, mixing.target_weights(docs, power=0.5))
+    return mixed.select("doc_id", "source", "mix.*")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 4,096 tokens."""
     packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
