@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkeep.llm import mixing, near_duplicates, packing, quality_classifier, quality_rules, token_counts
+from dimkeep.llm import chat, mixing, near_duplicates, packing, quality_classifier, quality_rules, token_counts
 from dimkeep.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,54 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"))
 
 
+#: Code points of a formatted turn, and what its text says in the output.
+_ESCAPED = r"replace(replace(replace({}, '\', '\\'), '<turn ', '\b'), '</turn>', '\e')"
+
+ORACLES["op4_chat_formatting"] = f"""
+WITH rows_ AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+), sized AS (
+    SELECT *, length('<turn ' || replace({_ESCAPED.format("role")}, chr(10), '\\n') || '>' || chr(10) || {_ESCAPED.format("text")} || '</turn>' || chr(10)) AS size
+    FROM rows_
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars,
+       count(*) FILTER (role = 'assistant') AS n_examples
+FROM sized GROUP BY conv_id
+"""
+
+
+def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations formatted, and digests of what is read back from the output."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "\\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    formatted = stored(chat.format_conversations(turns.unionByName(added)))
+    turns_read = chat.read_back(formatted)
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    replies = chat.examples_of(formatted).select("conv_id", "turn", chat.unescape(F.col("reply")).alias("reply"))
+    under_mask = replies.groupBy("conv_id").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "reply"))), lambda r: r["reply"]), "").alias("said"),
+        F.count(F.lit(1)).alias("n_examples"),
+    )
+    whole = turns_read.join(formatted.select("conv_id", F.length("text").cast("long").alias("formatted_chars")), "conv_id")
+    loss = F.coalesce("said", F.lit(""))
+    return whole.join(under_mask, "conv_id", "left").select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+        F.coalesce("n_examples", F.lit(0)).alias("n_examples"),
+    )
+
+
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, learnt from the labelled rows outside the held-out fifth."""
     measured = stored(quality_classifier.statistics(table(spark, folder, "documents")))
