@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkeep.llm import chat, mixing, near_duplicates, packing, quality_classifier, quality_rules, token_counts
+from dimkeep.llm import chat, mixing, near_duplicates, packing, quality_classifier, quality_rules, token_counts, url_filter
 from dimkeep.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,5 +115,43 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "n_chars", "cut_1024")
 
 
+# The rules, and the sites that are not wanted (with all below them).
+_RULES = (
+    url_filter.Rule("net", "/", allow=False),
+    url_filter.Rule("example.net", "/en/", allow=True),
+    url_filter.Rule("example.com", "/de/", allow=False),
+    url_filter.Rule("org", "/fr/", allow=True),
+)
+_SITES = tuple(
+    f"{name}.example.{end}"
+    for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    for end in ("com", "net", "org")
+)
+
+_HOST = "translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES["op10_url_filter"] = f"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), address AS (
+    SELECT page_id, {_HOST} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+), rules(h, p, verdict) AS (VALUES {", ".join(f"('{r.host}', '{r.path}', '{'allow' if r.allow else 'block'}')" for r in _RULES)}),
+sites(site) AS (VALUES {", ".join(f"('{s}')" for s in _SITES)}),
+fit AS (
+    SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+    FROM address LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    GROUP BY page_id, host, path
+), marked AS (
+    SELECT *, EXISTS (SELECT 1 FROM sites WHERE host = site OR ends_with(host, '.' || site)) AS listed FROM fit
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed FROM marked
+"""
+
+
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether each page's address is allowed, by the rules and else by the listed sites."""
+    sites = spark.createDataFrame([(s,) for s in _SITES], "site string")
+    return url_filter.judge(table(spark, folder, "pages"), _RULES, sites)
+
+
 def queries() -> dict[str, Query]:
     return {n: q for n, q in globals().items() if n.startswith("op") and n[2].isdigit()}
