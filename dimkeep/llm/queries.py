@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkeep.llm import chat, mixing, near_duplicates, packing, quality_classifier, quality_rules, token_counts, url_filter
+from dimkeep.llm import chat, mixing, near_duplicates, nearest, packing, quality_classifier, quality_rules, token_counts, url_filter
 from dimkeep.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 ORACLES: dict[str, str] = {}
 
 
+def op1_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest of every hundredth embedding."""
+    return nearest.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """The class of near duplicates of every document."""
     return near_duplicates.near_duplicates(table(spark, folder, "documents"))
