@@ -96,15 +96,20 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(density[1] - density[0], -700, 700)))
 
 
-def statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and ``statistics`` (array of doubles) of each row; a null text counts as empty."""
+def measure(text: Column) -> Column:
+    """Statistics of a column of whole texts, an array of doubles; a null text counts as empty."""
 
     @F.pandas_udf("array<double>")
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([statistics_of(t or "") for t in batch])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), measured(F.col(text)).alias("statistics"))
+    return measured(text)
+
+
+def statistics(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id`` and ``statistics`` of each row."""
+    return docs.select(F.col(doc_id).alias("doc_id"), measure(F.col(text)).alias("statistics"))
 
 
 def fit(measured: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", label: str = "quality") -> Model:
@@ -155,18 +160,6 @@ def score(model: Model, measured: Column) -> Column:
     return scored(measured)
 
 
-def score_text(model: Model, text: Column) -> Column:
-    """Score of a column of texts, from 0 to 1; a null text counts as empty."""
-
-    @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            rows = np.array([statistics_of(t or "") for t in batch], float).reshape(len(batch), len(STATISTICS))
-            yield pd.Series(model.score(rows))
-
-    return scored(text)
-
-
 def held_out(doc_id: str, folds: int = 5) -> Column:
     """Whether a row is kept from learning: its id's checksum is divisible by ``folds``. A null id is not."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0, F.lit(False))
