@@ -1,32 +1,33 @@
 """DartMinHash: signatures of weighted sets from darts thrown at their elements.
 
-Every element owns a strip of the plane, weight upwards and rank to the right.
-Darts fall on all strips as a Poisson process with a fixed density, the same for
-every set, drawn from hashes. A set is hit by the darts below its elements'
-weights; each dart belongs to one of ``k`` coordinates, and a set keeps for each
-coordinate the dart of lowest rank. Two sets keep the same dart with the
-probability of their weighted Jaccard similarity.
+Every element owns a strip of the plane, weight upwards and rank to the right, cut
+into regions that double in height: weights below 1, from 1 to 2, from 2 to 4, ... In
+each region darts fall as a Poisson process of the same density for every set,
+drawn from hashes, so the darts of an element are the same wherever it occurs. A
+set is hit by the darts below its elements' weights; each dart belongs to one of
+``k`` coordinates, and a set keeps for each coordinate the dart of lowest rank. Two
+sets keep the same dart with the probability of their weighted Jaccard similarity.
 
 A set needs only its darts of low rank, about ``k ln k + 2k`` in all whatever its
-size. They are found in cells of one expected dart each: weights from
-``(2^v - 1) / t`` and ranks from ``2^p - 1`` on are cut into ``2^p`` by ``2^v`` cells.
+size. Within a region they come in order of rank, one hash each, until the rank
+that is looked for is passed.
 """
 
 from __future__ import annotations
 
 import math
-import re
-from functools import lru_cache
 
 import numpy as np
 import xxhash
 
-_WORD = re.compile(r"\w+")
 _GOLDEN, _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(24)])
-#: Elements whose darts are thrown together; bounds the memory of a long text.
-_TOGETHER = 1 << 15
-_COORDINATE_SEED, _WEIGHT_SEED, _RANK_SEED = np.uint64(11), np.uint64(13), np.uint64(17)
+#: Darts that are thrown together; bounds the memory of a long text.
+_TOGETHER = 1 << 18
+_WEIGHT_SEED = np.uint64(13)
+#: First guess of the rank that darts are looked for up to, times the set's weight.
+_REACH = 1.25
+
+_BLANK = bytes(b if b >= 128 or chr(b).isalnum() or chr(b) == "_" else 32 for b in range(256))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -45,8 +46,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of the words: runs of letters, digits and underscores, in lower case."""
-    words = _WORD.findall(text.lower())
+    """64-bit hashes of the words in lower case: runs without ASCII white space, marks and controls."""
+    words = text.lower().encode("utf-8", "replace").translate(_BLANK).split()
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
@@ -77,50 +78,42 @@ def similarity(a: np.ndarray, b: np.ndarray, weight_a: np.ndarray | None = None,
     return float(low / (weight_a.sum() + weight_b.sum() - low))
 
 
-@lru_cache(maxsize=4096)
-def _cells(slices: tuple[tuple[int, int, int], ...], t: float) -> tuple[np.ndarray, ...]:
-    """Key, lower weight, height, lower rank and width of the cells asked for: (v, p, rank slices) each."""
-    keys, low, high, left, wide = [], [], [], [], []
-    for v, p, n in slices:
-        height, width = 2.0 ** (v - p) / t, 2.0 ** (p - v)
-        for a in range(2**p):
-            c = np.arange(n)
-            keys.append((np.uint64(v) << np.uint64(58)) | (np.uint64(p) << np.uint64(52)) | (np.uint64(a) << np.uint64(32)) | c.astype(np.uint64))
-            low.append(np.full(n, (2**v - 1) / t + a * height))
-            high.append(np.full(n, height))
-            left.append(2**p - 1 + c * width)
-            wide.append(np.full(n, width))
-    scrambled = _mix(np.concatenate(keys).astype(np.uint64))
-    return scrambled, *(np.concatenate(x) for x in (low, high, left, wide))
-
-
-def _darts(elements: np.ndarray, weights: np.ndarray, k: int, t: float, rank: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Coordinate, rank and name of the darts below the weights, up to a rank."""
-    slices = []
-    for v in range(int(math.log2(1 + t * float(weights.max()))) + 1):
-        for p in range(int(math.log2(1 + rank)) + 1):
-            n = min(2**v, math.ceil((rank - (2**p - 1)) * 2.0 ** (v - p)))
-            if n > 0:
-                slices.append((v, p, n))
-    keys, low, high, left, wide = _cells(tuple(slices), t)
+def _region(elements: np.ndarray, weights: np.ndarray, height: tuple[float, float], number: int, t: float, rank: float):
+    """Rank and name of the darts of one region up to a rank, for elements that reach into it."""
+    rate = t * (height[1] - height[0])
+    step = int(math.ceil(rate * rank)) + 1  # darts that are thrown together; mostly all there are
+    state = _mix(elements ^ np.uint64((number * 0x632BE59BD9B4E019 + 1) % 2**64))
+    begun = np.zeros(len(elements))
+    thrown, ranks, names = 0, [], []
+    while len(state):
+        nth = np.arange(thrown + 1, thrown + step + 1, dtype=np.uint64) * _TWO
+        name = _mix(state[:, None] + nth[None, :])
+        place = np.cumsum(np.log1p(-_unit(name)) / -rate, axis=1) + begun[:, None]
+        near = place < rank
+        hit = near
+        if weights.min() < height[1]:
+            hit = near & (height[0] + _unit(_mix(name ^ _WEIGHT_SEED)) * (height[1] - height[0]) < weights[:, None])
+        ranks.append(place[hit])
+        names.append(name[hit])
+        more = near[:, -1]
+        state, weights, begun = state[more], weights[more], place[more, -1]
+        thrown += step
+    return np.concatenate(ranks), np.concatenate(names)
+
+
+def _darts(elements: np.ndarray, weights: np.ndarray, t: float, rank: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rank and name of the darts below the weights, up to a rank."""
     out = []
-    for at in range(0, len(elements), _TOGETHER):
-        some, weight = elements[at : at + _TOGETHER], weights[at : at + _TOGETHER]
-        cell = _mix(some[:, None] ^ keys[None, :])
-        count = np.searchsorted(_POISSON, _unit(cell).ravel(), side="right")
-        count[(low[None, :] >= weight[:, None]).ravel()] = 0
-        where = np.repeat(np.arange(cell.size), count)
-        nth = np.arange(len(where)) - np.repeat(np.cumsum(count) - count, count)
-        name = _mix(cell.ravel()[where] + (nth + 1).astype(np.uint64) * _TWO)
-        column = where % len(keys)
-        ranks = left[column] + _unit(_mix(name ^ _RANK_SEED)) * wide[column]
-        near = ranks < rank
-        where, column, name, ranks = where[near], column[near], name[near], ranks[near]
-        height = low[column] + _unit(_mix(name ^ _WEIGHT_SEED)) * high[column]
-        hit = height < weight[where // len(keys)]
-        out.append((name[hit], ranks[hit]))
-    name, ranks = (np.concatenate(x) for x in zip(*out))
-    return (_mix(name ^ _COORDINATE_SEED) % np.uint64(k)).astype(np.int64), ranks, name
+    top, number, low, high = float(weights.max()), 0, 0.0, 1.0
+    while low < top:
+        # so many elements at a time that their darts stay few
+        together = max(1, int(_TOGETHER / (1 + t * (high - low) * rank)))
+        inside = slice(None) if low == 0 else weights > low
+        some, weight = elements[inside], weights[inside]
+        for at in range(0, len(some), together):
+            out.append(_region(some[at : at + together], weight[at : at + together], (low, high), number, t, rank))
+        number, low, high = number + 1, high, 2 * high
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
@@ -128,15 +121,17 @@ def signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
     t = k * math.log(k) + 2 * k
     weights = np.asarray(weights, np.float64)
     total = float(weights.sum())
-    reach = 1.0
+    reach = _REACH
     while True:
-        coordinate, ranks, name = _darts(elements, weights, k, t, reach / total)
-        if len(np.unique(coordinate)) == k:
-            break
+        ranks, names = _darts(elements, weights, t, reach / total)
+        far_first = np.argsort(-ranks, kind="stable")
+        coordinate = (names[far_first] % np.uint64(k)).astype(np.int64)
+        out, met = np.zeros(k, np.uint64), np.zeros(k, bool)
+        out[coordinate] = names[far_first]  # the last one written is the nearest
+        met[coordinate] = True
+        if met.all():
+            return out
         reach *= 1.5  # a coordinate got no dart yet: look further right; nearer darts stay the same
-    order = np.lexsort((name, ranks, coordinate))
-    first = np.searchsorted(coordinate[order], np.arange(k))
-    return name[order][first]
 
 
 def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkeep.llm import chat, mixing, near_duplicates, nearest, packing, quality_classifier, quality_rules, token_counts, url_filter
+from dimkeep.llm import chat, language_id, mixing, near_duplicates, nearest, packing, quality_classifier, quality_rules, token_counts, url_filter
 from dimkeep.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,24 @@ def op1_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document and every page.
+
+    Letters are learnt from the documents outside the held-out fifth. A document's
+    source stands for its host; it has neither markup nor address.
+    """
+    docs, pages = table(spark, folder, "documents"), table(spark, folder, "pages")
+    held_out = quality_classifier.held_out("doc_id")
+    model = language_id.fit(docs.filter(~held_out))
+    none = F.lit(None).cast("string")
+    key = lambda doc, page: F.struct(doc.cast("long").alias("doc_id"), page.cast("long").alias("page_id"))
+    of_docs = docs.select(key(F.col("doc_id"), F.lit(None)).alias("key"), "text", none.alias("declared"), none.alias("suffix"), F.col("source").alias("host"))
+    of_pages = pages.select(key(F.lit(None), F.col("page_id")).alias("key"), *language_id.page_evidence(pages))
+    found = language_id.identify(of_docs.unionByName(of_pages), model)
+    out = found.select("key.doc_id", "key.page_id", "language", "confidence", "by_text")
+    return out.withColumn("held_out", held_out)
+
+
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """The class of near duplicates of every document."""
     return near_duplicates.near_duplicates(table(spark, folder, "documents"))
