@@ -91,8 +91,9 @@ def _links_in_blocks(rows: DataFrame, size: int, threshold: float, weighted: boo
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
         sigs = np.frombuffer(b"".join(block["sig"]), "<u4").reshape(len(block), -1)
-        group = pd.factorize(block["label"])[0].copy()
-        side = block["side"].to_numpy()
+        label = pd.factorize(block["label"])[0]
+        group = label.copy()
+        side, band = block["side"].to_numpy(), int(block["band"].iloc[0])
         ids, texts = block["doc_id"].to_numpy(), block["text"].to_numpy()
         sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -103,9 +104,15 @@ def _links_in_blocks(rows: DataFrame, size: int, threshold: float, weighted: boo
 
         out = []
         for i in range(len(block)):
-            near = np.flatnonzero((sigs[i] == sigs).mean(axis=1) >= least)
-            for j in near[np.argsort(-(sigs[i] == sigs[near]).mean(axis=1), kind="stable")]:
-                if group[i] == group[j] or side[i] == side[j] == 0:
+            others = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & ((side[i + 1 :] | side[i]) == 1))
+            same = sigs[others] == sigs[i]
+            share = same.mean(axis=1)
+            near = np.flatnonzero(share >= least)
+            # a pair that meets in several bands is compared in the first of them
+            first = same[near].reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1)
+            near = near[first == band]
+            for j in others[near[np.argsort(-share[near], kind="stable")]]:
+                if group[i] == group[j]:
                     continue
                 one, two = set_of(i), set_of(j)
                 if similarity(one[0], two[0], *((one[1], two[1]) if weighted else ())) >= threshold:
@@ -143,7 +150,7 @@ def near_duplicates(
     folded = known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("sig", "doc_id").alias("sig"))
     representatives = stored(folded)
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    spread = representatives.filter("bands IS NOT NULL").select("doc_id", F.explode("bands").alias("bucket"))
+    spread = representatives.filter("bands IS NOT NULL").select("doc_id", F.posexplode("bands").alias("band", "bucket"))
     full = spread.groupBy("bucket").agg(F.min("doc_id").alias("b"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
     members = stored(spread.join(full.hint("rebalance"), "bucket"))
 
@@ -156,7 +163,7 @@ def near_duplicates(
 
     # what is still apart within a bucket
     labelled = members.join(labels.hint("rebalance").withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "bucket", "doc_id", F.coalesce("label", "doc_id").alias("label")
+        "bucket", "band", "doc_id", F.coalesce("label", "doc_id").alias("label")
     )
     per_label = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     apart = (
@@ -168,6 +175,7 @@ def near_duplicates(
     blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("int")
     placed = labelled.join(apart.hint("rebalance"), "bucket").select(
         "bucket",
+        "band",
         "doc_id",
         "label",
         (F.col("label") != F.col("main")).cast("int").alias("side"),
@@ -184,7 +192,9 @@ def near_duplicates(
             F.transform(upto("_others"), lambda j: place(F.least(own, j), F.greatest(own, j))),
         )
     )
-    dealt = placed.select("bucket", "doc_id", "label", "side", F.explode(places).alias("_at")).select("bucket", "doc_id", "label", "side", "_at.i", "_at.j")
+    dealt = placed.select("bucket", "band", "doc_id", "label", "side", F.explode(places).alias("_at")).select(
+        "bucket", "band", "doc_id", "label", "side", "_at.i", "_at.j"
+    )
     carried = few.join(representatives.select("doc_id", "sig"), "doc_id")
     more = stored(_links_in_blocks(dealt.join(carried, "doc_id"), size, threshold, weighted, kind))
     final = labels if more.isEmpty() else components(links.union(more))
