@@ -265,7 +265,8 @@ def nearest(
     with each and found with each; its nearest counts. Other columns are not
     looked at. An empty table gives no rows.
 
-    The ascent ends when the ranges of all trees hold ``share`` of the vectors.
+    The ascent ends when the ranges of all trees hold ``share`` of the vectors,
+    and twice the wanted neighbours for each tree; it ends at the root if there are fewer.
     On vectors without close neighbours, where every distance is much alike,
     that must be large for a recall of 0.9; on clustered ones far less does.
     """
@@ -291,7 +292,7 @@ def nearest(
         bounds["run"].to_numpy(np.int32),
     )
     asked = entries.filter("asked").select("digest", "tree", "string", "vector")
-    levels = stored(_levels(forest, asked, runs, max(1, math.ceil(share * number)), bits))
+    levels = stored(_levels(forest, asked, runs, max(2 * neighbours * trees, math.ceil(share * number)), bits))
     found = stored(_best(forest, asked.join(levels, "digest"), runs, neighbours, bits))
 
     each = found.select("digest", F.explode("ids").alias("vec_id"), "score").distinct()
