@@ -318,4 +318,5 @@ def test_stages_on_empty_and_odd_tables(spark, tmp_path):
             docs = stage(spark, docs, str(tmp_path))
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert sorted(((r.doc_id, r.text == good) for r in docs.collect()), key=str) == ([(2, True), (None, True)] if data else [])
-        assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == (2 if data else 0)
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+        assert {r.doc_id for r in pieces} == ({2, None} if data else set())
