@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dimkeep.catalog.registry import Tables, query
 from dimkeep.plans.model import schema_of
+from dimkeep.session import Scratch
 from dimkeep.sources import sections
 from dimkeep.sources.delimited import read_delimited
 from dimkeep.sources.staging import select_renamed, typed, with_load_date
@@ -109,27 +108,22 @@ def stage_select(t: Tables) -> DataFrame:
     )
 
 
-def _shared_folder(t: Tables) -> str:
-    """A new folder every executor can reach; a temporary one only where there is no cluster."""
-    context = t.spark.sparkContext
-    shared = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir names no shared folder")
-        shared = tempfile.gettempdir()
-    return f"{shared}/dimkeep-{uuid.uuid4().hex}"
+def _scratch(t: Tables) -> Scratch:
+    """Kept until the query's result has been read, so it is not cleared here."""
+    return Scratch(t.spark, t.spark.conf.get("spark.sql.warehouse.dir"))
 
 
 @query(_SECTIONS_SQL)
 def read_section_files(t: Tables) -> DataFrame:
     """The same lines through files on disk: written as text, read back in splits, columns looked up."""
-    folder = _shared_folder(t)
+    scratch = _scratch(t)
+    folder = scratch.place()
     lines = order_lines(t)
     # A file's lines must lie in order; files hold a bounded number of keys, so this stays even.
     lines.repartition("path").sortWithinPartitions("path", "ln").select("path", F.col("line").alias("value")).write.partitionBy(
         "path"
     ).text(folder)
-    read = sections.read_lines(t.spark, folder)
+    read = sections.read_lines(t.spark, folder, scratch)
     wanted = [c for c in sections.section_columns(read) if c in _COLUMNS]
     return sections.parse_sections(read, wanted)
 
@@ -140,7 +134,7 @@ FROM customer
 """)
 def read_delimited_files(t: Tables) -> DataFrame:
     """Customers written as delimited files with quoted separators and empty cells, and read back."""
-    folder = _shared_folder(t)
+    folder = _scratch(t).place()
     cells = t.customer.select(
         F.col("c_custkey").cast("string").alias("Kode"),
         F.col("c_name").alias("Navn"),

@@ -69,7 +69,7 @@ class Run:
         try:
             counts = work()
         except Exception as error:
-            self._step_event(step, 1, job, name, FAILED, {}, str(error)[:2000])
+            self._step_event(step, 1, job, name, FAILED, {}, str(error))
             raise
         self._step_event(step, 1, job, name, SUCCESS, {f"rows_{k}": v for k, v in counts.items()})
 
@@ -80,7 +80,7 @@ class Run:
         if error is None:
             self._run_event(1, SUCCESS)
         else:
-            self._run_event(1, FAILED, str(error)[:2000])
+            self._run_event(1, FAILED, str(error))
         return False
 
 

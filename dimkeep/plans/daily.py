@@ -16,7 +16,7 @@ from dimkeep.plans.audit import Run
 from dimkeep.plans.model import STUDENT_FACTS
 from dimkeep.plans.staging_load import load_staging
 from dimkeep.plans.warehouse import Warehouse
-from dimkeep.session import written_once
+from dimkeep.session import Scratch
 
 Counts = dict[str, int | None]
 
@@ -29,6 +29,7 @@ class DailyLoad:
         self.as_of = as_of
         self.keep_years = keep_years
         self.gap_days = gap_days
+        self.scratch = Scratch(warehouse.spark, warehouse.root)
 
     # -- helpers ---------------------------------------------------------------
 
@@ -60,7 +61,7 @@ class DailyLoad:
     # -- before the loads ------------------------------------------------------
 
     def cleanup(self, run: Run) -> None:
-        gone = written_once(facts.departed(self.wh.table("dim_student_sensitive"), self.as_of, self.keep_years), self.wh.root)
+        gone = self.scratch.keep(facts.departed(self.wh.table("dim_student_sensitive"), self.as_of, self.keep_years))
         for table in STUDENT_FACTS:
             run.step(
                 "cleanup", f"Cleanup {table}",
@@ -144,7 +145,7 @@ class DailyLoad:
     def enrollment(self) -> Counts:
         history, read = self._history(fixed.ENROLLMENT)
         dimensions = self._named("dim_student_sensitive", "dim_school", "dim_school_type", "dim_class_type")
-        rows = written_once(facts.enrollment_rows(history, *dimensions), self.wh.root)
+        rows = self.scratch.keep(facts.enrollment_rows(history, *dimensions))
         parts = self._touched("fact_enrollment", rows.select("from_date_id"))
         return self._change_parts("fact_enrollment", lambda fact: facts.enrollment(fact, rows), parts, read)
 
@@ -189,11 +190,10 @@ class DailyLoad:
         inserted = self.wh.append(table, baseline)
 
         # The rollup feeds both joins of the merge and the choice of parts; it is computed once.
-        rollup = written_once(
+        rollup = self.scratch.keep(
             facts.absence_rollup(
                 staged, self.wh.table("dim_student_sensitive"), *self._eligible, calendar, self.as_of
-            ),
-            self.wh.root,
+            )
         )
         first = dates.day_key_of(dates.school_year_start_of(self.as_of)) // 100
         resettable = [p for p in self.wh.parts(table) if p >= first]
@@ -208,7 +208,7 @@ class DailyLoad:
         staged = self.wh.staging("student_absence")
         read = facts.of_type(staged, fixed.LESSON).where(F.col("absence_reason").isin(list(fixed.REASONS))).count()
         others = [self.wh.table("dim_student_sensitive"), *self._eligible, self.wh.table("dim_subject")]
-        rows = written_once(facts.lesson_rows(staged, *others), self.wh.root)
+        rows = self.scratch.keep(facts.lesson_rows(staged, *others))
         parts = self._touched("fact_absence_lesson", rows.select("date_id"))
         return self._change_parts("fact_absence_lesson", lambda fact: facts.absence_lesson(fact, rows), parts, read)
 
@@ -217,7 +217,7 @@ class DailyLoad:
         dimensions = self._named(
             "dim_student_sensitive", "dim_subject", "dim_discipline", "dim_school", "dim_exam_type"
         )
-        rows = written_once(facts.grade_rows(staged, *dimensions), self.wh.root)
+        rows = self.scratch.keep(facts.grade_rows(staged, *dimensions))
         parts = self._touched("fact_grade", rows.select("school_year"))
         return self._change_parts("fact_grade", lambda fact: facts.grade(fact, rows), parts, staged.count())
 
@@ -265,11 +265,16 @@ class DailyLoad:
         ]
 
     def run(self) -> int:
-        """All loads under one audited run; returns its id. The first failure is logged and raised."""
-        with Run(self.wh.spark, f"{self.wh.root}/_log") as run:
+        """All loads under one audited run; returns its id. The first failure is logged and raised.
+
+        Afterwards nothing is left of earlier versions of the tables, and so of
+        deleted students, nor of what the run kept for itself.
+        """
+        with self.scratch, Run(self.wh.spark, f"{self.wh.root}/_log") as run:
             self.cleanup(run)
             for job, name, work in self.steps():
                 run.step(job, name, work)
+            self.wh.tidy()
         return run.run_id
 
 

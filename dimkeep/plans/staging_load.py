@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 from dimkeep.plans import fixed_values as fixed
 from dimkeep.plans.model import staged
 from dimkeep.plans.warehouse import Warehouse
+from dimkeep.session import Scratch
 from dimkeep.sources.delimited import read_delimited
 from dimkeep.sources.sections import parse_sections, read_lines, section_columns
 from dimkeep.sources.staging import select_renamed, typed, with_load_date
 
 
-def read_extract(spark: SparkSession, path, file: str) -> DataFrame:
+def read_extract(spark: SparkSession, path, file: str, scratch: Scratch) -> DataFrame:
     """Parsed extract under its source column names. ``path`` may be a list or a glob of files of one kind."""
     if file not in fixed.SECTIONED:
         return read_delimited(spark, path)
     mapping = fixed.COLUMNS[fixed.FILES[file]]
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path, scratch)
     if len(set(mapping.values())) == len(mapping):
         return parse_sections(lines, [c for c in mapping if c != "row_type"])
     # Two source columns share a name: which one comes first is up to the files.
@@ -42,12 +43,13 @@ def load_staging(warehouse: Warehouse, folder: str, moment: datetime) -> dict[st
     the table of the day before in place; the run goes on with that.
     """
     loaded = {}
-    for file, table in fixed.FILES.items():
-        parsed = read_extract(warehouse.spark, f"{folder}/{file}", file)
-        staged = stage(parsed, table, moment)
-        if file in fixed.SECTIONED:
-            # Nothing is filtered here, so the rows written say whether the file was empty.
-            loaded[table] = warehouse.store.replace(table, staged, unless_empty=True)
-        else:
-            loaded[table] = 0 if parsed.isEmpty() else warehouse.store.replace(table, staged)
+    with Scratch(warehouse.spark, warehouse.root) as scratch:
+        for file, table in fixed.FILES.items():
+            parsed = read_extract(warehouse.spark, f"{folder}/{file}", file, scratch)
+            staged = stage(parsed, table, moment)
+            if file in fixed.SECTIONED:
+                # Nothing is filtered here, so the rows written say whether the file was empty.
+                loaded[table] = warehouse.store.replace(table, staged, unless_empty=True)
+            else:
+                loaded[table] = 0 if parsed.isEmpty() else warehouse.store.replace(table, staged)
     return loaded

@@ -71,6 +71,14 @@ class Warehouse:
         changed = merged(self.table(name, parts)).where(part_of(name, key).isin(parts))
         return self.apply(name, changed, parts)
 
+    def tidy(self) -> None:
+        """Unite tables that many small appends have scattered, then drop all that the latest versions do not need."""
+        for name in self.store.tables():
+            if name in TABLES:
+                stored = T.StructType([*TABLES[name].fields, T.StructField(PART, T.IntegerType())]) if name in PARTS else TABLES[name]
+                self.store.compact(name, stored, PART if name in PARTS else None)
+            self.store.forget(name, keep=1)
+
     def parts_in(self, name: str, column: Column, rows: DataFrame) -> list[int]:
         """Parts of ``name`` that ``rows`` fall into; one number per month or year comes back."""
         return sorted(r[0] for r in rows.select(part_of(name, column).alias(PART)).distinct().collect())

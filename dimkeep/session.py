@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dimkeep.sources.files import Files
+
 
 def build_session(app: str = "dimkeep", master: str | None = None, **extra: str) -> SparkSession:
     """Adaptive execution splits hot join partitions and picks broadcasts by measured size.
@@ -28,20 +30,36 @@ def build_session(app: str = "dimkeep", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def written_once(df: DataFrame, shared_root: str) -> DataFrame:
-    """``df`` written to the cluster's shared folder and read back.
+class Scratch:
+    """A folder of its own for what one run keeps between jobs; every executor can reach it.
 
-    What several joins use is then computed once, a lost executor does not mean
-    starting over, and the joins know its real size and read only the columns
-    they need. The folder is the one ``spark.checkpoint.dir`` names; only where
-    none is set does one under ``shared_root``, which every executor can reach,
-    take its place.
+    It lies in the folder that ``spark.checkpoint.dir`` names, and only where none
+    is set under ``root``. What several joins use is computed once that way, a
+    lost executor does not mean starting over, and the joins know the real sizes.
+    ``clear`` removes it; used in a ``with`` statement it is removed at the end.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(configured or f"{shared_root}/_checkpoint")
-    path = f"{context.getCheckpointDir()}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark = spark
+        base = spark.conf.get("spark.checkpoint.dir", None) or f"{root}/_scratch"
+        self._base, self._name = base.rstrip("/"), f"dimkeep-{uuid.uuid4().hex}"
+        self.folder = f"{self._base}/{self._name}"
+
+    def place(self) -> str:
+        """A new path inside."""
+        return f"{self.folder}/{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written once and read back."""
+        path = self.place()
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        Files(self._spark, self._base).remove(self._name)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.clear()

@@ -3,48 +3,46 @@
 The first field of a line says what it is: ``2`` a header, ``3`` a sum line,
 anything else a data row of that type. Line 1 is metadata.
 
-The header a row belongs to is the last one above it, so the rows of a file form
-a chain. The chain is cut into blocks. One summary row per block holds the
-headers inside it and the one it inherits from earlier blocks; joined to the
-lines it tells each row its header. So a file that holds most of the data is
-still spread over many tasks, and the lines themselves are neither shuffled nor
-sorted as long as the summary is small enough to broadcast.
+The header a row belongs to is the last one above it. Where a line stands is
+fixed once, when the files are read: the lines are written to a shared folder
+with their positions, and everything after that works on this copy, however the
+cluster has changed in between. A file's headers are one row, which meets its
+lines in a join; a file that holds most of the data is still spread over many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimkeep.functions.text import windows_line
+from dimkeep.operators.skew import evenly
+from dimkeep.session import Scratch
 
 SEPARATOR = ";"
 HEADER, TOTAL = "2", "3"
 EXTRA = "_extra_"
-# Blocks hold at most 2^14 lines; up to this many blocks and headers are broadcast.
-BLOCK_BITS = 14
-BROADCAST_BLOCKS = 100_000
 # What Python's strip() removes, as far as it occurs in single-byte text.
 _SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f "
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of windows-1252 files as ``(path, block, ln, line)``.
+def read_lines(spark: SparkSession, paths: str | Sequence[str], scratch: Scratch) -> DataFrame:
+    """Lines of windows-1252 files as ``(path, start, ln, line)``, kept in the scratch folder.
 
     The scan stays splittable. Row ids grow along a split and splits are ordered
-    by their offset, which is all the parser needs.
+    by their offset. Both depend on how one execution deals the files out, so
+    they are written down in that execution.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     rows = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("_start"),
+        F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("ln"),
         windows_line(F.col("value")).alias("line"),
     )
-    block = F.struct(F.col("_start"), F.shiftright("ln", BLOCK_BITS).alias("_part"))
-    return rows.select("path", block.alias("block"), "ln", "line")
+    return scratch.keep(rows)
 
 
 def _is_blank(text: Column) -> Column:
@@ -64,39 +62,23 @@ def _is_header() -> Column:
     return F.substring_index("line", SEPARATOR, 1) == HEADER
 
 
-def _blocked(lines: DataFrame) -> DataFrame:
-    return lines if "block" in lines.columns else lines.withColumn("block", F.shiftright("ln", BLOCK_BITS))
+def _placed(lines: DataFrame) -> DataFrame:
+    """``(path, at, line)``: ``at`` orders the lines of a file."""
+    start = F.col("start") if "start" in lines.columns else F.lit(0).cast("bigint")
+    return lines.select("path", F.struct(start.alias("start"), F.col("ln")).alias("at"), "line")
 
 
-def _block_summary(lines: DataFrame) -> tuple[DataFrame, bool]:
-    """One row per block: its headers as (ln, line) in order, and the last header before it.
+def _headers(lines: DataFrame) -> DataFrame:
+    """One row per file: where its first line stands, and its headers as (at, line) in order.
 
-    The summary is looked up first. If it has few blocks and headers it comes back
-    as a local table, fit to be broadcast; otherwise it stays a distributed plan.
+    Line 1 never counts as a header, whatever it starts with.
     """
-    header = F.when(_is_header(), F.struct("ln", "line"))
-    # Line 1 never counts as a header, whatever it starts with.
-    chain = Window.partitionBy("path").orderBy("block")
-    opens_file = F.row_number().over(chain) == 1
-    blocks = (
-        lines.groupBy("path", "block")
-        .agg(F.min("ln").alias("_from"), F.sort_array(F.collect_list(header)).alias("_found"))
-        .withColumn("metadata_ln", F.when(opens_file, F.col("_from")))
-        .withColumn("own", F.filter("_found", lambda h: ~F.equal_null(h["ln"], F.col("metadata_ln"))))
-        .select(
-            "path",
-            "block",
-            "metadata_ln",
-            "own",
-            F.last(_last_of("own"), ignorenulls=True)
-            .over(chain.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("inherited"),
-        )
+    header = F.when(_is_header(), F.struct("at", "line"))
+    return (
+        lines.groupBy("path")
+        .agg(F.min("at").alias("top"), F.sort_array(F.collect_list(header)).alias("_found"))
+        .select("path", "top", F.filter("_found", lambda h: h["at"] != F.col("top")).alias("own"))
     )
-    head = blocks.limit(BROADCAST_BLOCKS + 1).collect()
-    if len(head) > BROADCAST_BLOCKS or sum(len(b["own"]) for b in head) > BROADCAST_BLOCKS:
-        return blocks, False
-    return lines.sparkSession.createDataFrame(head, blocks.schema), True
 
 
 def _last_of(items) -> Column:
@@ -104,18 +86,20 @@ def _last_of(items) -> Column:
     return F.get(items, F.size(items) - 1)
 
 
-def _marked(lines: DataFrame, marks: DataFrame, small: bool) -> DataFrame:
+def _marked(lines: DataFrame, marks: DataFrame) -> DataFrame:
     """Data rows below a header with the mark of that header: ``(path, line, mark)``.
 
-    ``marks`` has the blocks with one struct per header, ``ln`` first.
+    ``marks`` has the files with one struct per header, ``at`` first. A line of a
+    file without such a row fails the job; none is dropped by the join.
     """
     kind = F.substring_index("line", SEPARATOR, 1)
-    above = F.filter("own", lambda mark: mark["ln"] < F.col("ln"))
+    above = F.filter("own", lambda mark: mark["at"] < F.col("at"))
+    lost = F.raise_error(F.concat(F.lit("no headers were looked up for "), F.col("path"))).cast("boolean")
     return (
         lines.where(~kind.isin(HEADER, TOTAL) & ~_is_blank(F.col("line")))
-        .join(F.broadcast(marks) if small else marks, ["path", "block"])
-        .where(~F.equal_null("ln", "metadata_ln"))
-        .select("path", "line", F.coalesce(_last_of(above), F.col("inherited")).alias("mark"))
+        .join(evenly(marks), "path", "left")
+        .where(F.when(F.col("top").isNull(), lost).otherwise(F.col("at") != F.col("top")))
+        .select("path", "line", _last_of(above).alias("mark"))
         .where(F.col("mark").isNotNull())
     )
 
@@ -133,8 +117,8 @@ def _extra_position(name: str) -> int | None:
     return int(number) if name.startswith(EXTRA) and number.isdigit() else None
 
 
-def _marks(blocks: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """The blocks, each header reduced to the cells of the wanted columns: worked out per header, not per row."""
+def _marks(headers: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """The files, each header reduced to the cells of the wanted columns: worked out per header, not per row."""
 
     def cell(names: Column, name: str) -> Column:
         place = F.array_position(names, F.lit(name)).cast("int")
@@ -146,17 +130,15 @@ def _marks(blocks: DataFrame, wanted: Sequence[str]) -> DataFrame:
     def mark(header: Column) -> Column:
         names = _names(header["line"])
         at = F.array(*[cell(names, name) for name in wanted]).cast("array<int>")
-        return F.struct(header["ln"].alias("ln"), F.size(names).alias("named"), at.alias("at"))
+        return F.struct(header["at"].alias("at"), F.size(names).alias("named"), at.alias("cells"))
 
-    return blocks.withColumn("own", F.transform("own", mark)).withColumn(
-        "inherited", F.when(F.col("inherited").isNotNull(), mark(F.col("inherited")))
-    )
+    return headers.withColumn("own", F.transform("own", mark))
 
 
-def _widths(lines: DataFrame, blocks: DataFrame, small: bool) -> DataFrame:
+def _widths(lines: DataFrame, headers: DataFrame) -> DataFrame:
     """How far the rows of each section reach, white space aside: ``(path, section, width)``."""
-    rows = _marked(lines, _marks(blocks, []), small)
-    return rows.groupBy("path", F.col("mark.ln").alias("section")).agg(
+    rows = _marked(lines, _marks(headers, []))
+    return rows.groupBy("path", F.col("mark.at").alias("section")).agg(
         F.max(_last_filled(_cells(F.col("line")))).alias("width")
     )
 
@@ -167,17 +149,17 @@ def section_columns(lines: DataFrame) -> list[str]:
     Like a header read of a flat file this runs a job; only the distinct names
     come back. Blank names inside a header have no use as a column and are left out.
     """
-    lines = _blocked(lines)
-    blocks, small = _block_summary(lines)
-    headers = blocks.select("path", F.explode("own").alias("h")).select(
-        "path", F.col("h.ln").alias("section"), _names(F.col("h.line")).alias("named")
+    lines = _placed(lines)
+    headers = _headers(lines)
+    named = headers.select("path", F.explode("own").alias("h")).select(
+        "path", F.col("h.at").alias("section"), _names(F.col("h.line")).alias("named")
     )
     # Where rows reach further than the header, ``_extra_N`` names are added, N counting its positions from 0.
     size, reach = F.size("named"), F.col("width") - 1
     added = F.when(reach > size, F.sequence(size, reach - 1)).otherwise(F.array().cast("array<int>"))
     names = F.concat("named", F.transform(added, lambda n: F.concat(F.lit(EXTRA), n.cast("string"))))
     found = (
-        headers.join(_widths(lines, blocks, small), ["path", "section"])
+        named.join(_widths(lines, headers), ["path", "section"])
         .select("path", "section", F.posexplode(names).alias("pos", "name"))
         .where("name != ''")
         .groupBy("name")
@@ -189,25 +171,23 @@ def section_columns(lines: DataFrame) -> list[str]:
 def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """All data rows of all sections, united by column name: ``row_type`` and ``columns``.
 
-    ``lines`` is ``(path, ln, line)``, ``ln`` counting from the top of each file;
-    :func:`read_lines` adds the blocks it was read in. Columns a section does not
-    have are null, and so are empty cells; other white space is kept. Where the
-    headers lie is looked up at once; without ``columns`` the names are, too.
+    ``lines`` is ``(path, ln, line)``, ``ln`` counting from the top of each file, or
+    what :func:`read_lines` gives. Columns a section does not have are null, and
+    so are empty cells; other white space is kept. Without ``columns`` the names
+    are looked up at once.
     """
     wanted = section_columns(lines) if columns is None else list(columns)
-    lines = _blocked(lines)
-    blocks, small = _block_summary(lines)
-    rows = _marked(lines, _marks(blocks, wanted), small)
+    lines = _placed(lines)
+    headers = _headers(lines)
+    rows = _marked(lines, _marks(headers, wanted))
     reaches = [F.lit(True)] * len(wanted)
     extras = [i for i, name in enumerate(wanted) if _extra_position(name) is not None]
     if extras:
         # An added column exists only as far as some row of the section has text.
-        widths = _widths(lines, blocks, small)
-        rows = rows.withColumn("section", F.col("mark.ln")).join(
-            F.broadcast(widths) if small else widths, ["path", "section"]
-        )
+        widths = _widths(lines, headers)
+        rows = rows.withColumn("section", F.col("mark.at")).join(evenly(widths), ["path", "section"], "left")
         for i in extras:
-            at = F.get("mark.at", F.lit(i))
+            at = F.get("mark.cells", F.lit(i))
             reaches[i] = (at <= F.col("mark.named")) | (at < F.col("width"))
     rows = rows.withColumn("_cell", _cells(F.col("line")))
 
@@ -217,7 +197,7 @@ def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None) -> Da
     return rows.select(
         text(F.lit(0)).alias("row_type"),
         *[
-            F.when((F.get("mark.at", F.lit(i)) > 0) & reaches[i], text(F.get("mark.at", F.lit(i)))).alias(name)
+            F.when((F.get("mark.cells", F.lit(i)) > 0) & reaches[i], text(F.get("mark.cells", F.lit(i)))).alias(name)
             for i, name in enumerate(wanted)
         ],
     )

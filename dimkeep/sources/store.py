@@ -1,8 +1,8 @@
 """Warehouse tables as Parquet, written beside the version being read.
 
 Spark can neither merge into a Parquet table nor overwrite one it reads. So a
-write goes to a new directory ``<table>/v=<n>`` and counts only once a commit
-file lists it. A reader takes the directories of the latest commit; a failed
+write goes to a new directory of a name of its own and counts only once a commit
+file lists it; two writers never share a directory, and the slower one fails to commit. A reader takes the directories of the latest commit; a failed
 write leaves no trace in it. A commit lists one directory per partition value
 and write, so new rows are appended and changed partitions replaced without
 touching the rest of a large table.
@@ -11,6 +11,7 @@ touching the rest of a large table.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -18,17 +19,23 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimkeep.operators.merge import ACTION, count_columns, survivors
+from dimkeep.operators.merge import ACTION, NONE, count_columns, survivors
 from dimkeep.sources.files import Files
 
 _COMMITS = "_commits"
 
 
-def _observed(seen: Observation) -> dict[str, int]:
+#: A table of more directories than this without a partition, or per partition value, is united.
+_SCATTERED = 16
+
+
+def _observed(seen: Observation, df: DataFrame) -> dict[str, int]:
     """The counts of a finished write; none arrive if Spark found its plan to be empty and ran nothing."""
     try:
         return dict(seen.get)
     except Py4JJavaError:
+        if not df.isEmpty():
+            raise
         return {"rows": 0, "inserted": 0, "updated": 0, "deleted": 0}
 
 
@@ -87,6 +94,9 @@ class Store:
         their rows. A change that turns out to be none is not committed.
         """
         replaced = None if parts is None else set(parts)
+        if partition is None and changed.where(F.col(ACTION) != NONE).isEmpty():
+            # A table without parts is written whole; not for nothing.
+            return {"inserted": 0, "updated": 0, "deleted": 0}
 
         def kept(live):
             return [] if replaced is None else [d for d in live if d[0] not in replaced]
@@ -96,7 +106,7 @@ class Store:
     def _write(self, table, df, partition, counts: Sequence[Column], kept, unless_empty=False) -> dict[str, int]:
         live = self._live(table)
         version = self._version(table) + 1
-        folder = f"v={version:08d}"
+        folder = f"v={version:08d}-{uuid.uuid4().hex[:12]}"
         if partition is not None:
             # Even files per partition; a large partition is split over several tasks.
             df = df.hint("rebalance", partition)
@@ -105,7 +115,7 @@ class Store:
         rows = df.observe(seen, *counts)
         if ACTION in df.columns:
             rows = survivors(rows)
-        writer = rows.write.mode("overwrite")
+        writer = rows.write.mode("error")
         if partition is not None:
             writer = writer.partitionBy(partition)
         writer.parquet(f"{self.files.root}/{table}/{folder}")
@@ -113,16 +123,32 @@ class Store:
         if partition is not None:
             names = [n for n in self.files.names(f"{table}/{folder}") if n.startswith(f"{partition}=")]
             written = [(int(n.split("=")[1]), f"{folder}/{n}") for n in names]
-        seen_counts = _observed(seen)
+        seen_counts = _observed(seen, df)
         if any(seen_counts.values()) or not unless_empty:
             commit = json.dumps([*kept(live), *written])
             self.files.write_text(f"{table}/{_COMMITS}/{version:08d}.json", commit)
         return seen_counts
 
+    def tables(self) -> list[str]:
+        return [n for n in self.files.names("") if not n.startswith("_") and self.exists(n)]
+
+    def compact(self, table: str, schema: T.StructType, partition: str | None = None) -> None:
+        """Unite the directories of a table, or of those partition values, that appends have scattered."""
+        live = self._live(table)
+        for value in {v for v, _ in live}:
+            if sum(v == value for v, _ in live) > _SCATTERED:
+                whole = self.read(table, schema, None if value is None else [value])
+                rows = [F.count(F.lit(1)).alias("rows")]
+                self._write(table, whole, partition, rows, lambda now, value=value: [d for d in now if d[0] != value])
+
     def forget(self, table: str, keep: int = 3) -> None:
-        """Drop the directories that none of the last ``keep`` commits list."""
+        """Drop the directories that none of the last ``keep`` commits list, and the commits before."""
         version = self._version(table)
-        needed = {d.split("/")[0] for v in range(max(1, version - keep + 1), version + 1) for _, d in self._live(table, v)}
+        first = max(1, version - keep + 1)
+        needed = {d.split("/")[0] for v in range(first, version + 1) for _, d in self._live(table, v)}
         for name in self.files.names(table):
-            if name.startswith("v=") and name not in needed and int(name[2:]) <= version:
+            if name.startswith("v=") and name not in needed and int(name[2:10]) <= version:
                 self.files.remove(f"{table}/{name}")
+        for name in self.files.names(f"{table}/{_COMMITS}"):
+            if name.endswith(".json") and int(name.split(".")[0]) < first:
+                self.files.remove(f"{table}/{_COMMITS}/{name}")

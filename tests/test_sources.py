@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from dimkeep.operators.merge import ACTION
 from dimkeep.plans.model import schema_of
-from dimkeep.sources import sections
+from dimkeep.session import Scratch
 from dimkeep.sources.delimited import read_delimited
+from dimkeep.sources.files import Files
 from dimkeep.sources.sections import parse_sections, read_lines, section_columns
 from dimkeep.sources.staging import select_renamed, typed, with_load_date
 from dimkeep.sources.store import Store
@@ -33,6 +34,10 @@ def write(path, text):
     return str(path)
 
 
+def scratch(spark, tmp_path):
+    return Scratch(spark, str(tmp_path / "kept"))
+
+
 def in_order(dicts):
     return sorted(dicts, key=lambda d: repr(sorted(d.items())))
 
@@ -42,7 +47,7 @@ def as_dicts(df):
 
 
 def test_golden_sections(spark, tmp_path):
-    lines = read_lines(spark, write(tmp_path / "h.csv", GOLDEN))
+    lines = read_lines(spark, write(tmp_path / "h.csv", GOLDEN), scratch(spark, tmp_path))
     parsed = parse_sections(lines)
     assert parsed.columns == [
         "row_type", "Cprnr", "Skolekode", "Skolenavn", "Fradato", "Tildato", "Feltnavn", "Feltvaerdi", "_extra_3"
@@ -60,7 +65,7 @@ def test_golden_sections(spark, tmp_path):
 
 
 def test_wanted_columns_need_no_lookup(spark, tmp_path):
-    lines = read_lines(spark, write(tmp_path / "h.csv", GOLDEN))
+    lines = read_lines(spark, write(tmp_path / "h.csv", GOLDEN), scratch(spark, tmp_path))
     parsed = parse_sections(lines, ["Feltnavn", "Nowhere"])
     assert parsed.columns == ["row_type", "Feltnavn", "Nowhere"] and parsed.count() == 4
     assert {r.Nowhere for r in parsed.collect()} == {None}
@@ -112,11 +117,8 @@ def brute_force(files):
     return in_order(out)
 
 
-@pytest.mark.parametrize("broadcast", [0, 100_000])
-@pytest.mark.parametrize("seed", range(3))
-def test_random_files_in_small_blocks(spark, monkeypatch, seed, broadcast):
-    monkeypatch.setattr(sections, "BLOCK_BITS", 2)
-    monkeypatch.setattr(sections, "BROADCAST_BLOCKS", broadcast)
+@pytest.mark.parametrize("seed", range(4))
+def test_random_files(spark, seed):
     rng = random.Random(seed)
     files = {}
     for f in range(4):
@@ -142,8 +144,8 @@ def test_a_file_read_in_many_splits(spark, tmp_path):
     path = write(tmp_path / "big.csv", "\r\n".join(body))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
     try:
-        lines = read_lines(spark, path)
-        assert lines.rdd.getNumPartitions() > 5
+        lines = read_lines(spark, path, scratch(spark, tmp_path))
+        assert lines.select("start").distinct().count() > 5
         parsed = parse_sections(lines, ["N0", "N1", "N2", "V"]).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -151,15 +153,34 @@ def test_a_file_read_in_many_splits(spark, tmp_path):
     assert all(r[f"N{int(r.row_type) % 3}"] == r.row_type for r in parsed)
 
 
-def test_lines_are_not_shuffled(spark, tmp_path):
-    lines = read_lines(spark, write(tmp_path / "h.csv", GOLDEN))
-    plan = parse_sections(lines, ["Cprnr", "Feltnavn"])._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+def test_lines_are_not_shuffled_for_few_headers(spark, tmp_path):
+    lines = read_lines(spark, write(tmp_path / "h.csv", GOLDEN), scratch(spark, tmp_path))
+    parsed = parse_sections(lines, ["Cprnr", "Feltnavn"])
+    parsed.collect()
+    final = parsed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+
+
+@pytest.mark.parametrize("before, after", [(4, 4), (4, 16), (16, 4), (2, 32)])
+def test_parallelism_may_change_between_building_and_running(spark, tmp_path, before, after):
+    body = ["1;meta", "2;A;B"] + [f"4;{i};x" for i in range(60_000)] + ["2;A;C"] + [f"5;{i};y" for i in range(60_000)]
+    path = write(tmp_path / "big.csv", "\n".join(body))
+    setting = "spark.sql.leafNodeDefaultParallelism"
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        spark.conf.set(setting, before)
+        parsed = parse_sections(read_lines(spark, path, scratch(spark, tmp_path)), ["A", "B", "C"])
+        spark.conf.set(setting, after)
+        found = {r.row_type: tuple(r)[1:] for r in parsed.groupBy("row_type").agg(F.count("A"), F.count("B"), F.count("C")).collect()}
+    finally:
+        spark.conf.unset(setting)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == {"4": (60_000, 60_000, 0), "5": (60_000, 0, 60_000)}
 
 
 def test_missing_file_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        read_lines(spark, str(tmp_path / "none.csv"))
+        read_lines(spark, str(tmp_path / "none.csv"), scratch(spark, tmp_path))
 
 
 # -- delimited ------------------------------------------------------------------
@@ -248,7 +269,7 @@ def test_only_given_parts_are_replaced(spark, tmp_path, rows):
     action = F.when(F.col("k") == 2, "DELETE").otherwise(F.when(F.col("k") == 3, "UPDATE").otherwise("NONE"))
     assert store.apply("t", two.withColumn(ACTION, action), "p", [2]) == {"inserted": 0, "updated": 1, "deleted": 1}
     assert rows(store.read("t", PARTED)) == [(1, "a", 1), (3, "c", 2), (4, "d", 3)]
-    kept = [d for _, d in store._live("t") if d.startswith("v=00000001")]
+    kept = [d for _, d in store._live("t") if d.startswith("v=00000001-")]
     assert len(kept) == 2
 
 
@@ -257,5 +278,59 @@ def test_old_versions_are_forgotten(spark, tmp_path, rows):
     for i in range(4):
         store.replace("t", spark.createDataFrame([(i, "a")], SCHEMA))
     store.forget("t", keep=2)
-    assert [n for n in store.files.names("t") if n.startswith("v=")] == ["v=00000003", "v=00000004"]
+    assert [n[:10] for n in store.files.names("t") if n.startswith("v=")] == ["v=00000003", "v=00000004"]
     assert rows(store.read("t", SCHEMA)) == [(3, "a")]
+
+
+def test_a_stale_writer_keeps_the_committed_rows(spark, tmp_path, rows, monkeypatch):
+    store, stale = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    monkeypatch.setattr(stale, "_version", lambda table: 0)
+    store.replace("t", spark.createDataFrame([(1, "a")], SCHEMA))
+    with pytest.raises(FileExistsError):
+        stale.replace("t", spark.createDataFrame([(100, "z")], SCHEMA))
+    assert rows(store.read("t", SCHEMA)) == [(1, "a")]
+
+
+def test_a_failed_observation_is_raised(spark, tmp_path, monkeypatch):
+    from py4j.protocol import Py4JJavaError
+    from pyspark.sql import Observation
+
+    class Lost(Py4JJavaError):
+        def __init__(self):
+            Exception.__init__(self, "lost")
+
+        __str__ = Exception.__str__
+
+    def lose(self):
+        raise Lost
+
+    monkeypatch.setattr(Observation, "get", property(lose))
+    with pytest.raises(Lost):
+        Store(spark, str(tmp_path)).replace("t", spark.createDataFrame([(1, "a")], SCHEMA))
+    assert not Store(spark, str(tmp_path)).exists("t")
+
+
+def test_a_merge_without_a_change_writes_nothing(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.replace("t", spark.createDataFrame([(1, "a")], SCHEMA))
+    before = store.files.names("t")
+    store.apply("t", store.read("t", SCHEMA).withColumn(ACTION, F.lit("NONE")))
+    assert store.files.names("t") == before
+
+
+def test_scattered_appends_are_united(spark, tmp_path, rows):
+    store = Store(spark, str(tmp_path))
+    for i in range(18):
+        store.append("t", spark.createDataFrame([(i, "a", i % 2)], PARTED), "p" if i > 20 else None)
+    store.compact("t", PARTED)
+    assert len(store._live("t")) == 1 and store.read("t", PARTED).count() == 18
+
+
+def test_scratch_goes(spark, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    with Scratch(spark, str(tmp_path)) as kept:
+        assert kept.keep(spark.range(3)).count() == 3
+        base, name = kept.folder.rsplit("/", 1)
+        assert name in Files(spark, base).names("")
+    assert name not in Files(spark, base).names("")
+    assert spark.sparkContext.getCheckpointDir() == before
