@@ -341,11 +341,11 @@ def delete_members(t: Tables) -> DataFrame:
 WITH source AS (
   SELECT o_custkey, o_orderkey, {sql_key("o_orderdate")} AS from_date_id,
          CASE WHEN o_orderstatus <> 'O' THEN {sql_key("o_orderdate + INTERVAL 30 DAY")} END AS to_date_id
-  FROM orders WHERE o_orderpriority <> '5-LOW'),
+  FROM orders),
 before AS (
   SELECT o_custkey, o_orderkey, {sql_key("o_orderdate")} AS from_date_id,
          CASE WHEN o_orderstatus = 'F' THEN {sql_key("o_orderdate + INTERVAL 30 DAY")} END AS to_date_id
-  FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderdate < TIMESTAMP '2001-01-01')
+  FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01')
 SELECT s.o_custkey, s.o_orderkey, s.from_date_id,
        CASE WHEN t.o_orderkey IS NULL OR coalesce(t.to_date_id, -1) <> coalesce(s.to_date_id, -1)
             THEN s.to_date_id ELSE t.to_date_id END AS to_date_id,
@@ -357,7 +357,7 @@ FROM source s LEFT JOIN before t
 def open_intervals(t: Tables) -> DataFrame:
     """Intervals from text day keys; the end is open where its text is no number."""
     text = F.date_format(F.date_add(F.to_date("o_orderdate"), 30), "yyyyMMdd")
-    orders = t.orders.where("o_orderpriority <> '5-LOW'")
+    orders = t.orders
 
     def intervals(rows: DataFrame, still_open) -> DataFrame:
         return rows.select(
@@ -406,6 +406,8 @@ def key_value_merge(t: Tables) -> DataFrame:
             last(t.events.where("ts < timestamp_ntz'2024-01-20'")),
             last(t.events),
             ["user_id", "field_name"],
+            # grouped by its keys just above
+            unique=True,
             changed=lambda old, new: differs(old("field_value"), new("field_value")),
         )
     )

@@ -8,21 +8,61 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimkeep.functions.text import windows_name, windows_text
+from dimkeep.functions.text import windows_line, windows_name, windows_text
 
 SEPARATOR = ";"
 _RECORD = "_record"
 
 
-def read_delimited(
-    spark: SparkSession, paths: str | Sequence[str], *, multi_line: bool = False
-) -> DataFrame:
-    """Windows-1252 file with a header line; every column is text and only an empty cell is null.
+def _files(spark: SparkSession, paths: list[str]) -> list[tuple[str, str, bool, bool]]:
+    """(path, first line, whether a line leaves a quote open, whether the file does) of each file with a line.
 
-    A row with more cells than the header fails the job instead of being cut.
-    ``multi_line`` is needed for quoted line breaks and makes a file unsplittable.
+    One pass over the text; a row per file comes back.
+    """
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), place.alias("at"), windows_line(F.col("value")).alias("line"), quotes.alias("quotes")
+    )
+    # The path is given as a URI.
+    plain = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    found = lines.groupBy("path").agg(
+        F.min_by("line", "at").alias("head"),
+        (F.max(F.col("quotes") % 2) > 0).alias("open"),
+        (F.sum("quotes") % 2 > 0).alias("unclosed"),
+    )
+    return sorted((r["path"], r["head"], r["open"], r["unclosed"]) for r in found.select(plain.alias("path"), "head", "open", "unclosed").collect())
+
+
+def read_delimited(spark: SparkSession, paths: str | Sequence[str], *, multi_line: bool | None = None) -> DataFrame:
+    """Windows-1252 files with a header line each; every column is text and only an empty cell is null.
+
+    Files are united by column name, whatever the order of their columns; a column
+    that a file lacks is null there. A row with more cells than its header fails
+    the job instead of being cut, and a quote that is never closed fails at once.
+
+    Files with quoted line breaks are read whole (such a file cannot be split),
+    all others in splits. ``multi_line=False`` refuses such files, ``True`` reads all whole.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    alike: dict[tuple[str, bool], list[str]] = {}
+    for path, head, open_, unclosed in _files(spark, paths):
+        if unclosed:
+            raise ValueError(f"a quote is not closed in {path}")
+        if open_ and multi_line is False:
+            raise ValueError(f"a quoted line break in {path}")
+        alike.setdefault((head, open_ or bool(multi_line)), []).append(path)
+    if not alike:
+        return _read_alike(spark, paths, False)
+    frames = [_read_alike(spark, found, whole) for (_, whole), found in alike.items()]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out
+
+
+def _read_alike(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
+    """Files of one header."""
     reader = (
         spark.read.option("sep", SEPARATOR)
         .option("header", True)

@@ -195,9 +195,27 @@ def test_delimited(spark, tmp_path):
     ]
 
 
-def test_quoted_line_break(spark, tmp_path):
+@pytest.mark.parametrize("multi_line", [None, True])
+def test_quoted_line_break(spark, tmp_path, multi_line):
     path = write(tmp_path / "b.csv", 'a;b\n1;"x\ny"\n')
-    assert [tuple(r) for r in read_delimited(spark, path, multi_line=True).collect()] == [("1", "x\ny")]
+    assert [tuple(r) for r in read_delimited(spark, path, multi_line=multi_line).collect()] == [("1", "x\ny")]
+    with pytest.raises(ValueError, match="quoted line break"):
+        read_delimited(spark, path, multi_line=False)
+
+
+def test_an_open_quote_yields_no_rows(spark, tmp_path):
+    with pytest.raises(ValueError, match="not closed"):
+        read_delimited(spark, write(tmp_path / "b.csv", 'a;b\n1;"x\n2;y\n'))
+
+
+def test_files_are_united_by_name(spark, tmp_path):
+    folder = tmp_path / "some files"
+    folder.mkdir()
+    for name, text in (("1.csv", "A;B\n1;x\n"), ("2.csv", "B;A\ny;2\n"), ("3.csv", 'A;C\n3;"p\nq"\n'), ("4+.csv", "A;B\n4;z\n")):
+        write(folder / name, text)
+    df = read_delimited(spark, str(folder))
+    assert df.columns == ["A", "B", "C"]
+    assert sorted(map(tuple, df.collect())) == [("1", "x", None), ("2", "y", None), ("3", None, "p\nq"), ("4", "z", None)]
 
 
 @pytest.mark.parametrize("use", [lambda d: d.collect(), lambda d: d.select("a").collect(), lambda d: d.count()])
