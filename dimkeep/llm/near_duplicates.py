@@ -14,15 +14,16 @@ nothing to the classes.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from dimkeep.llm.components import components
 from dimkeep.llm.dart_minhash import band_keys, shingles, signature, similarity, word_hashes
@@ -85,42 +86,76 @@ def _linked_pairs(pairs: DataFrame, texts: DataFrame, size: int, threshold: floa
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _links_of_block(ids, labels, sides, band: int, sigs: np.ndarray, texts, size: int, least: float, threshold: float, weighted: bool):
+    """Links between the components of one block; at most one fewer than it has components."""
+    group = labels.copy()
+    sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def set_of(i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i not in sets:
+            sets[i] = shingles(word_hashes(texts[i] or ""), size)
+        return sets[i]
+
+    for i in range(len(ids) - 1):
+        others = i + 1 + np.flatnonzero((labels[i + 1 :] != labels[i]) & ((sides[i + 1 :] | sides[i]) == 1))
+        if not len(others):
+            continue
+        same = sigs[others] == sigs[i]
+        share = same.mean(axis=1)
+        near = np.flatnonzero(share >= least)
+        if not len(near):
+            continue
+        # a pair that meets in several bands is compared in the first of them
+        first = same[near].reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1)
+        near = near[first == band]
+        for j in others[near[np.argsort(-share[near], kind="stable")]]:
+            if group[i] == group[j]:
+                continue
+            one, two = set_of(i), set_of(j)
+            if similarity(one[0], two[0], *((one[1], two[1]) if weighted else ())) >= threshold:
+                group[group == group[j]] = group[i]
+                yield ids[i], ids[j]
+
+
 def _links_in_blocks(rows: DataFrame, size: int, threshold: float, weighted: bool, kind: str) -> DataFrame:
-    """Links between components inside each block of (bucket, i, j); at most one fewer than it has components."""
+    """Links between components inside each block of (bucket, i, j).
+
+    A task gets whole blocks, one after the other; most are a few rows, so they
+    are cut from the sorted rows without a frame for each.
+    """
     least = threshold - _SLACK * math.sqrt(threshold * (1 - threshold) / (BANDS * ROWS))
+    order = ("bucket", "i", "j")
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        sigs = np.frombuffer(b"".join(block["sig"]), "<u4").reshape(len(block), -1)
-        label = pd.factorize(block["label"])[0]
-        group = label.copy()
-        side, band = block["side"].to_numpy(), int(block["band"].iloc[0])
-        ids, texts = block["doc_id"].to_numpy(), block["text"].to_numpy()
-        sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-        def set_of(i: int) -> tuple[np.ndarray, np.ndarray]:
-            if i not in sets:
-                sets[i] = shingles(word_hashes(texts[i] or ""), size)
-            return sets[i]
-
-        out = []
-        for i in range(len(block)):
-            others = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & ((side[i + 1 :] | side[i]) == 1))
-            same = sigs[others] == sigs[i]
-            share = same.mean(axis=1)
-            near = np.flatnonzero(share >= least)
-            # a pair that meets in several bands is compared in the first of them
-            first = same[near].reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1)
-            near = near[first == band]
-            for j in others[near[np.argsort(-share[near], kind="stable")]]:
-                if group[i] == group[j]:
-                    continue
-                one, two = set_of(i), set_of(j)
-                if similarity(one[0], two[0], *((one[1], two[1]) if weighted else ())) >= threshold:
-                    out.append((ids[i], ids[j]))
-                    group[group == group[j]] = group[i]
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return rows.groupBy("bucket", "i", "j").applyInPandas(run, f"a {kind}, b {kind}")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in itertools.chain(batches, (None,)):
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                rest = table if rest is None else pa.concat_tables([rest, table])
+            if rest is None or not rest.num_rows:
+                continue
+            keys = np.stack([rest.column(c).to_numpy() for c in order])
+            ends = np.append(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, rest.num_rows)
+            if batch is not None:
+                ends = ends[:-1]  # the last block may go on in the next batch
+            if not len(ends):
+                continue
+            whole = rest.slice(0, ends[-1])
+            rest = rest.slice(ends[-1])
+            labels = np.unique(whole.column("label").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+            sides, bands = whole.column("side").to_numpy(), whole.column("band").to_numpy()
+            ids, texts = whole.column("doc_id").to_pylist(), whole.column("text").to_pylist()
+            sigs = np.frombuffer(b"".join(whole.column("sig").to_pylist()), "<u4").reshape(len(ids), -1)
+            out = []
+            for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
+                part = slice(begin, end)
+                out += _links_of_block(ids[part], labels[part], sides[part], int(bands[begin]), sigs[part], texts[part], size, least, threshold, weighted)
+            if out:
+                yield pa.record_batch([pa.array(c, batch_kind) for c in zip(*out)], names=["a", "b"])
+
+    batch_kind = to_arrow_type(rows.schema["doc_id"].dataType)
+    dealt = rows.select(*order, "band", "doc_id", "label", "side", "sig", "text").repartition(*order).sortWithinPartitions(*order)
+    return dealt.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def near_duplicates(
