@@ -108,7 +108,7 @@ def stage_select(t: Tables) -> DataFrame:
     )
 
 
-def _scratch(t: Tables) -> Scratch:
+def new_scratch(t: Tables) -> Scratch:
     """Kept until the query's result has been read, so it is not cleared here."""
     return Scratch(t.spark, t.spark.conf.get("spark.sql.warehouse.dir"))
 
@@ -116,7 +116,7 @@ def _scratch(t: Tables) -> Scratch:
 @query(_SECTIONS_SQL)
 def read_section_files(t: Tables) -> DataFrame:
     """The same lines through files on disk: written as text, read back in splits, columns looked up."""
-    scratch = _scratch(t)
+    scratch = new_scratch(t)
     folder = scratch.place()
     lines = order_lines(t)
     # A file's lines must lie in order; files hold a bounded number of keys, so this stays even.
@@ -134,7 +134,7 @@ FROM customer
 """)
 def read_delimited_files(t: Tables) -> DataFrame:
     """Customers written as delimited files with quoted separators and empty cells, in two column orders, and read back."""
-    folder = _scratch(t).place()
+    folder = new_scratch(t).place()
     cells = t.customer.select(
         F.col("c_custkey").cast("string").alias("Kode"),
         F.col("c_name").alias("Navn"),
