@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from dimkeep.llm.shared import free_name, stored
 
 #: Bits of all filters that one task holds at once; a longer list is cut into shards by a hash.
-MAX_BITS = 1 << 30
+MAX_BITS = 1 << 26
 _WORD = 32
 _LEVELS = 200
 
