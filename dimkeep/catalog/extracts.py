@@ -140,9 +140,10 @@ def read_delimited_files(t: Tables) -> DataFrame:
         F.col("c_name").alias("Navn"),
         # The euro sign is byte 0x80 in windows-1252; written as such by the ISO-8859-1 writer.
         F.when(F.col("c_mktsegment") != "BUILDING", F.concat("c_mktsegment", F.lit("; \x80"))).alias("Køn"),
+        "c_acctbal",
     )
-    odd = F.col("Kode").cast("long") % 2 == 1
-    for some, columns in ((odd, ["Kode", "Navn", "Køn"]), (~odd, ["Køn", "Kode", "Navn"])):
+    owing = F.col("c_acctbal") < 0
+    for some, columns in ((owing, ["Kode", "Navn", "Køn"]), (~owing, ["Køn", "Kode", "Navn"])):
         writer = cells.where(some).select(columns).write.mode("append").option("sep", ";").option("header", True)
         writer.option("encoding", "ISO-8859-1").option("escape", '"').csv(folder)
     return read_delimited(t.spark, folder)

@@ -18,18 +18,18 @@ from dimkeep.plans.model import schema_of, staged
 from dimkeep.plans.staging_load import stage
 from dimkeep.sources.store import Store
 
-_ORDERS = schema_of("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_year int")
+_ORDERS = schema_of("o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_orderstatus string, o_year int")
 
 
 def _orders(t: Tables) -> DataFrame:
-    return t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("o_year"))
+    return t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("o_year"))
 
 
 def _second_day(before: DataFrame, orders: DataFrame) -> DataFrame:
-    """Finished orders get their status, new ones come, those of a few customers go."""
+    """Finished orders get their status, new ones come, those of low priority go."""
     return merge(
         before,
-        orders.where("o_custkey % 10 <> 3"),
+        orders.where("o_orderpriority <> '5-LOW'"),
         ["o_orderkey"],
         changed=lambda old, new: differs(old("o_orderstatus"), new("o_orderstatus"), ""),
         gone="delete",
@@ -49,20 +49,20 @@ def _two_days(t: Tables) -> tuple[Store, str]:
 
     with Run(t.spark, log) as run:
         run.step("load", "replace", lambda: {"inserted": store.replace("orders", early, "o_year")})
-        run.step("load", "append nothing", lambda: {"inserted": store.append("orders", early.where("o_custkey < 0"), "o_year")})
+        run.step("load", "append nothing", lambda: {"inserted": store.append("orders", early.where("o_orderstatus IS NULL"), "o_year")})
         run.step("load", "merge", change)
         run.step("load", "merge again", change)
     return store, log
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders WHERE o_custkey % 10 <> 3")
+@query("SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders WHERE o_orderpriority <> '5-LOW'")
 def stored_merge(t: Tables) -> DataFrame:
     """What the store holds after a replace, an empty append and two merges."""
     return _two_days(t)[0].read("orders", _ORDERS)
 
 
 @query("""
-WITH o AS (SELECT *, year(o_orderdate) < 2001 AS early, o_custkey % 10 <> 3 AS stays FROM orders)
+WITH o AS (SELECT *, year(o_orderdate) < 2001 AS early, o_orderpriority <> '5-LOW' AS stays FROM orders)
 SELECT 'replace' AS step_name, 'success' AS status, CAST(NULL AS BIGINT) AS rows_read, count(*) FILTER (early) AS rows_inserted,
        CAST(NULL AS BIGINT) AS rows_updated, CAST(NULL AS BIGINT) AS rows_deleted FROM o
 UNION ALL SELECT 'append nothing', 'success', NULL, 0, NULL, NULL
