@@ -78,12 +78,9 @@ def with_measures(docs: DataFrame, text: str, out: str) -> DataFrame:
     two = one.withColumn(names["_hashes"], F.when(F.size(words) >= 3, F.sort_array(hashed)))
     sorted_ = F.col(names["_hashes"])
     # a window found twice or more has an equal neighbour in the sorted list
-    twice = F.filter(
-        F.sequence(F.lit(0), F.size(sorted_) - 1),
-        lambda i: ((i > 0) & (sorted_[F.greatest(i - 1, F.lit(0))]["hash"] == sorted_[i]["hash"]))
-        | ((i < F.size(sorted_) - 1) & (sorted_[F.least(i + 1, F.size(sorted_) - 1)]["hash"] == sorted_[i]["hash"])),
-    )
-    three = two.withColumn(names["_again"], F.when(sorted_.isNotNull(), F.transform(twice, lambda i: sorted_[i]["at"])).otherwise(no_places))
+    equal = F.filter(F.sequence(F.lit(0), F.size(sorted_) - 2), lambda i: sorted_[i]["hash"] == sorted_[i + 1]["hash"])
+    both = F.flatten(F.transform(equal, lambda i: F.array(sorted_[i]["at"], sorted_[i + 1]["at"])))
+    three = two.withColumn(names["_again"], F.when(F.size(sorted_) >= 2, both).otherwise(no_places))
     covered = F.array_distinct(F.flatten(F.transform(again, lambda at: F.array(at, at + 1, at + 2))))
     pairs = F.filter(F.sequence(F.lit(1), F.size(words) - 1), lambda i: words[i] == words[i - 1])
     found = {
