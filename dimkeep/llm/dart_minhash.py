@@ -27,8 +27,6 @@ _WEIGHT_SEED = np.uint64(13)
 #: First guess of the rank that darts are looked for up to, times the set's weight.
 _REACH = 1.25
 
-_BLANK = bytes(b if b >= 128 or chr(b).isalnum() or chr(b) == "_" else 32 for b in range(256))
-
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """Scramble unsigned 64-bit numbers, in place."""
@@ -46,8 +44,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of the words in lower case: runs without ASCII white space, marks and controls."""
-    words = text.lower().encode("utf-8", "replace").translate(_BLANK).split()
+    """64-bit hashes of the words in lower case: runs without white space, marks included."""
+    words = text.lower().split()
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 

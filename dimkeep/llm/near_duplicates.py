@@ -171,7 +171,7 @@ def near_duplicates(
 
     Two texts are linked if the Jaccard similarity of their sets of ``size``
     neighbouring words is at least ``threshold``; ``weighted`` takes how often a
-    shingle occurs as its weight. Words are runs of letters and digits in lower
+    shingle occurs as its weight. Words are what white space divides, in lower
     case. Texts with the same words are copies, also those without a word (a
     null text is one), and a text of fewer than ``size`` words has one shingle.
 

@@ -129,7 +129,7 @@ def copies(spark):
         chain = chain[15:] + word(15)
     passage = word(120)
     rows += [(200 + i, " ".join(word(40) + passage + word(40))) for i in range(30)]
-    rows += [(300, "one two"), (301, "One, TWO!"), (302, "one two three"), (303, ""), (304, None), (305, " \n"), (306, "...")]
+    rows += [(300, "one two"), (301, " One\nTWO "), (307, "one, two!"), (302, "one two three"), (303, ""), (304, None), (305, " \n"), (306, "...")]
     rows += [(400, "again and again " * 20_000), (401, "again and again " * 20_001)]
     rows += [(None, "one two"), (None, None), (10, rows[5][1])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
