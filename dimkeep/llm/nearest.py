@@ -279,7 +279,7 @@ def nearest(
     distinct = stored(_distinct(rows, neighbours))
     number = distinct.count()
     planes = fit(distinct, lengths["d"], trees, bits)
-    entries = stored(_entries(distinct, planes))
+    entries = _entries(distinct, planes)  # worked out twice, for the bounds of the runs and for the runs, and not kept besides
     cuts = max(1, min(MAX_RUNS, math.ceil(number * trees / RUN)))
     arrays = entries.repartitionByRange(cuts, "tree", "string", "digest").sortWithinPartitions("tree", "string", "digest")
     forest = stored(arrays.withColumn("run", F.spark_partition_id()))
@@ -291,7 +291,7 @@ def nearest(
         np.concatenate([[0], np.cumsum(bounds["n"].to_numpy(np.int64))]),
         bounds["run"].to_numpy(np.int32),
     )
-    asked = entries.filter("asked").select("digest", "tree", "string", "vector")
+    asked = forest.filter("asked").select("digest", "tree", "string", "vector")
     levels = stored(_levels(forest, asked, runs, max(2 * neighbours * trees, math.ceil(share * number)), bits))
     found = stored(_best(forest, asked.join(levels, "digest"), runs, neighbours, bits))
 
