@@ -23,14 +23,13 @@ POWER = 0.5
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches GOOD, learnt from the labels of the documents given.
 
-    Without enough labels of both kinds the score is the share of good ones, and
-    without any a half, so nothing goes.
+    The texts are measured twice, once to learn and once to judge, rather than
+    kept a second time. Without enough labels of both kinds the score is the
+    share of good ones, and without any a half, so nothing goes.
     """
-    m = free_name(docs, "_statistics")
-    measured = stored(docs.withColumn(m, quality_classifier.measure(F.col("text"))))
-    known = measured.filter(~quality_classifier.held_out("doc_id")).select("doc_id", F.col(m).alias("statistics"))
+    known = quality_classifier.statistics(docs.filter(~quality_classifier.held_out("doc_id")))
     model = quality_classifier.fit(known, table(spark, sf_dir, "labels"))
-    return measured.filter(quality_classifier.score(model, F.col(m)) >= GOOD).drop(m)
+    return docs.filter(quality_classifier.score(model, quality_classifier.measure(F.col("text"))) >= GOOD)
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
