@@ -144,12 +144,13 @@ class _Runs:
         """First and last run in which a place from low to high may lie."""
         return np.maximum(self._at(tree, low, False) - 1, 0), np.maximum(self._at(tree, high, True) - 1, 0)
 
-    def around(self, tree: np.ndarray, string: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-        """First and last run of those that hold ``reach`` entries on each side of a place at least."""
+    def around(self, tree: np.ndarray, string: np.ndarray, reach: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last run of those of a place's tree that hold ``reach`` entries on each side of it, or all of that side."""
         first, last = self.touched(tree, string, string)
         left = np.searchsorted(self.before, self.before[first] - reach, side="right") - 1
         right = np.searchsorted(self.before, self.before[np.minimum(last + 1, len(self.before) - 1)] + reach, side="left")
-        return np.maximum(left, 0), np.minimum(right, len(self.trees) - 1)
+        begin, end = self.touched(tree, np.zeros_like(string), np.full_like(string, (1 << bits) - 1))
+        return np.maximum(left, begin), np.minimum(right, end)
 
 
 def _dealt(queries: DataFrame, columns: str, pick) -> DataFrame:
@@ -171,29 +172,32 @@ def _levels(forest: DataFrame, queries: DataFrame, runs: _Runs, least: int, bits
     """The synchronous ascent: the most bits at which all trees together hold ``least`` entries, for each query."""
 
     def place(batch: pd.DataFrame):
-        return *runs.around(batch["tree"].to_numpy(np.int64), batch["string"].to_numpy(np.int64), least), runs.numbers
+        return *runs.around(batch["tree"].to_numpy(np.int64), batch["string"].to_numpy(np.int64), least, bits), runs.numbers
 
     def count(entries: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        digests, counts = [], []
         for tree, some in asked.groupby("tree"):
             array = np.sort(entries.loc[entries["tree"] == tree, "string"].to_numpy(np.int64))
             strings = some["string"].to_numpy(np.int64)
+            found = np.zeros((len(strings), bits + 1), np.int64)
             for shared in range(bits + 1):
                 low, high = _prefix(strings, np.full(len(strings), shared), bits)
-                found = np.searchsorted(array, high, side="right") - np.searchsorted(array, low, side="left")
-                out.append(pd.DataFrame({"digest": some["digest"].to_numpy(), "shared": shared, "found": found}))
-        return pd.concat(out) if out else pd.DataFrame({"digest": [], "shared": [], "found": []})
+                found[:, shared] = np.searchsorted(array, high, side="right") - np.searchsorted(array, low, side="left")
+            digests += some["digest"].tolist()
+            counts += list(found)
+        return pd.DataFrame({"digest": digests, "found": counts})
 
     placed = _dealt(queries.select("digest", "tree", "string"), "digest binary, tree int, string bigint", place)
     counted = (
         forest.select("run", "tree", "string")
         .groupBy("run")
         .cogroup(placed.groupBy("run"))
-        .applyInPandas(count, "digest binary, shared int, found bigint")
+        .applyInPandas(count, "digest binary, found array<bigint>")
     )
-    totals = counted.groupBy("digest", "shared").agg(F.sum("found").alias("found"))
+    levels = range(bits + 1)
+    totals = counted.groupBy("digest").agg(*[F.sum(F.col("found")[i]).alias(f"f{i}") for i in levels])
     # without enough entries in all, the root
-    return totals.groupBy("digest").agg(F.coalesce(F.max(F.when(F.col("found") >= least, F.col("shared"))), F.lit(0)).alias("shared"))
+    return totals.select("digest", F.greatest(*[F.when(F.col(f"f{i}") >= least, i).otherwise(0) for i in levels]).alias("shared"))
 
 
 def _best(forest: DataFrame, queries: DataFrame, runs: _Runs, neighbours: int, bits: int) -> DataFrame:
