@@ -93,14 +93,14 @@ def usable(vectors: DataFrame, vec_id: str, vector: str, queries: Column) -> Dat
 def _distinct(rows: DataFrame, neighbours: int) -> DataFrame:
     """Distinct vectors: ``digest``, ``vector``, ``ids`` (the smallest ones, as many as an answer may need), ``asked``.
 
-    A later id of a vector cannot be in an answer. Of a common vector each task
-    hands on no more rows than that.
+    A later id of a vector cannot be in an answer. Ids are made distinct before they
+    are counted, and of a common vector each task hands on no more of them than that.
     """
     turn = F.row_number().over(Window.partitionBy("digest").orderBy("vec_id"))
-    few = rows.select("digest", "vec_id", "vector").withColumn("_turn", turn).filter(F.col("_turn") <= neighbours + 1)
-    kept = few.groupBy("digest").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"), F.first("vector").alias("vector"))
-    asked = rows.filter("asked").select("digest").distinct().withColumn("asked", F.lit(True))
-    return kept.join(asked, "digest", "left").select("digest", "vector", "ids", F.coalesce("asked", F.lit(False)).alias("asked"))
+    few = rows.select("digest", "vec_id").distinct().withColumn("_turn", turn).filter(F.col("_turn") <= neighbours + 1)
+    ids = few.groupBy("digest").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    once = rows.groupBy("digest").agg(F.first("vector").alias("vector"), F.max("asked").alias("asked"))
+    return once.join(ids, "digest").select("digest", "vector", "ids", "asked")
 
 
 def _entries(distinct: DataFrame, planes: Hyperplanes) -> DataFrame:
@@ -201,7 +201,7 @@ def _levels(forest: DataFrame, queries: DataFrame, runs: _Runs, least: int, bits
 
 
 def _best(forest: DataFrame, queries: DataFrame, runs: _Runs, neighbours: int, bits: int) -> DataFrame:
-    """The nearest vectors of each query in each run its ranges touch: (digest, ids, score)."""
+    """The nearest ids of each query in each run its ranges touch, each with its nearest vector: (digest, vec_id, score)."""
 
     def place(batch: pd.DataFrame):
         low, high = _prefix(batch["string"].to_numpy(np.int64), batch["shared"].to_numpy(np.int64), bits)
@@ -218,7 +218,6 @@ def _best(forest: DataFrame, queries: DataFrame, runs: _Runs, neighbours: int, b
             squares = (vectors**2).sum(axis=1)
             ids = own["ids"].to_numpy()
             lengths = np.array([len(x) for x in ids])
-            first = np.array([x[0] for x in ids])
             low, high = _prefix(some["string"].to_numpy(np.int64), some["shared"].to_numpy(np.int64), bits)
             begin, end = np.searchsorted(array, low, side="left"), np.searchsorted(array, high, side="right")
             asked_vectors, digests = np.stack(some["vector"].to_numpy()).astype(np.float64), some["digest"].to_numpy()
@@ -228,13 +227,20 @@ def _best(forest: DataFrame, queries: DataFrame, runs: _Runs, neighbours: int, b
                 for q in group:
                     rough = squares[a:b] - 2 * (vectors[a:b] @ asked_vectors[q]) + asked_vectors[q] @ asked_vectors[q]
                     keep = min(neighbours + 1, b - a)
-                    # near ties of the rough distance are all measured exactly
-                    bound = np.partition(rough, keep - 1)[keep - 1] + 1e-9 * (1 + abs(squares[a:b]).max())
-                    near = a + np.flatnonzero(rough <= bound)
-                    score = np.sqrt(((vectors[near] - asked_vectors[q]) ** 2).sum(axis=1))
-                    order = np.lexsort((first[near], score))[: neighbours + 1]
-                    out += [(digests[q], ids[i].tolist(), float(s)) for i, s in zip(near[order], score[order])]
-        return pd.DataFrame(out, columns=["digest", "ids", "score"])
+                    while True:
+                        # near ties of the rough distance are all measured exactly
+                        bound = np.partition(rough, keep - 1)[keep - 1] + 1e-9 * (1 + abs(squares[a:b]).max())
+                        near = a + np.flatnonzero(rough <= bound)
+                        named = np.concatenate(ids[near])
+                        # vectors that share their ids do not fill the places of other ids
+                        if len(near) == b - a or len(np.unique(named)) > neighbours:
+                            break
+                        keep = min(2 * len(near), b - a)
+                    score = np.repeat(np.sqrt(((vectors[near] - asked_vectors[q]) ** 2).sum(axis=1)), lengths[near])
+                    order = np.lexsort((named, score))
+                    nearest_of_id = np.sort(np.unique(named[order], return_index=True)[1])
+                    out += [(digests[q], int(named[i]), float(score[i])) for i in order[nearest_of_id[: neighbours + 1]]]
+        return pd.DataFrame(out, columns=["digest", "vec_id", "score"])
 
     kinds = f"digest binary, tree int, string bigint, vector {_kind(queries, 'vector')}, shared int"
     placed = _dealt(queries.select("digest", "tree", "string", "vector", "shared"), kinds, place)
@@ -242,7 +248,7 @@ def _best(forest: DataFrame, queries: DataFrame, runs: _Runs, neighbours: int, b
         forest.select("run", "tree", "string", "vector", "ids")
         .groupBy("run")
         .cogroup(placed.groupBy("run"))
-        .applyInPandas(search, "digest binary, ids array<bigint>, score double")
+        .applyInPandas(search, "digest binary, vec_id bigint, score double")
     )
 
 
@@ -299,7 +305,7 @@ def nearest(
     levels = stored(_levels(forest, asked, runs, max(2 * neighbours * trees, math.ceil(share * number)), bits))
     found = stored(_best(forest, asked.join(levels, "digest"), runs, neighbours, bits))
 
-    each = found.select("digest", F.explode("ids").alias("vec_id"), "score").distinct()
+    each = found.groupBy("digest", "vec_id").agg(F.min("score").alias("score"))
     turn = F.row_number().over(Window.partitionBy("digest").orderBy("score", "vec_id"))
     # one more than asked for, as the query's own id may be among them
     few = each.withColumn("_turn", turn).filter(F.col("_turn") <= neighbours + 1)

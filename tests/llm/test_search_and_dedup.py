@@ -68,6 +68,24 @@ def test_search_of_odd_vectors(spark):
     assert [(r.query_id, r["rank"], r.vec_id) for r in few] == [(1, 1, 2), (1, 2, 9)]  # all there are
 
 
+def test_search_counts_ids_and_not_rows(spark):
+    shared = [(i, [1.0, float(i % 2), 0.5]) for i in range(30)]  # two vectors of fifteen ids each
+    many = [(500, [1.0, 0.2, 0.5 + i / 1000]) for i in range(14)]  # one id with vectors nearer than all others
+    again = [(-1, [1.0, 0.0, 0.5])] * 12  # one id that alone has as many rows as an answer may need
+    far = [(1000 + i, [9.0, float(i), 9.0]) for i in range(20)]
+    rows = 2 * (shared + many + far) + again
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in nearest.nearest(df, F.col("vec_id").isin(0, 1, 3, 29, 1000)).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    vectors = defaultdict(list)
+    for i, x in rows:
+        vectors[i].append(x)
+    for q in (0, 1, 3, 29, 1000):
+        want = sorted((min(math.dist(x, y) for x in vectors[q] for y in vectors[i]), i) for i in vectors if i != q)[:10]
+        assert got[q] == [(i, pytest.approx(d)) for d, i in want]
+
+
 # near duplicates
 
 
