@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from dimkeep.llm.shared import stored
 
-#: Labelled texts that the letter model is fitted to, about; chosen by a hash.
+#: Labelled texts of each language that the letter model is fitted to, about; chosen by a hash, all where there are fewer.
 SAMPLE = 4000
 #: Hash buckets of letter triples.
 BUCKETS = 1 << 14
@@ -33,6 +33,8 @@ HOST_BELIEF, VALUE_BELIEF = 10.0, 5.0
 MOST_LANGUAGES = 500
 
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
+#: Texts that ``triples`` finds something in: two bytes of letters at least.
+_HAS_TRIPLE = r"[^\x00-\x7F]|[A-Za-z][^A-Za-z]*[A-Za-z]"
 
 
 def triples(text: str) -> np.ndarray:
@@ -64,13 +66,24 @@ class LetterModel:
 
 
 def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = SAMPLE) -> LetterModel:
-    """Count triples by language in about ``sample`` labelled texts; rows without a text or a language take no part."""
+    """Count triples by language in about ``sample`` labelled texts of each language, or all where there are fewer.
+
+    Rows without a text or a language take no part, nor do texts without a triple of
+    letters. The languages are those of all other rows, however rare. Rows are chosen
+    by a hash of id and text, so null and repeated ids are chosen like others.
+    """
     known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lower(F.col(lang)).alias("lang"))
-    known = known.filter("text IS NOT NULL AND lang <> ''")
-    rows = known.select("lang").count()
-    if rows > sample:
-        part = 1 << 20
-        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(part)) < int(part * sample / rows))
+    known = known.filter("lang <> ''").filter(F.col("text").rlike(_HAS_TRIPLE))
+    known = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("hashed"))
+    sizes = known.select("lang", "hashed").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("hashed").alias("least"))
+    found = sizes.limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    languages = sorted(r["lang"] for r in found)
+    # the share of all hashes that holds ``sample`` of a language's; its least is always in
+    upto = [(r["lang"], max(r["least"], min(sample * 2**64 // r["n"], 2**64 - 1) - 2**63)) for r in found]
+    bounds = docs.sparkSession.createDataFrame(upto, "lang string, upto long")  # MOST_LANGUAGES rows at most
+    known = known.join(F.broadcast(bounds), "lang").filter("hashed <= upto")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -83,9 +96,6 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str
             yield pa.record_batch([pa.array([language] * len(some)), pa.array(some), pa.array(n[some])], names=["lang", "bucket", "n"])
 
     counted = known.select("lang", "text").mapInArrow(run, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    languages = sorted(r["lang"] for r in counted.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     found = counted.toPandas()  # at most languages * BUCKETS rows
     table = np.full((BUCKETS, max(1, len(languages))), 0.5)
     at = {language: i for i, language in enumerate(languages)}

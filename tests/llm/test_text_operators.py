@@ -290,6 +290,16 @@ def test_evidence_outweighs_a_short_text(spark):
     assert language_id.identify(df.limit(0), model).count() == 0
 
 
+def test_rare_languages_are_known_in_many_rows(spark):
+    common = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the words of number "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    rare = [(30_000, "die Wörter und der Satz", "de"), (None, "les mots et la phrase", "FR"), (None, "las palabras y la frase", "es"), (None, "123", "xx")]
+    docs = common.unionByName(spark.createDataFrame(rare, "doc_id long, text string, lang string"))
+    model = language_id.fit(docs)
+    assert model.languages == ("de", "en", "es", "fr")
+    assert [model.languages[int(np.argmax(model.evidence(text)))] for _, text, _ in rare[:3]] == ["de", "fr", "es"]
+    assert language_id.fit(docs, sample=1).languages == model.languages
+
+
 def test_languages_of_odd_rows(spark, odd):
     model = language_id.fit(odd)
     assert model.languages == ("en",)
