@@ -46,14 +46,20 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix, which the files keep: neighbours come from all sources by weight."""
+    """All documents in the order of the mix, in which the files are numbered and written."""
     m = free_name(docs, "_mix")
     mixed = mixing.mix(docs, mixing.target_weights(docs, power=POWER), out=m)
     return mixing.in_order(mixed, F.col(m)["position"]).drop(m)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 4,096 tokens; documents are packed with their neighbours in the mix."""
+    """The pieces of all documents in sequences of 4,096 tokens, numbered in the order of the mix.
+
+    Documents are packed with their neighbours in the mix. Reading many files does not
+    keep their order, so the documents are put in the order of the mix again, which
+    follows from their ids and sources.
+    """
+    docs = mix_sources(spark, docs.select("doc_id", "text", "source"), sf_dir)
     packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 

@@ -320,6 +320,33 @@ def test_pipeline_by_stages(spark):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == has
 
 
+def test_sequences_follow_the_mix_over_files_of_unequal_size(spark, tmp_path):
+    rows = [(i, f"w{i} " * (20 + i), "big" if i % 10 else "small") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, mixing.target_weights(docs, power=corpus_pipeline.POWER))
+    place = {r.doc_id: r.position for r in mixed.select("doc_id", "mix.position").collect()}
+    at = sorted(place, key=place.get)
+    path = str(tmp_path / "mixed")
+    for part in (at[:100], at[100:900], at[900:]):  # the first file is the smallest
+        spark.createDataFrame([rows[i] for i in part], docs.schema).coalesce(1).write.mode("append").parquet(path)
+    # several partitions, however they come about
+    confs = {"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in confs}
+    for c, value in confs.items():
+        spark.conf.set(c, value)
+    try:
+        packed = corpus_pipeline.pack(spark, spark.read.parquet(path), "").select("doc_id", "sequence_id").collect()
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    parts = defaultdict(set)
+    for r in packed:
+        parts[r.sequence_id >> 40].add(place[r.doc_id])
+    ranges = [(min(parts[p]), max(parts[p])) for p in sorted(parts)]
+    assert len(ranges) > 1 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert {r.doc_id for r in packed} == set(place)
+
+
 def test_pipeline_runs_whole(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.count() > 0 and rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
