@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimkeep.llm import chat, language_id, mixing, near_duplicates, nearest, packing, quality_classifier, quality_rules, token_counts, url_filter
+from dimkeep.llm import (
+    centroids,
+    chat,
+    language_id,
+    line_dedup,
+    mixing,
+    near_duplicates,
+    nearest,
+    packing,
+    periodic_runs,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    url_filter,
+)
 from dimkeep.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,5 +191,95 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"), _RULES, sites)
 
 
+def _rounds(count: int, before: str) -> str:
+    """SQL of so many rounds of assignment and new means, from the centroids ``c0``, and of the last assignment."""
+    out = before
+    for i in range(count + 1):
+        out += f""", d{i} AS (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': d, 'c': c}}) AS best FROM (
+        SELECT r, vec_id, kept.v, c, list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(kept.v, c{i}.v)])::BIGINT AS d FROM kept, c{i}
+    ) GROUP BY r
+)"""
+        if i < count:
+            out += f""", s{i} AS (
+    SELECT best.c AS c, i, sum(x) AS s, count(*) AS n FROM (SELECT best, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM d{i}) GROUP BY ALL
+), c{i + 1} AS (
+    SELECT c, coalesce(m.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+        SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM s{i} GROUP BY c
+    ) AS m USING (c)
+)"""
+    return out
+
+
+ORACLES["op11_centroids"] = _rounds(
+    3,
+    """
+WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = 64
+), c0 AS (
+    SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS INTEGER) AS c, v
+    FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept ORDER BY h NULLS LAST, v LIMIT 16)
+)""",
+) + """
+SELECT vec_id, best.c AS cluster, best.d AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM d3 JOIN c3 ON c3.c = best.c
+"""
+
+
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Sixteen clusters of all embeddings after three rounds."""
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+def planted(doc_id: int | None, words: list[str]) -> list[str]:
+    """The words of a document, for one id in ten periodic from some word on."""
+    mark = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or mark % 10 or not words:
+        return words
+    n, g = len(words), mark // 10
+    begin = g % n
+    period = 1 + (n - begin) // (3 + g % 8)
+    return words[:begin] + [words[begin + i % period] for i in range(n - begin)]
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of words in every document, the strongest of them, and the text without their repeats."""
+    found = periodic_runs.periodic_runs(table(spark, folder, "documents"), prepare=planted).select("doc_id", "periodic.*")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", periodic_runs.strongest("runs"))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+ORACLES["op13_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2)
+SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (f.first < k.doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (f.first IS NULL OR f.first = k.doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN f USING (key) GROUP BY r
+"""
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document, those that an earlier document holds, and a digest of the rest."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.digests(line_dedup.with_bitmaps(docs, line_dedup.keep_bitmaps(docs)))
+
+
 def queries() -> dict[str, Query]:
     return {n: q for n, q in globals().items() if n.startswith("op") and n[2].isdigit()}
