@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dimkeep.catalog.extracts import new_scratch
@@ -16,7 +16,7 @@ from dimkeep.plans import fixed_values as fixed
 from dimkeep.plans.audit import Run, run_log, step_log
 from dimkeep.plans.model import schema_of, staged
 from dimkeep.plans.staging_load import stage
-from dimkeep.sources.store import Store
+from dimkeep.sources.store import Store, observed
 
 _ORDERS = schema_of("o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_orderstatus string, o_year int")
 
@@ -44,8 +44,10 @@ def _two_days(t: Tables) -> tuple[Store, str]:
     early = orders.where("o_year < 2001").withColumn("o_orderstatus", F.lit("O"))
 
     def change() -> dict:
-        done = store.apply("orders", _second_day(store.read("orders", _ORDERS), orders), "o_year")
-        return {"read": orders.count(), **done}
+        seen = Observation()
+        watched = orders.observe(seen, F.count(F.lit(1)).alias("rows"))
+        done = store.apply("orders", _second_day(store.rows("orders", _ORDERS), watched), _ORDERS, "o_year")
+        return {"read": observed(seen, orders, ["rows"])["rows"], **done}
 
     with Run(t.spark, log) as run:
         run.step("load", "replace", lambda: {"inserted": store.replace("orders", early, "o_year")})

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimkeep.functions import dates
@@ -40,23 +41,41 @@ class DailyLoad:
     def _eligible(self) -> list[DataFrame]:
         return self._named("dim_student", "dim_school", "dim_main_school")
 
-    def _change(self, table: str, changed: DataFrame, read: int | None = None) -> Counts:
+    def _counted(self, rows: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+        """Rows that are counted by the pass that reads them, and the count once that is over."""
+        seen = Observation()
+
+        def count() -> int:
+            try:
+                return seen.get["rows"]
+            except Py4JJavaError:
+                # What the rows were to meet was empty, so Spark has left out the pass over them.
+                return rows.count()
+
+        return rows.observe(seen, F.count(F.lit(1)).alias("rows")), count
+
+    def _history(self, row_type: int) -> tuple[DataFrame, Callable[[], int]]:
+        return self._counted(facts.of_type(self.wh.staging("student_history"), row_type))
+
+    def _change(self, table: str, changed: DataFrame) -> Counts:
         done = self.wh.apply(table, changed)
-        return {"read": read, "inserted": done["inserted"], "updated": done["updated"]}
+        return {"inserted": done["inserted"], "updated": done["updated"]}
 
-    def _change_parts(
-        self, table: str, merged: Callable[[DataFrame], DataFrame], candidates: list[int], read: int
-    ) -> Counts:
-        """Merge into a table in parts. The candidates are only read; the parts with a change are written."""
-        done = self.wh.apply_where_changed(table, merged, candidates)
-        return {"read": read, "inserted": done["inserted"], "updated": done["updated"]}
+    def _reload(self, table: str, rows: DataFrame) -> Counts:
+        done = self.wh.reload(table, rows)
+        return {"inserted": done["inserted"], "deleted": done["deleted"]}
 
-    def _append(self, table: str, rows: DataFrame, read: int | None = None) -> Counts:
-        return {"read": read, "inserted": self.wh.append(table, rows)}
+    def _merge_parts(
+        self, table: str, rows: DataFrame, merged: Callable[[DataFrame, DataFrame], DataFrame], more: Sequence[int] = ()
+    ) -> Counts:
+        """Merge kept rows into those parts of a table that they fall into, and ``more``."""
+        parts = sorted({*more, *self.wh.parts_in(table, rows)})
+        return self._change(table, merged(self.wh.rows(table, parts), rows))
 
-    def _touched(self, table: str, days: DataFrame) -> list[int]:
-        """Parts the source rows fall into; ``days`` holds the part column alone."""
-        return self.wh.parts_in(table, F.col(days.columns[0]), days)
+    def _append_new(self, table: str, rows: DataFrame, new: Callable[[DataFrame, DataFrame], DataFrame]) -> Counts:
+        """Append those of the kept rows that their parts of the table lack."""
+        known = self.wh.table(table, self.wh.parts_in(table, rows))
+        return {"inserted": self.wh.append(table, new(known, rows))}
 
     # -- before the loads ------------------------------------------------------
 
@@ -65,14 +84,13 @@ class DailyLoad:
         for table in STUDENT_FACTS:
             run.step(
                 "cleanup", f"Cleanup {table}",
-                lambda t=table: {"deleted": self.wh.delete_members(t, gone, facts.without)},
+                lambda t=table: {"deleted": self.wh.delete_members(t, gone)},
             )
 
         def people() -> Counts:
             # The personal data goes last, so that a run that stops here can find the students again.
-            for table in ("dim_student", "dim_student_sensitive"):
-                self.wh.delete_members(table, gone, facts.without)
-            return {"deleted": gone.count()}
+            self.wh.delete_members("dim_student", gone)
+            return {"deleted": self.wh.delete_members("dim_student_sensitive", gone)}
 
         run.step("cleanup", "Cleanup students", people)
 
@@ -80,18 +98,18 @@ class DailyLoad:
         calendar = self.wh.table("dim_date")
         # The window is a handful of days; knowing them prunes the fact to its last months.
         days = last_school_days(calendar, self.as_of, self.gap_days).select("date_id")
-        fact = self.wh.table("fact_absence_daily", self._touched("fact_absence_daily", days))
+        fact = self.wh.table("fact_absence_daily", self.wh.parts_in("fact_absence_daily", days))
         rows = facts.absence_gaps(fact, calendar, *self._eligible, self.as_of, self.gap_days)
-        return self._append("fact_absence_daily", rows)
+        return {"inserted": self.wh.append("fact_absence_daily", rows)}
 
     def refresh_school_year_label(self) -> Counts:
-        changed = dims.refresh_school_year_label(self.wh.table("dim_date"), self.as_of)
+        changed = dims.refresh_school_year_label(self.wh.rows("dim_date"), self.as_of)
         return {"updated": self.wh.apply("dim_date", changed)["updated"]}
 
     # -- dimensions ------------------------------------------------------------
 
     def named_codes(self, table: str) -> Counts:
-        target = self.wh.table(table)
+        target = self.wh.rows(table)
         code, name = target.columns[:2]
         basis = self.wh.staging("student_basis")
         return self._change(table, dims.named_codes(basis, target, dims.NAMED_CODES[table], code, name))
@@ -101,7 +119,7 @@ class DailyLoad:
 
     def school_type(self) -> Counts:
         basis, history = self.wh.staging("student_basis"), self.wh.staging("student_history")
-        return self._inserted("dim_school_type", dims.school_type(basis, history, self.wh.table("dim_school_type")))
+        return self._inserted("dim_school_type", dims.school_type(basis, history, self.wh.rows("dim_school_type")))
 
     def school_district(self) -> Counts:
         """A static table; nothing to load."""
@@ -109,79 +127,62 @@ class DailyLoad:
 
     def school(self) -> Counts:
         basis, history = self.wh.staging("student_basis"), self.wh.staging("student_history")
-        return self._change("dim_school", dims.school(basis, history, self.wh.table("dim_school")))
+        return self._change("dim_school", dims.school(basis, history, self.wh.rows("dim_school")))
 
     def student_type(self) -> Counts:
         basis = self.wh.staging("student_basis")
-        return self._inserted("dim_student_type", dims.student_type(basis, self.wh.table("dim_student_type")))
+        return self._inserted("dim_student_type", dims.student_type(basis, self.wh.rows("dim_student_type")))
 
     def student_sensitive(self) -> Counts:
-        basis = self.wh.staging("student_basis")
-        changed = dims.student_sensitive(basis, self.wh.table("dim_student_sensitive"), self.as_of)
-        return self._change("dim_student_sensitive", changed, basis.count())
+        basis, read = self._counted(self.wh.staging("student_basis"))
+        target = self.wh.rows("dim_student_sensitive")
+        done = self._change("dim_student_sensitive", dims.student_sensitive(basis, target, self.as_of, self.scratch.keep))
+        return {"read": read(), **done}
 
     def student(self) -> Counts:
-        basis = self.wh.staging("student_basis")
-        changed = dims.student(
-            basis,
-            *self._named(
-                "dim_student", "dim_student_sensitive", "dim_student_type", "dim_school_district",
-                "fact_enrollment", "dim_school",
-            ),
-            self.as_of,
-        )
-        return {"read": basis.count(), **self.wh.apply("dim_student", changed)}
+        basis, read = self._counted(self.wh.staging("student_basis"))
+        others = self._named("dim_student_sensitive", "dim_student_type", "dim_school_district", "fact_enrollment", "dim_school")
+        changed = dims.student(basis, self.wh.rows("dim_student"), *others, self.as_of, keep=self.scratch.keep)
+        return {"read": read(), **self.wh.apply("dim_student", changed)}
 
     def field_name(self) -> Counts:
         history = self.wh.staging("student_history")
-        return self._inserted("dim_field_name", dims.field_name(history, self.wh.table("dim_field_name")))
+        return self._inserted("dim_field_name", dims.field_name(history, self.wh.rows("dim_field_name")))
 
     # -- facts -----------------------------------------------------------------
-
-    def _history(self, row_type: int) -> tuple[DataFrame, int]:
-        history = self.wh.staging("student_history")
-        return history, facts.of_type(history, row_type).count()
+    # The source of a fact, with all its lookups, is kept once: it says which parts it falls
+    # into, and the merge reads it in several joins.
 
     def enrollment(self) -> Counts:
         history, read = self._history(fixed.ENROLLMENT)
         dimensions = self._named("dim_student_sensitive", "dim_school", "dim_school_type", "dim_class_type")
         rows = self.scratch.keep(facts.enrollment_rows(history, *dimensions))
-        parts = self._touched("fact_enrollment", rows.select("from_date_id"))
-        return self._change_parts("fact_enrollment", lambda fact: facts.enrollment(fact, rows), parts, read)
+        return {"read": read(), **self._merge_parts("fact_enrollment", rows, facts.enrollment)}
 
     def student_action(self) -> Counts:
         history, read = self._history(fixed.ACTION)
-        old = self.wh.table("fact_student_action").count()
-        rows = facts.student_action(
-            history, *self._named("dim_student_sensitive", "dim_action_type", "dim_referral_reason")
+        rows = self.scratch.keep(
+            facts.student_action(history, *self._named("dim_student_sensitive", "dim_action_type", "dim_referral_reason"))
         )
-        return {"read": read, "inserted": self.wh.replace("fact_student_action", rows), "deleted": old}
+        return {"read": read(), **self._reload("fact_student_action", rows)}
 
     def student_event(self) -> Counts:
         history, read = self._history(fixed.EVENT)
-        rows = facts.student_event(
-            history, *self._named("fact_student_event", "dim_student_sensitive", "dim_event_type")
-        )
-        return self._append("fact_student_event", rows, read)
+        rows = self.scratch.keep(facts.event_rows(history, *self._named("dim_student_sensitive", "dim_event_type")))
+        return {"read": read(), **self._append_new("fact_student_event", rows, facts.new_events)}
 
     def student_field(self) -> Counts:
         history, read = self._history(fixed.FIELD)
-        changed = facts.student_field(
-            history, *self._named("fact_student_field", "dim_student_sensitive", "dim_field_name")
-        )
-        return self._change("fact_student_field", changed, read)
+        rows = self.scratch.keep(facts.field_rows(history, *self._named("dim_student_sensitive", "dim_field_name")))
+        return {"read": read(), **self._merge_parts("fact_student_field", rows, facts.student_field)}
 
     def student_relocation(self) -> Counts:
         history, read = self._history(fixed.RELOCATION)
-        rows = facts.student_relocation(
-            history, *self._named("fact_student_relocation", "dim_student_sensitive", "dim_municipality")
-        )
-        return self._append("fact_student_relocation", rows, read)
+        rows = self.scratch.keep(facts.relocation_rows(history, *self._named("dim_student_sensitive", "dim_municipality")))
+        return {"read": read(), **self._append_new("fact_student_relocation", rows, facts.new_relocations)}
 
     def absence_daily(self) -> Counts:
         table = "fact_absence_daily"
-        staged = self.wh.staging("student_absence")
-        read = facts.of_type(staged, 5, 7).where(F.col("absence_reason").isin(list(fixed.REASONS))).count()
         calendar = self.wh.table("dim_date")
 
         yesterday = dates.day_key_of(dates.yesterday_of(self.as_of))
@@ -189,7 +190,7 @@ class DailyLoad:
         baseline = facts.absence_baseline(fact, calendar, *self._eligible, self.as_of)
         inserted = self.wh.append(table, baseline)
 
-        # The rollup feeds both joins of the merge and the choice of parts; it is computed once.
+        staged, read = self._counted(facts.absences(self.wh.staging("student_absence"), *fixed.DAILY))
         rollup = self.scratch.keep(
             facts.absence_rollup(
                 staged, self.wh.table("dim_student_sensitive"), *self._eligible, calendar, self.as_of
@@ -197,34 +198,30 @@ class DailyLoad:
         )
         first = dates.day_key_of(dates.school_year_start_of(self.as_of)) // 100
         resettable = [p for p in self.wh.parts(table) if p >= first]
-        parts = sorted({*resettable, *self._touched(table, rollup.select("date_id"))})
         eligible = facts.absence_students(*self._eligible).select("student_id")
-        counts = self._change_parts(
-            table, lambda fact: facts.absence_daily(fact, rollup, eligible, self.as_of), parts, read
+        done = self._merge_parts(
+            table, rollup, lambda fact, rows: facts.absence_daily(fact, rows, eligible, self.as_of), resettable
         )
-        return {**counts, "inserted": inserted + counts["inserted"]}
+        return {"read": read(), "updated": done["updated"], "inserted": inserted + done["inserted"]}
 
     def absence_lesson(self) -> Counts:
-        staged = self.wh.staging("student_absence")
-        read = facts.of_type(staged, fixed.LESSON).where(F.col("absence_reason").isin(list(fixed.REASONS))).count()
+        staged, read = self._counted(facts.absences(self.wh.staging("student_absence"), fixed.LESSON))
         others = [self.wh.table("dim_student_sensitive"), *self._eligible, self.wh.table("dim_subject")]
         rows = self.scratch.keep(facts.lesson_rows(staged, *others))
-        parts = self._touched("fact_absence_lesson", rows.select("date_id"))
-        return self._change_parts("fact_absence_lesson", lambda fact: facts.absence_lesson(fact, rows), parts, read)
+        return {"read": read(), **self._merge_parts("fact_absence_lesson", rows, facts.absence_lesson)}
 
     def grade(self) -> Counts:
-        staged = self.wh.staging("student_grades")
+        staged, read = self._counted(self.wh.staging("student_grades"))
         dimensions = self._named(
             "dim_student_sensitive", "dim_subject", "dim_discipline", "dim_school", "dim_exam_type"
         )
         rows = self.scratch.keep(facts.grade_rows(staged, *dimensions))
-        parts = self._touched("fact_grade", rows.select("school_year"))
-        return self._change_parts("fact_grade", lambda fact: facts.grade(fact, rows), parts, staged.count())
+        return {"read": read(), **self._merge_parts("fact_grade", rows, facts.grade)}
 
     def student_snapshot(self) -> Counts:
-        old = self.wh.table("fact_student_snapshot").count()
-        rows = facts.student_snapshot(*self._named("dim_student", "dim_student_sensitive"), self.as_of)
-        return {"inserted": self.wh.replace("fact_student_snapshot", rows), "deleted": old}
+        return self._reload(
+            "fact_student_snapshot", facts.student_snapshot(*self._named("dim_student", "dim_student_sensitive"), self.as_of)
+        )
 
     # -- order -----------------------------------------------------------------
 
@@ -267,10 +264,12 @@ class DailyLoad:
     def run(self) -> int:
         """All loads under one audited run; returns its id. The first failure is logged and raised.
 
-        Afterwards nothing is left of earlier versions of the tables, and so of
-        deleted students, nor of what the run kept for itself.
+        A run of the same day that was stopped is taken up where it stopped: its steps and
+        writes that are done are not repeated. Afterwards nothing is left of earlier
+        versions of the tables, and so of deleted students, nor of what the run kept for itself.
         """
-        with self.scratch, Run(self.wh.spark, f"{self.wh.root}/_log") as run:
+        with self.scratch, Run(self.wh.spark, f"{self.wh.root}/_log", self.as_of.isoformat()) as run:
+            self.wh.store.once = run.once
             self.cleanup(run)
             for job, name, work in self.steps():
                 run.step(job, name, work)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -15,7 +15,14 @@ from dimkeep.operators.lookup import latest_prior_parent, lookup
 from dimkeep.operators.merge import ACTION, INSERT, NONE, insert_new, merge, rows_to_insert, update_where
 from dimkeep.operators.rollup import code_names, collapse_min, with_fallback
 from dimkeep.plans import fixed_values as fixed
-from dimkeep.plans.model import FLAGS
+from dimkeep.plans.model import FLAGS, TABLES
+
+#: Stores a frame that several branches of a plan use.
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def _as_it_is(df: DataFrame) -> DataFrame:
+    return df
 
 
 def refresh_school_year_label(calendar: DataFrame, as_of: date) -> DataFrame:
@@ -106,7 +113,7 @@ def _insert_numbered(target: DataFrame, rows: DataFrame, natural: str, key: str)
     """Insert-only with a generated key."""
     new = rows_to_insert(target, rows, [natural], distinct=True)
     return target.withColumn(ACTION, F.lit(NONE)).unionByName(
-        assign_keys(target, new, [natural], key).withColumn(ACTION, F.lit(INSERT))
+        assign_keys(target, new, [natural], key).withColumn(ACTION, F.lit(INSERT)), allowMissingColumns=True
     )
 
 
@@ -120,26 +127,29 @@ def field_name(history: DataFrame, target: DataFrame) -> DataFrame:
     return insert_new(target, names, ["field_name"])
 
 
-def student_sensitive(basis: DataFrame, target: DataFrame, as_of: date) -> DataFrame:
-    """Personal data by civil number. Every student seen is marked with the current school year."""
+def student_sensitive(basis: DataFrame, target: DataFrame, as_of: date, keep: Keep = _as_it_is) -> DataFrame:
+    """Personal data by civil number. Every student seen is marked with the current school year.
+
+    ``keep`` may store what the merge reads several times: the source under its keys.
+    """
     seen = dates.school_year_name_of(dates.school_year_of(as_of))
-    attributes = [c for c in target.columns if c not in ("student_id", "cpr_nr", "last_seen")]
-    source = (
+    attributes = [c for c in TABLES["dim_student_sensitive"].fieldNames() if c not in ("student_id", "cpr_nr", "last_seen")]
+    rows = (
         basis.where(F.col("cpr_nr").isNotNull())
         .withColumn("birth_date", dates.parse_day(F.col("birth_date")))
         .select("cpr_nr", *attributes, F.lit(seen).alias("last_seen"))
     )
+    rows = keep(rows)
+    # Students not known yet are numbered first; the merge then inserts them under their keys.
+    unknown = rows_to_insert(target, rows.select("cpr_nr"), ["cpr_nr"], distinct=True)
+    source = rows.join(keep(assign_keys(target, unknown, ["cpr_nr"], "student_id")), "cpr_nr", "left")
     no_date = date(1900, 1, 1)
 
     def changed(t, s):
         tests = [differs(t(c), s(c), no_date if c == "birth_date" else "") for c in attributes]
         return any_of([*tests, differs(t("last_seen"), s("last_seen"))])
 
-    merged = merge(target, source, ["cpr_nr"], changed=changed)
-    # New students are numbered after the merge has found out who they are.
-    new = merged.where(F.col(ACTION) == INSERT)
-    numbered = assign_keys(target, new.drop("student_id"), ["cpr_nr"], "student_id")
-    return merged.where(F.col(ACTION) != INSERT).unionByName(numbered)
+    return merge(target, source, ["cpr_nr"], changed=changed, update=[*attributes, "last_seen"])
 
 
 def previous_main_school(
@@ -169,8 +179,12 @@ def student(
     as_of: date,
     known_districts: Sequence[int] = fixed.DISTRICTS,
     transfer_school: int = fixed.TRANSFER_SCHOOL,
+    keep: Keep = _as_it_is,
 ) -> DataFrame:
-    """Current students under their surrogate key; those gone from the extract are deleted."""
+    """Current students under their surrogate key; those gone from the extract are deleted.
+
+    ``keep`` may store the source, with all its lookups resolved.
+    """
     rows = lookup(
         basis.drop("student_id"), people, "cpr_nr", "cpr_nr", {"student_id": "student_id"}, required=True
     )
@@ -207,5 +221,5 @@ def student(
         first_known(F.col("previous"), F.col("school_district_code")).alias("previous_main_school_code"),
     )
     return merge(
-        target, source, ["student_id"], gone="delete", gone_if=lambda t: t("student_id") != UNKNOWN
+        target, keep(source), ["student_id"], gone="delete", gone_if=lambda t: t("student_id") != UNKNOWN
     )

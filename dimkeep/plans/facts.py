@@ -141,16 +141,23 @@ def event_rows(history, people, event_types) -> DataFrame:
 
 def student_event(history, target, people, event_types) -> DataFrame:
     """New rows only; repeats within one extract all go in."""
-    source = event_rows(history, people, event_types)
-    return rows_to_insert(target, source, ["student_id", "event_type_code", "date_id"], distinct=False)
+    return new_events(target, event_rows(history, people, event_types))
 
 
-def student_field(history, target, people, field_names) -> DataFrame:
+def new_events(target, rows) -> DataFrame:
+    return rows_to_insert(target, rows, ["student_id", "event_type_code", "date_id"], distinct=False)
+
+
+def field_rows(history, people, field_names) -> DataFrame:
     rows = with_student(of_type(history, fixed.FIELD), people)
     rows = lookup(rows, field_names, "field_name", "field_name", {"field_name": "field_name"}, required=True)
+    return rows.select("student_id", "field_name", "field_value")
+
+
+def student_field(target, rows) -> DataFrame:
     return merge(
         target,
-        rows.select("student_id", "field_name", "field_value"),
+        rows,
         ["student_id", "field_name"],
         changed=lambda t, s: differs(t("field_value"), s("field_value"), ""),
     )
@@ -169,8 +176,11 @@ def relocation_rows(history, people, municipalities) -> DataFrame:
 
 def student_relocation(history, target, people, municipalities) -> DataFrame:
     """New rows only; the municipality is not part of the key."""
-    source = relocation_rows(history, people, municipalities)
-    return rows_to_insert(target, source, ["student_id", "relocation_date_id"], distinct=False)
+    return new_relocations(target, relocation_rows(history, people, municipalities))
+
+
+def new_relocations(target, rows) -> DataFrame:
+    return rows_to_insert(target, rows, ["student_id", "relocation_date_id"], distinct=False)
 
 
 # -- absence --------------------------------------------------------------------
@@ -199,9 +209,14 @@ def absence_baseline(fact, calendar, students, schools, main_schools, as_of: dat
     )
 
 
+def absences(staged, *types: int) -> DataFrame:
+    """Registrations of these kinds for a reason that counts."""
+    return of_type(staged, *types).where(F.col("absence_reason").isin(list(fixed.REASONS)))
+
+
 def absence_rollup(staged, people, students, schools, main_schools, calendar, as_of: date) -> DataFrame:
     """One row per student, school day and school, up to yesterday."""
-    rows = of_type(staged, 5, 7).where(F.col("absence_reason").isin(list(fixed.REASONS)))
+    rows = absences(staged, *fixed.DAILY)
     rows = until(rows, F.to_date("absence_date", "yyyyMMdd"), dates.yesterday_of(as_of))
     rows = with_student(rows, people).withColumn("date_id", F.col("absence_date").cast("int"))
     rows = rows.join(
@@ -244,7 +259,7 @@ def absence_daily(fact, rollup, eligible, as_of: date) -> DataFrame:
 
 
 def lesson_rows(staged, people, students, schools, main_schools, subjects) -> DataFrame:
-    rows = of_type(staged, fixed.LESSON).where(F.col("absence_reason").isin(list(fixed.REASONS)))
+    rows = absences(staged, fixed.LESSON)
     # Here the sentinel student is not excluded.
     eligible = eligible_members(
         students, schools, main_schools,

@@ -137,6 +137,7 @@ COLUMNS = {
 # Row types of the history and absence extracts.
 ENROLLMENT, ACTION, EVENT, FIELD, RELOCATION = 4, 5, 6, 7, 8
 LESSON = 6
+DAILY = (5, 7)
 
 # Absence reasons that count.
 REASONS = ("S", "L", "U", "F")

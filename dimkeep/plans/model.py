@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import types as T
 
 from dimkeep.plans.fixed_values import COLUMNS, DROPPED
@@ -41,20 +43,15 @@ _INTEGERS = {
 
 
 def staged(table: str) -> T.StructType:
-    """All staged columns as text, as they are stored."""
+    """The columns of a staging table with the types the loads use, as they are stored."""
+    integers = set(_INTEGERS[table].split())
     names = [n for n in dict.fromkeys(COLUMNS[table].values()) if n not in DROPPED.get(table, ())]
-    return T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("stg_load_date", T.TimestampNTZType())])
+    columns = [T.StructField(n, T.IntegerType() if n in integers else T.StringType()) for n in names]
+    return T.StructType([*columns, T.StructField("stg_load_date", T.TimestampNTZType())])
 
 
-def staged_types(table: str) -> T.StructType:
-    """The same columns with the types the loads use."""
-    integers = set(_INTEGERS[table].split())
-    return T.StructType(
-        [
-            T.StructField(f.name, T.IntegerType() if f.name in integers else f.dataType)
-            for f in staged(table).fields
-        ]
-    )
+#: Staging tables stored in parts by what kind of row it is, so that a load reads its own rows alone.
+STAGED_BY = {"student_history": "row_type", "student_absence": "row_type"}
 
 
 _PERSON = (
@@ -131,13 +128,24 @@ TABLES: dict[str, T.StructType] = {
     ),
 }
 
+class Parts(NamedTuple):
+    """How a table is cut: by a key column divided by a number, or by a hash of it into so many buckets."""
+
+    column: str
+    divisor: int = 1
+    buckets: int | None = None
+
+
 # Large facts are stored in parts by a column of their key, so that a run rewrites only the parts
-# it has news for: table -> (column, divisor); part = column div divisor, 0 if null.
+# it has news for; a null belongs to part 0.
 PARTS = {
-    "fact_absence_daily": ("date_id", 100),
-    "fact_absence_lesson": ("date_id", 100),
-    "fact_enrollment": ("from_date_id", 10000),
-    "fact_grade": ("school_year", 1),
+    "fact_absence_daily": Parts("date_id", 100),
+    "fact_absence_lesson": Parts("date_id", 100),
+    "fact_enrollment": Parts("from_date_id", 10000),
+    "fact_grade": Parts("school_year"),
+    "fact_student_event": Parts("date_id", 10000),
+    "fact_student_field": Parts("student_id", buckets=64),
+    "fact_student_relocation": Parts("relocation_date_id", 10000),
 }
 PART = "part_id"
 

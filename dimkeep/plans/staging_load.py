@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimkeep.plans import fixed_values as fixed
@@ -14,6 +14,7 @@ from dimkeep.session import Scratch
 from dimkeep.sources.delimited import read_delimited
 from dimkeep.sources.sections import parse_sections, read_lines, section_columns
 from dimkeep.sources.staging import select_renamed, typed, with_load_date
+from dimkeep.sources.store import observed
 
 
 def read_extract(spark: SparkSession, path, file: str, scratch: Scratch) -> DataFrame:
@@ -29,7 +30,7 @@ def read_extract(spark: SparkSession, path, file: str, scratch: Scratch) -> Data
 
 
 def stage(parsed: DataFrame, table: str, moment: datetime) -> DataFrame:
-    """Parsed extract -> staged rows, all text but the load date."""
+    """Parsed extract -> staged rows. Text that does not fit its type fails the job."""
     df = select_renamed(parsed, fixed.COLUMNS[table], fixed.DROPPED.get(table, ()))
     if table == "student_basis" and "school_type_code" in df.columns:
         df = df.where(F.col("school_type_code").isNotNull())
@@ -40,16 +41,14 @@ def load_staging(warehouse: Warehouse, folder: str, moment: datetime) -> dict[st
     """Replace every staging table; returns rows per table.
 
     All tables get the same load date. A file without rows counts 0 and leaves
-    the table of the day before in place; the run goes on with that.
+    the table of the day before in place; the run goes on with that. Rows are
+    counted where the file has been parsed and where they are written, in one pass.
     """
     loaded = {}
     with Scratch(warehouse.spark, warehouse.root) as scratch:
         for file, table in fixed.FILES.items():
+            seen = Observation()
             parsed = read_extract(warehouse.spark, f"{folder}/{file}", file, scratch)
-            staged = stage(parsed, table, moment)
-            if file in fixed.SECTIONED:
-                # Nothing is filtered here, so the rows written say whether the file was empty.
-                loaded[table] = warehouse.store.replace(table, staged, unless_empty=True)
-            else:
-                loaded[table] = 0 if parsed.isEmpty() else warehouse.store.replace(table, staged)
+            rows = stage(parsed.observe(seen, F.count(F.lit(1)).alias("rows")), table, moment)
+            loaded[table] = warehouse.stage(table, rows, lambda _: not observed(seen, parsed, ["rows"])["rows"])  # noqa: B023
     return loaded

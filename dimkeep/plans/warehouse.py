@@ -8,15 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimkeep.operators.merge import ACTION, NONE
-from dimkeep.plans.model import PART, PARTS, TABLES, staged, staged_types
+from dimkeep.operators.merge import ACTION, DELETE
+from dimkeep.plans.model import PART, PARTS, STAGED_BY, TABLES, staged
 from dimkeep.sources.staging import typed
-from dimkeep.sources.store import Store
+from dimkeep.sources.store import ROW_ID, Counts, Store
 
 
 def part_of(table: str, column: Column) -> Column:
-    _, divisor = PARTS[table]
-    part = F.floor(column / divisor) if divisor > 1 else column
+    parts = PARTS[table]
+    if parts.buckets is not None:
+        part = F.pmod(F.xxhash64(column), F.lit(parts.buckets))
+    else:
+        part = F.floor(column / parts.divisor) if parts.divisor > 1 else column
     return F.coalesce(part.cast("int"), F.lit(0))
 
 
@@ -26,72 +29,70 @@ class Warehouse:
         self.store = Store(spark, root)
         self.root = self.store.files.root
 
+    # -- reading -----------------------------------------------------------
+
     def staging(self, table: str) -> DataFrame:
-        return typed(self.store.read(table, staged(table)), staged_types(table))
+        """Staged rows under the types the loads use; a filter on the row type prunes the scan."""
+        return self.store.read(table, staged(table))
+
+    def _schema(self, name: str) -> T.StructType:
+        """As stored, with the part."""
+        fields = TABLES[name].fields
+        return T.StructType([*fields, T.StructField(PART, T.IntegerType())] if name in PARTS else fields)
+
+    def _partition(self, name: str) -> str | None:
+        return PART if name in PARTS else None
 
     def table(self, name: str, parts: Iterable[int] | None = None) -> DataFrame:
-        schema = TABLES[name]
-        if name not in PARTS:
-            return self.store.read(name, schema)
-        stored = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
-        return self.store.read(name, stored, None if parts is None else list(parts)).drop(PART)
+        parts = None if parts is None else list(parts)
+        return self.store.read(name, self._schema(name), parts).select(TABLES[name].fieldNames())
+
+    def rows(self, name: str, parts: Iterable[int] | None = None) -> DataFrame:
+        """The table as a change takes it: each row knows which one it is."""
+        parts = None if parts is None else list(parts)
+        return self.store.rows(name, self._schema(name), parts).select(*TABLES[name].fieldNames(), *ROW_ID.fieldNames())
 
     def parts(self, name: str) -> list[int]:
         return self.store.parts(name)
 
-    def _stored(self, name: str, df: DataFrame) -> tuple[DataFrame, str | None]:
-        columns = TABLES[name].fieldNames() + ([ACTION] if ACTION in df.columns else [])
-        df = df.select(columns)
-        if name not in PARTS:
-            return df, None
-        return df.withColumn(PART, part_of(name, F.col(PARTS[name][0]))), PART
+    def parts_in(self, name: str, rows: DataFrame) -> list[int]:
+        """Parts of ``name`` that ``rows``, with its part column, fall into; one number a part comes back."""
+        part = part_of(name, F.col(PARTS[name].column))
+        return sorted(r[0] for r in rows.select(part.alias(PART)).distinct().collect())
+
+    # -- writing -----------------------------------------------------------
+
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        return df.withColumn(PART, part_of(name, F.col(PARTS[name].column))) if name in PARTS else df
+
+    def stage(self, table: str, rows: DataFrame, keep_if: Callable[[Counts], bool]) -> int:
+        return self.store.replace(table, rows, STAGED_BY.get(table), keep_if=keep_if)
 
     def replace(self, name: str, df: DataFrame) -> int:
-        return self.store.replace(name, *self._stored(name, typed(df, TABLES[name])))
+        return self.store.replace(name, self._stored(name, typed(df, TABLES[name])), self._partition(name))
 
     def append(self, name: str, df: DataFrame) -> int:
-        return self.store.append(name, *self._stored(name, typed(df, TABLES[name])))
-
-    def apply(self, name: str, changed: DataFrame, parts: Iterable[int] | None = None) -> dict[str, int]:
-        return self.store.apply(name, *self._stored(name, changed), None if parts is None else list(parts))
+        return self.store.append(name, self._stored(name, typed(df, TABLES[name])), self._partition(name))
 
-    def apply_where_changed(
-        self, name: str, merged: Callable[[DataFrame], DataFrame], candidates: Iterable[int]
-    ) -> dict[str, int]:
-        """Merge into a table in parts, writing only the parts in which some row changes.
+    def apply(self, name: str, changed: DataFrame) -> Counts:
+        """Write a change of :meth:`rows`; only the parts in which a row changes are written.
 
-        A first run of the merge, over the key and change columns alone, finds
-        them. The part is a function of a key column, so no row leaves its part.
+        The part is a function of a key column, so no row leaves its part.
         """
-        key = F.col(PARTS[name][0])
-        news = merged(self.table(name, candidates)).where(F.col(ACTION) != NONE)
-        parts = self.parts_in(name, key, news)
-        if not parts:
-            return {"inserted": 0, "updated": 0, "deleted": 0}
-        changed = merged(self.table(name, parts)).where(part_of(name, key).isin(parts))
-        return self.apply(name, changed, parts)
+        return self.store.apply(name, self._stored(name, changed), self._schema(name), self._partition(name))
+
+    def reload(self, name: str, rows: DataFrame) -> Counts:
+        """Empty the table and load it anew."""
+        return self.store.reload(name, typed(rows, TABLES[name]), TABLES[name])
 
     def tidy(self) -> None:
-        """Unite tables that many small appends have scattered, then drop all that the latest versions do not need."""
+        """Unite what many small appends have scattered, and drop what writes have prepared."""
         for name in self.store.tables():
             if name in TABLES:
-                stored = T.StructType([*TABLES[name].fields, T.StructField(PART, T.IntegerType())]) if name in PARTS else TABLES[name]
-                self.store.compact(name, stored, PART if name in PARTS else None)
-            self.store.forget(name, keep=1)
-
-    def parts_in(self, name: str, column: Column, rows: DataFrame) -> list[int]:
-        """Parts of ``name`` that ``rows`` fall into; one number per month or year comes back."""
-        return sorted(r[0] for r in rows.select(part_of(name, column).alias(PART)).distinct().collect())
-
-    def delete_members(self, name: str, gone: DataFrame, change) -> int:
-        """Delete the members' rows, rewriting only the parts that have some."""
-        on = gone.columns
-        hit = self.table(name).join(gone, on, "left_semi")
-        if name in PARTS:
-            parts = self.parts_in(name, F.col(PARTS[name][0]), hit)
-            if not parts:
-                return 0
-            return self.apply(name, change(self.table(name, parts), gone), parts)["deleted"]
-        if hit.isEmpty():
-            return 0
-        return self.apply(name, change(self.table(name), gone))["deleted"]
+                self.store.unite(name, self._schema(name), self._partition(name))
+        self.store.drop_drafts()
+
+    def delete_members(self, name: str, gone: DataFrame) -> int:
+        """Delete the members' rows: which ones they are is found in one narrow scan, then only their parts are rewritten."""
+        hit = self.rows(name).join(gone, gone.columns, "left_semi")
+        return self.apply(name, hit.withColumn(ACTION, F.lit(DELETE)))["deleted"]

@@ -18,7 +18,9 @@ class Files:
         path = self._path(folder)
         if not self._fs.exists(path):
             return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(path))
+        names = (s.getPath().getName() for s in self._fs.listStatus(path))
+        # what a write is still at, or has left where it was stopped, does not count
+        return sorted(n for n in names if not n.startswith((".", "_SUCCESS", "_temporary")))
 
     def read_text(self, name: str) -> str:
         stream = self._fs.open(self._path(name))
@@ -37,5 +39,13 @@ class Files:
         if self._fs.exists(final) or not self._fs.rename(draft, final):
             raise FileExistsError(f"{self.root}/{name}")
 
+    def move(self, name: str, to: str) -> None:
+        """The folder ``name`` takes the place of ``to``."""
+        final = self._path(to)
+        self._fs.delete(final, True)
+        self._fs.mkdirs(final.getParent())
+        if not self._fs.rename(self._path(name), final):
+            raise FileNotFoundError(f"{self.root}/{name}")
+
     def remove(self, name: str) -> None:
         self._fs.delete(self._path(name), True)

@@ -10,7 +10,10 @@ from dimkeep.operators.merge import merge
 from dimkeep.plans.audit import Run, run_log, step_log
 from dimkeep.plans.daily import DailyLoad, run_daily
 from dimkeep.plans.staging_load import load_staging
+from dimkeep.plans import facts
+from dimkeep.plans.model import TABLES
 from dimkeep.plans.warehouse import Warehouse
+from dimkeep.sources.files import Files
 from tests.school import (
     new_warehouse,
     stay,
@@ -317,25 +320,137 @@ def test_a_second_warehouse_starts_empty(spark, tmp_path):
     assert Warehouse(spark, str(tmp_path)).table("fact_absence_daily").count() == 0
 
 
-def test_only_parts_with_a_change_are_written(spark, tmp_path, rows):
+def executions(spark):
+    """Plans of all queries that have run so far in the session."""
+    listed = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return [listed.apply(i).physicalPlanDescription() for i in range(listed.size())]
+
+
+def test_the_merge_runs_once_and_only_its_parts_are_written(spark, tmp_path, rows):
     wh = Warehouse(spark, str(tmp_path))
     columns = "student_id int, date_id int, school_code int, absence_reason_code string"
     wh.replace("fact_absence_daily", spark.createDataFrame([(1, 20260901, 1, "S"), (1, 20261001, 1, "S"), (1, 20261101, 1, "S")], columns))
-    source = spark.createDataFrame([(1, 20260901, 1, "S"), (1, 20261001, 1, "U"), (2, 20261201, 1, "S")], columns)
+    source = wh.spark.createDataFrame([(1, 20260901, 1, "S"), (1, 20261001, 1, "U"), (2, 20261201, 1, "S")], columns)
+    source.write.parquet(f"{tmp_path}/_source")
+    source = spark.read.parquet(f"{tmp_path}/_source")
 
-    def merged(fact):
+    def merged():
         return merge(
-            fact, source, ["student_id", "date_id", "school_code"],
+            wh.rows("fact_absence_daily", [202609, 202610, 202612]), source, ["student_id", "date_id", "school_code"],
             changed=lambda t, s: t("absence_reason_code") != s("absence_reason_code"),
         )
 
-    done = wh.apply_where_changed("fact_absence_daily", merged, [202609, 202610, 202612])
-    assert done == {"inserted": 1, "updated": 1, "deleted": 0}
+    def files():
+        return {n: wh.store.files.names(f"fact_absence_daily/{n}") for n in wh.store.files.names("fact_absence_daily")}
+
+    before, seen = files(), len(executions(spark))
+    assert wh.apply("fact_absence_daily", merged()) == {"inserted": 1, "updated": 1, "deleted": 0}
+    ran = executions(spark)[seen:]
+    # one query joins source and fact, one rewrites the parts from what that found
+    assert sum("/_source]" in plan for plan in ran) == 1
+    assert sum("/fact_absence_daily]" in plan for plan in ran) == 2
+    assert all("PartitionFilters: [part_id" in plan for plan in ran if "/fact_absence_daily]" in plan)
     assert rows(wh.table("fact_absence_daily"), *source.columns) == [
         (1, 20260901, 1, "S"), (1, 20261001, 1, "U"), (1, 20261101, 1, "S"), (2, 20261201, 1, "S")
     ]
-    assert {value: int(folder[2:10]) for value, folder in wh.store._live("fact_absence_daily")} == {
-        202609: 1, 202610: 2, 202611: 1, 202612: 2
-    }
-    assert wh.apply_where_changed("fact_absence_daily", merged, [202609, 202610, 202612])["inserted"] == 0
-    assert wh.store._version("fact_absence_daily") == 2
+    after = files()
+    assert {n for n in after if after[n] != before.get(n)} == {"part_id=202610", "part_id=202612"}
+    assert wh.apply("fact_absence_daily", merged())["inserted"] == 0
+    assert files() == after
+
+
+def test_one_field_rewrites_one_part(spark, tmp_path, rows):
+    wh = Warehouse(spark, str(tmp_path))
+    names = "student_id int, field_name string, field_value string"
+    wh.replace("fact_student_field", spark.createDataFrame([(i, "bus", "yes") for i in range(200)], names))
+    assert len(wh.parts("fact_student_field")) > 40
+    files = lambda: {p: wh.store.files.names(f"fact_student_field/part_id={p}") for p in wh.parts("fact_student_field")}
+    before = files()
+    news = spark.createDataFrame([(7, "bus", "no"), (8, "bus", "yes")], names)
+    target = wh.rows("fact_student_field", wh.parts_in("fact_student_field", news))
+    assert wh.apply("fact_student_field", facts.student_field(target, news)) == {"inserted": 0, "updated": 1, "deleted": 0}
+    assert sum(before[p] != now for p, now in files().items()) == 1
+    assert (7, "bus", "no") in rows(wh.table("fact_student_field"))
+
+
+def test_a_load_reads_its_own_kind_of_rows(days):
+    wh, _, _ = days
+    history = facts.of_type(wh.staging("student_history"), 4)
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(row_type" in plan or "PartitionFilters: [(row_type" in plan
+    assert len(history.inputFiles()) >= 1
+    assert wh.staging("student_history").schema["class_level"].dataType.simpleString() == "int"
+
+
+class Stopped(BaseException):
+    """Ends the driver's work as a lost driver would: nothing is logged."""
+
+
+def write_two_days(folder):
+    write_basis(folder, [student("P1", birth_date="20120229"), student("P2", 280628, 280628, student_type_name=None)])
+    write_history(
+        folder,
+        [stay("P1", 280093, 20250801), stay("P2", 280093, 20250801, 20260731), stay("P2", 280628, 20260801)],
+        [("P1", 3, "x", 20250901, None, "2,5", None)],
+        [("P1", 40, 20260901), ("P1", 40, 20260901)],
+        [("P1", "bus", "yes")],
+        [("P2", 860, 20250101)],
+    )
+    write_absence(folder, half=[("P2", "L", 20260915, 280628, 8, "første")], lessons=[("P1", "U", 20260915, 280093, 5, 1, 1)])
+    write_grades(folder, [("P1", "1", "x", 9, 2026, "0", "10", 280093, "FP9")])
+
+
+def content(wh):
+    return {t: sorted((tuple(r) for r in wh.table(t).collect()), key=repr) for t in TABLES if t != "dim_date"}
+
+
+def logged(wh):
+    log = step_log(wh.spark, f"{wh.root}/_log").drop("finished_at")
+    return sorted(tuple(r) for r in log.collect())
+
+
+FEW = ("dim_student_sensitive", "dim_student", "fact_student_action", "fact_student_event", "fact_student_field", "fact_absence_daily")
+
+
+def test_a_stopped_run_is_taken_up(spark, tmp_path, monkeypatch):
+    """The driver is stopped after every fifth event of the log; in the end all is as without that."""
+    every_step = DailyLoad.steps
+    monkeypatch.setattr(DailyLoad, "steps", lambda self: [s for s in every_step(self) if s[0] in FEW])
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write_two_days(folder)
+    plain, wh = (new_warehouse(spark, tmp_path / n) for n in ("plain", "wh"))
+    for warehouse in (plain, wh):
+        load_staging(warehouse, str(folder), datetime(2026, 9, 16, 4))
+        people = [(-1, None, None), (1, "P1", "2025/2026"), (50, "GONE", "2015/2016")]
+        warehouse.replace("dim_student_sensitive", spark.createDataFrame(people, "student_id int, cpr_nr string, last_seen string"))
+    DailyLoad(plain, DAY1).run()
+
+    written, stops = [0], [0]
+    write_text = Files.write_text
+
+    def stopping(self, name, text):
+        write_text(self, name, text)
+        written[0] += 1
+        if written[0] % 5 == 0 and "runs/" not in name:
+            stops[0] += 1
+            raise Stopped
+
+    monkeypatch.setattr(Files, "write_text", stopping)
+    for _ in range(40):
+        try:
+            DailyLoad(Warehouse(spark, wh.root), DAY1).run()
+            break
+        except Stopped:
+            pass
+    assert stops[0] >= 6
+    assert content(wh) == content(plain)
+    assert logged(wh) == logged(plain)
+    log = run_log(spark, f"{wh.root}/_log").collect()
+    assert [(r.run_id, r.status) for r in log] == [(1, "success")]
+    # a run that has succeeded is not taken up, nor is one of another day
+    with Run(spark, f"{wh.root}/_log", DAY1.isoformat()) as run:
+        assert run.run_id == 2
+    assert Run(spark, f"{wh.root}/_log", DAY2.isoformat()).run_id == 3
+    assert Run(spark, f"{wh.root}/_log", DAY1.isoformat()).run_id == 4
+    assert Run(spark, f"{wh.root}/_log", DAY1.isoformat()).run_id == 4

@@ -1,7 +1,10 @@
 import random
 from datetime import datetime
 
+import json
+
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dimkeep.operators.merge import ACTION
@@ -265,7 +268,7 @@ def test_empty_write(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     store.replace("t", spark.createDataFrame([(1, "a")], SCHEMA))
     empty = store.read("t", SCHEMA).where("k > 5")
-    assert store.replace("t", empty, unless_empty=True) == 0 and store.read("t", SCHEMA).count() == 1
+    assert store.replace("t", empty, keep_if=lambda counts: not counts["rows"]) == 0 and store.read("t", SCHEMA).count() == 1
     assert store.replace("t", empty) == 0 and store.read("t", SCHEMA).count() == 0
 
 
@@ -277,36 +280,83 @@ def test_failed_write_leaves_the_old_rows(spark, tmp_path, rows):
     assert rows(store.read("t", SCHEMA)) == [(1, "a")]
 
 
-def test_only_given_parts_are_replaced(spark, tmp_path, rows):
+def test_only_parts_with_a_change_are_written(spark, tmp_path, rows):
     store = Store(spark, str(tmp_path))
-    data = [(1, "a", 1), (2, "b", 2), (3, "c", 2), (4, "d", 3)]
+    data = [(1, "a", 1), (2, "b", 2), (3, "c", 2), (3, "c", 2), (4, "d", 3), (5, "e", None), (6, "f", 5)]
     store.replace("t", spark.createDataFrame(data, PARTED), "p")
-    assert store.parts("t") == [1, 2, 3]
-    two = store.read("t", PARTED, [2])
-    assert rows(two) == [(2, "b", 2), (3, "c", 2)]
-    action = F.when(F.col("k") == 2, "DELETE").otherwise(F.when(F.col("k") == 3, "UPDATE").otherwise("NONE"))
-    assert store.apply("t", two.withColumn(ACTION, action), "p", [2]) == {"inserted": 0, "updated": 1, "deleted": 1}
-    assert rows(store.read("t", PARTED)) == [(1, "a", 1), (3, "c", 2), (4, "d", 3)]
-    kept = [d for _, d in store._live("t") if d.startswith("v=00000001-")]
-    assert len(kept) == 2
-
-
-def test_old_versions_are_forgotten(spark, tmp_path, rows):
+    assert store.parts("t") == [1, 2, 3, 5]
+    assert rows(store.read("t", PARTED, [2])) == [(2, "b", 2), (3, "c", 2), (3, "c", 2)]
+    files = {n: store.files.names(f"t/{n}") for n in store.files.names("t")}
+    old = store.rows("t", PARTED)
+    # of two equal rows one changes; part 3 loses its only row; part 4 is new
+    turn = F.row_number().over(Window.partitionBy("k").orderBy("_row"))
+    action = F.when((F.col("k") == 3) & (turn == 1), "UPDATE").when(F.col("k").isin(2, 4), "DELETE").otherwise("NONE")
+    changed = old.withColumn(ACTION, action).withColumn("n", F.when(F.col(ACTION) == "UPDATE", "new").otherwise(F.col("n")))
+    new = spark.createDataFrame([(9, "z", 4, "INSERT"), (9, "z", 4, "INSERT")], "k int, n string, p int, _action string")
+    done = store.apply("t", changed.unionByName(new, allowMissingColumns=True), PARTED, "p")
+    assert done == {"inserted": 2, "updated": 1, "deleted": 2}
+    assert rows(store.read("t", PARTED)) == sorted([(1, "a", 1), (3, "c", 2), (3, "new", 2), (5, "e", None), (6, "f", 5), (9, "z", 4), (9, "z", 4)], key=repr)
+    after = {n: store.files.names(f"t/{n}") for n in store.files.names("t")}
+    assert store.parts("t") == [1, 2, 4, 5]
+    assert {n for n in files if after.get(n) != files[n]} == {"p=2", "p=3"}
+
+
+def test_a_change_without_parts(spark, tmp_path, rows):
+    store = Store(spark, str(tmp_path))
+    none = store.rows("t", SCHEMA).withColumn(ACTION, F.lit("NONE"))
+    new = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], SCHEMA).withColumn(ACTION, F.lit("INSERT"))
+    assert store.apply("t", none.unionByName(new, allowMissingColumns=True), SCHEMA)["inserted"] == 3
+    gone = store.rows("t", SCHEMA).where("k = 2").withColumn(ACTION, F.lit("DELETE"))
+    assert store.apply("t", gone, SCHEMA) == {"inserted": 0, "updated": 0, "deleted": 1}
+    assert rows(store.read("t", SCHEMA)) == [(1, "a"), (1, "a")]
+    assert store.reload("t", spark.createDataFrame([(7, "x")], SCHEMA), SCHEMA) == {"inserted": 1, "updated": 0, "deleted": 2}
+    assert rows(store.read("t", SCHEMA)) == [(7, "x")]
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("at", range(1, 5))
+def test_a_stopped_exchange_is_finished(spark, tmp_path, rows, monkeypatch, at):
+    """The write is stopped before, between and after the parts; begun again it ends as if it had not been."""
+    store = Store(spark, str(tmp_path), once=None)
+    plain = Store(spark, str(tmp_path))
+    data = [(i, "a", i % 3) for i in range(9)]
+    plain.replace("t", spark.createDataFrame(data, PARTED), "p")
+    kept = {}
+
+    def stopping(prepare, publish):
+        kept.update(plan=json.loads(json.dumps(prepare())), publish=publish)
+        raise Stopped
+
+    store.once = stopping
+    old = store.rows("t", PARTED)
+    changed = old.withColumn(ACTION, F.when(F.col("p") == 1, "DELETE").otherwise("UPDATE")).withColumn("n", F.lit("b"))
+    with pytest.raises(Stopped):
+        store.apply("t", changed, PARTED, "p")
+    if at == 2:  # stopped when one part was in place
+        schema = Store._with_action(PARTED)
+        part = spark.read.schema(schema).parquet(f"{tmp_path}/{kept['plan']['changes']}")
+        one = {**kept["plan"], "before": {"0": kept["plan"]["before"]["0"]}, "emptied": []}
+        store._exchange("t", PARTED, "p", part, one)
+    for _ in range(2 if at == 3 else 1):
+        kept["publish"](kept["plan"])
+    assert rows(plain.read("t", PARTED)) == sorted([(i, "b", i % 3) for i in range(9) if i % 3 != 1], key=repr)
+    if at == 4:  # a part that Spark took away and did not put back is not passed over
+        plain.files.remove("t/p=0")
+        with pytest.raises(RuntimeError, match="missing"):
+            kept["publish"](kept["plan"])
+
+
+def test_a_draft_takes_the_place_once(spark, tmp_path, rows):
     store = Store(spark, str(tmp_path))
-    for i in range(4):
-        store.replace("t", spark.createDataFrame([(i, "a")], SCHEMA))
-    store.forget("t", keep=2)
-    assert [n[:10] for n in store.files.names("t") if n.startswith("v=")] == ["v=00000003", "v=00000004"]
-    assert rows(store.read("t", SCHEMA)) == [(3, "a")]
-
-
-def test_a_stale_writer_keeps_the_committed_rows(spark, tmp_path, rows, monkeypatch):
-    store, stale = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
-    monkeypatch.setattr(stale, "_version", lambda table: 0)
     store.replace("t", spark.createDataFrame([(1, "a")], SCHEMA))
-    with pytest.raises(FileExistsError):
-        stale.replace("t", spark.createDataFrame([(100, "z")], SCHEMA))
-    assert rows(store.read("t", SCHEMA)) == [(1, "a")]
+    store.files.move("t", "_drafts/x")  # stopped between the two moves
+    plan = {"draft": "_drafts/x"}
+    for _ in range(2):
+        store._swap("t", plan)
+        assert rows(store.read("t", SCHEMA)) == [(1, "a")]
 
 
 def test_a_failed_observation_is_raised(spark, tmp_path, monkeypatch):
@@ -332,16 +382,24 @@ def test_a_merge_without_a_change_writes_nothing(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     store.replace("t", spark.createDataFrame([(1, "a")], SCHEMA))
     before = store.files.names("t")
-    store.apply("t", store.read("t", SCHEMA).withColumn(ACTION, F.lit("NONE")))
+    store.apply("t", store.rows("t", SCHEMA).withColumn(ACTION, F.lit("NONE")), SCHEMA)
     assert store.files.names("t") == before
 
 
-def test_scattered_appends_are_united(spark, tmp_path, rows):
+@pytest.mark.parametrize("partition", [None, "p"])
+def test_scattered_appends_are_united(spark, tmp_path, rows, monkeypatch, partition):
+    monkeypatch.setattr("dimkeep.sources.store.SCATTERED", 5)
     store = Store(spark, str(tmp_path))
-    for i in range(18):
-        store.append("t", spark.createDataFrame([(i, "a", i % 2)], PARTED), "p" if i > 20 else None)
-    store.compact("t", PARTED)
-    assert len(store._live("t")) == 1 and store.read("t", PARTED).count() == 18
+    for i in range(12):
+        store.append("t", spark.createDataFrame([(i, "a", i % 5 // 4)], PARTED).coalesce(1), partition)
+    store.unite("t", PARTED, partition)
+    assert rows(store.read("t", PARTED)) == sorted([(i, "a", i % 5 // 4) for i in range(12)], key=repr)
+    files = len(store.files.names("t/p=0" if partition else "t"))
+    assert files <= 2
+    if partition:  # the other part was not scattered
+        assert len(store.files.names("t/p=1")) == 2
+    store.drop_drafts()
+    assert store.tables() == ["t"]
 
 
 def test_scratch_goes(spark, tmp_path):
