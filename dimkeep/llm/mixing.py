@@ -21,8 +21,12 @@ from pyspark.sql import functions as F
 
 from dimkeep.llm.shared import free_name
 
-#: Slots of a period: the finest weight is one in as many, and so many sources are possible.
+#: Slots of a period at least: the finest weight is one in as many.
 PERIOD = 10_000
+#: Slots of a period for each source at least, so that one slot for the smallest takes little from the others.
+_SLOTS = 16
+#: A timetable of up to so many slots is broadcast.
+_BROADCAST = 200_000
 #: Rows of a block.
 BLOCK = 32
 #: Hash buckets in which the rows of one source are numbered.
@@ -34,14 +38,17 @@ Source = str | None
 def target_weights(docs: DataFrame, *, source: str = "source", power: float = 0.5) -> dict[Source, float]:
     """Weights in proportion to a power of the sources' row counts: 1 as they are, 0 all alike.
 
-    At most PERIOD sources come to the driver; with more this fails.
+    One number for each source comes to the driver, however many sources there are.
     """
-    counts = docs.groupBy(F.col(source).cast("string").alias("source")).count().limit(PERIOD + 1).collect()
-    if len(counts) > PERIOD:
-        raise ValueError(f"more than {PERIOD} sources cannot be given slots of a period of {PERIOD}")
+    counts = docs.groupBy(F.col(source).cast("string").alias("source")).count().collect()
     return {r["source"]: float(r["count"]) ** power for r in counts}
 
 
+def period_of(weights: Mapping[Source, float]) -> int:
+    """Slots of a period for so many sources."""
+    return max(PERIOD, _SLOTS * sum(w > 0 for w in weights.values()))
+
+
 def quotas(weights: Mapping[Source, float], period: int = PERIOD) -> dict[Source, int]:
     """Slots of each source in a period, by largest remainders; a positive weight has one at least."""
     positive = {s: float(w) for s, w in weights.items() if w > 0}
@@ -100,7 +107,7 @@ def mix(
     source: str = "source",
     doc_id: str = "doc_id",
     block: int = BLOCK,
-    period: int = PERIOD,
+    period: int | None = None,
     out: str = "mix",
 ) -> DataFrame:
     """``docs`` with a struct ``out``: ``block`` (number in its source), ``release``, ``deadline``, ``slot``
@@ -110,8 +117,10 @@ def mix(
     the others keep their places. A null source is a source of its own. Rows of a
     source without a positive weight have only a block; the rest is null, and they
     come after all others. Null and repeated ids have places like others. No rows
-    or no weights give no places, without failing.
+    or no weights give no places, without failing. The ``period`` follows from the
+    number of sources unless it is given; it must not be smaller than that number.
     """
+    period = period_of(weights) if period is None else period
     spark = docs.sparkSession
     key, number, slots, nth, turn, when = (free_name(docs, n) for n in ("_source", "_number", "_slots", "_nth", "_turn", "_when"))
     named = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
@@ -119,16 +128,16 @@ def mix(
     rows = _number(docs.withColumn(key, named), key, doc_id, number)
     per_period = quotas(weights, period)
     table = [(name(s), per_period[s], k, r, d, at) for s, k, r, d, at in timetable(per_period, period)]
-    # PERIOD rows at most
+    light = F.broadcast if len(table) <= _BROADCAST else lambda df: df
     plan = spark.createDataFrame(table, "source string, n int, nth int, release long, deadline long, slot long")
     share = plan.select(F.col("source").alias(key), F.col("n").alias(slots)).distinct()
     slot_of = plan.select(F.col("source").alias(key), F.col("nth").alias(nth), F.struct("release", "deadline", "slot").alias(when))
     count = F.col(number)
     placed = (
-        rows.join(F.broadcast(share), key, "left")
+        rows.join(light(share), key, "left")
         .withColumn(nth, F.floor(count / block) % F.col(slots))
         .withColumn(turn, F.floor(F.floor(count / block) / F.col(slots)) * period)
-        .join(F.broadcast(slot_of), [key, nth], "left")
+        .join(light(slot_of), [key, nth], "left")
     )
     at = F.struct(
         F.floor(count / block).alias("block"),

@@ -129,6 +129,43 @@ def test_classes_of_all_documents(spark):
     assert got == plain_classes(texts)
 
 
+def test_texts_that_share_an_id(spark):
+    word = lambda k: [f"w{k}_{i}" for i in range(120)]
+    a, b, c = word(1), word(2), word(3)
+    near = lambda words: " ".join(words[:-1] + ["other"])
+    text = " ".join
+    # one id with two texts; a near copy of the second under another id, then an exact one
+    for copy in (near(b), text(b)):
+        df = spark.createDataFrame([(5, text(a), "x"), (5, text(b), "x"), (9, copy, "x"), (7, text(c), "x"), (7, text(c), "y")], "doc_id long, text string, node string")
+        got = sorted(tuple(r) for r in near_duplicates.near_duplicates(df).collect())
+        assert got == [(5, 5), (5, 5), (7, 7), (7, 7), (9, 5)]
+        kept = sorted((r.doc_id, r.text) for r in near_duplicates.one_of_each_class(df).collect())
+        assert kept == sorted([(5, text(a)), (5, text(b)), (7, text(c))])
+
+
+def test_classes_where_ids_repeat(spark):
+    rng = np.random.default_rng(11)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    bases = [word(150) for _ in range(4)]
+    rows = []
+    for i in range(60):
+        words = list(bases[rng.integers(0, 4)])
+        for at in rng.integers(0, 150, rng.integers(0, 9)):
+            words[at] = f"c{i}"
+        rows.append((int(rng.integers(0, 25)), " ".join(words)))
+    names = [f"{i}:{t}" for i, t in rows]
+    by_text = plain_classes(dict(enumerate(t for _, t in rows)))
+    smallest = defaultdict(lambda: 10**9)
+    for n, (i, _) in enumerate(rows):
+        smallest[by_text[n]] = min(smallest[by_text[n]], i)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in near_duplicates.near_duplicates(df).collect())
+    assert got == sorted((i, smallest[by_text[n]]) for n, (i, _) in enumerate(rows))
+    kept = near_duplicates.one_of_each_class(df).collect()
+    place = {name: by_text[n] for n, name in enumerate(names)}
+    assert sorted(place[f"{r.doc_id}:{r.text}"] for r in kept) == sorted(smallest)
+
+
 @pytest.fixture
 def copies(spark):
     """Chains and groups around the threshold, copies, short, empty, null and long texts, null and repeated ids."""
@@ -226,6 +263,17 @@ def test_mixing_of_odd_rows(spark):
     assert mixing.mix(df.limit(0), {}, out="at").count() == 0 and mixing.target_weights(df.limit(0)) == {}
 
 
+def test_more_sources_than_slots(spark):
+    rows = [(i, f"s{i}") for i in range(10_001)] + [(20_000 + i, "s0") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = mixing.target_weights(df, power=1.0)
+    assert len(weights) == 10_001
+    slots = mixing.quotas(weights, mixing.period_of(weights))
+    assert abs(slots["s0"] / sum(slots.values()) - 3001 / 13_001) < 0.01
+    placed = mixing.mix(df, weights)
+    assert placed.filter("mix.position IS NULL").count() == 0 and placed.select("mix.position").distinct().count() == 13_001
+
+
 # chats
 
 
