@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dimkeep.catalog.extracts import new_scratch
-from dimkeep.catalog.jobs import School, sql_of
-from dimkeep.catalog.registry import Tables, query
+from dimkeep.catalog.jobs import AS_OF, School, sql_of
+from dimkeep.catalog.registry import Tables, key_of, query
+from dimkeep.functions.dates import day_key
 from dimkeep.functions.predicates import differs
 from dimkeep.operators.merge import merge
 from dimkeep.plans import fixed_values as fixed
 from dimkeep.plans.audit import Run, run_log, step_log
 from dimkeep.plans.model import schema_of, staged
-from dimkeep.plans.staging_load import stage
+from dimkeep.plans.daily import DailyLoad
+from dimkeep.plans.staging_load import load_staging, stage
+from dimkeep.plans.warehouse import Warehouse
 from dimkeep.sources.store import Store, observed
 
 _ORDERS = schema_of("o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_orderstatus string, o_year int")
@@ -100,3 +103,111 @@ def stage_basis(t: Tables) -> DataFrame:
         "cpr_nr", "first_name", "birth_date", F.col("school_code").cast("int").alias("school_code"),
         F.col("school_type_code").cast("int").alias("school_type_code"), F.date_format("stg_load_date", "yyyyMMdd").cast("int").alias("load_day"),
     )
+
+
+def _facts(t: Tables) -> dict[str, DataFrame]:
+    """Rows of every student fact, as far as the cleanup looks at them: students and what the parts are made of."""
+    orders = t.orders.select(
+        (F.col("o_custkey") + 1).alias("student_id"), day_key(F.col("o_orderdate")).alias("date_id"), "o_orderpriority"
+    )
+    events = t.events.select((F.col("user_id") + 1).alias("student_id"), key_of("ts").alias("date_id"))
+    of = lambda priority, *columns: orders.where(F.col("o_orderpriority") == priority).select("student_id", *columns)
+    return {
+        "fact_absence_daily": events,
+        "fact_absence_lesson": events,
+        "fact_grade": t.lineitem.select((F.col("l_suppkey") + 1).alias("student_id"), F.year("l_shipdate").alias("school_year")),
+        "fact_enrollment": of("1-URGENT", F.col("date_id").alias("from_date_id")),
+        "fact_student_action": of("2-HIGH"),
+        "fact_student_event": of("3-MEDIUM", "date_id"),
+        "fact_student_relocation": of("5-LOW", F.col("date_id").alias("relocation_date_id")),
+        "fact_student_field": of("4-NOT SPECIFIED"),
+        "fact_student_snapshot": orders.select("student_id"),
+    }
+
+
+@query(sql_of("people") + """, gone AS (SELECT student_id FROM people WHERE last_seen IS NULL OR last_seen < '2023/2024'),
+o AS (SELECT o_orderpriority, o_custkey + 1 IN (SELECT student_id FROM gone) AS hit FROM orders),
+e AS (SELECT user_id + 1 IN (SELECT student_id FROM gone) AS hit FROM events),
+g AS (SELECT l_suppkey + 1 IN (SELECT student_id FROM gone) AS hit FROM lineitem)
+SELECT 'Cleanup fact_absence_daily' AS step_name, count(*) FILTER (hit) AS rows_deleted, count(*) FILTER (NOT hit) AS rows_left FROM e
+UNION ALL SELECT 'Cleanup fact_absence_lesson', count(*) FILTER (hit), count(*) FILTER (NOT hit) FROM e
+UNION ALL SELECT 'Cleanup fact_grade', count(*) FILTER (hit), count(*) FILTER (NOT hit) FROM g
+UNION ALL SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'Cleanup fact_enrollment' WHEN '2-HIGH' THEN 'Cleanup fact_student_action'
+  WHEN '3-MEDIUM' THEN 'Cleanup fact_student_event' WHEN '5-LOW' THEN 'Cleanup fact_student_relocation' ELSE 'Cleanup fact_student_field' END,
+  count(*) FILTER (hit), count(*) FILTER (NOT hit) FROM o GROUP BY o_orderpriority
+UNION ALL SELECT 'Cleanup fact_student_snapshot', count(*) FILTER (hit), count(*) FILTER (NOT hit) FROM o
+UNION ALL SELECT 'Cleanup students', (SELECT count(*) FROM gone), count(*) FROM people WHERE student_id NOT IN (SELECT student_id FROM gone)
+""")
+def cleanup_all(t: Tables) -> DataFrame:
+    """Retention over all nine facts and both person tables of a warehouse: the step log, and what is left of each table."""
+    s = School(t)
+    wh = Warehouse(t.spark, new_scratch(t).place())
+    for name, rows in _facts(t).items():
+        wh.replace(name, rows)
+    wh.replace("dim_student_sensitive", s.people)
+    wh.replace("dim_student", s.students)
+    log = f"{wh.root}/_log"
+    load = DailyLoad(wh, AS_OF, keep_years=0)
+    with load.scratch, Run(t.spark, log) as run:
+        load.cleanup(run)
+    left = None
+    for name in (*_facts(t), "dim_student_sensitive"):
+        step = "Cleanup students" if name == "dim_student_sensitive" else f"Cleanup {name}"
+        one = wh.table(name).agg(F.count(F.lit(1)).alias("rows_left")).select(F.lit(step).alias("step_name"), "rows_left")
+        left = one if left is None else left.union(one)
+    return step_log(t.spark, log).join(left, "step_name").select("step_name", "rows_deleted", "rows_left")
+
+
+def _section_text(rows: DataFrame, table: str, kinds: tuple[int, ...]) -> DataFrame:
+    """Typed staging rows as the lines of section files, eight of them: a line of metadata, then a header and rows of each kind."""
+    source = {new: old for old, new in reversed(fixed.COLUMNS[table].items()) if not old.startswith("_extra_")}
+    names = [c for c in rows.columns if c in source and c != "row_type"]
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+    line = F.concat_ws(";", F.col("row_type").cast("string"), *cells)
+    file = F.pmod(F.xxhash64("cpr_nr"), F.lit(8)).cast("int")
+    body = rows.where(F.col("row_type").isin(list(kinds))).select(file.alias("file"), (F.col("row_type") * 2 + 1).alias("at"), line.alias("value"))
+    heads = [(0, "1;extract")] + [(2 * k, ";".join(["2", *[source[c] for c in names]])) for k in kinds]
+    fixed_lines = F.explode(F.array(*[F.struct(F.lit(at).alias("at"), F.lit(text).alias("value")) for at, text in heads])).alias("l")
+    return body.union(rows.sparkSession.range(8).select(F.col("id").cast("int").alias("file"), fixed_lines).select("file", "l.at", "l.value"))
+
+
+def _write_extracts(t: Tables, folder: str, *, with_grades: bool) -> None:
+    s = School(t)
+    sectioned = {
+        "elev_historik.csv": (s.history, "student_history", (4, 5, 6, 7, 8)),
+        "elev_fravaer.csv": (s.absence, "student_absence", (5, 6, 7)),
+        "elev_karakterer.csv": (s.grades.withColumn("row_type", F.lit(1 if with_grades else None).cast("int")), "student_grades", (1,)),
+    }
+    for file, (rows, table, kinds) in sectioned.items():
+        lines = _section_text(rows, table, kinds)
+        # A file's lines must lie in order; the rows of a kind may lie in any.
+        lines.repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").option(
+            "encoding", "windows-1252"
+        ).text(f"{folder}/{file}")
+    source = {new: old for old, new in reversed(fixed.COLUMNS["student_basis"].items())}
+    flat = s.basis.select(*[F.col(c).cast("string").alias(source[c]) for c in s.basis.columns if c in source])
+    flat.write.option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(f"{folder}/elev_basis.csv")
+
+
+@query(sql_of("basis", "history", "absence", "grades") + """, d AS (SELECT unnest([1, 2]) AS day)
+SELECT day, 'student_basis' AS name, count(*) AS loaded, count(*) AS staged, count(school_code) AS schools FROM d, basis GROUP BY day
+UNION ALL SELECT day, 'student_history', count(*), count(*), count(school_code) FROM d, history GROUP BY day
+UNION ALL SELECT day, 'student_absence', count(*), count(*), count(school_code) FROM d, absence GROUP BY day
+UNION ALL SELECT day, 'student_grades', CASE day WHEN 1 THEN count(*) ELSE 0 END, count(*), count(school_code) FROM d, grades GROUP BY day
+""")
+def staging_load(t: Tables) -> DataFrame:
+    """All four extracts written as files and staged on two days; on the second the grades are empty and those of the first stay."""
+    out = None
+    wh = Warehouse(t.spark, new_scratch(t).place())
+    for day in (1, 2):
+        folder = new_scratch(t).place()
+        _write_extracts(t, folder, with_grades=day == 1)
+        for name, loaded in load_staging(wh, folder, datetime(2024, 1, 30 + day - 1, 4)).items():
+            # staged tables are replaced on the second day, so what is there on the first is counted at once
+            there = wh.staging(name).agg(F.count(F.lit(1)).alias("staged"), F.count("school_code").alias("schools")).first()
+            one = t.spark.range(1).select(
+                F.lit(day).alias("day"), F.lit(name).alias("name"), F.lit(loaded).cast("long").alias("loaded"),
+                F.lit(there["staged"]).cast("long").alias("staged"), F.lit(there["schools"]).cast("long").alias("schools"),
+            )
+            out = one if out is None else out.union(one)
+    return out
