@@ -3,18 +3,25 @@
 The first field of a line says what it is: ``2`` a header, ``3`` a sum line,
 anything else a data row of that type. Line 1 is metadata.
 
-The header a row belongs to is the last one above it. Where a line stands is
-fixed once, when the files are read: the lines are written to a shared folder
-with their positions, and everything after that works on this copy, however the
-cluster has changed in between. A file's headers are one row, which meets its
-lines in a join; a file that holds most of the data is still spread over many tasks.
+The header a row belongs to is the last one above it, found in two levels. Within a
+block of lines the last header is carried from line to line; from block to block it
+is carried over one small row each. So a row knows the place of its header, which it
+meets in one join; neither a file nor its headers are ever one group, and a file of
+very many sections costs no more than one of few.
+
+Blocks of files are their splits: the lines are written to a shared folder with their
+positions as one execution deals them out, and everything after that works on this
+copy, however the cluster has changed in between.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimkeep.functions.text import windows_line
@@ -24,16 +31,46 @@ from dimkeep.session import Scratch
 SEPARATOR = ";"
 HEADER, TOTAL = "2", "3"
 EXTRA = "_extra_"
+#: Lines of a block, where the lines do not come from files.
+_BLOCK = 1 << 16
 # What Python's strip() removes, as far as it occurs in single-byte text.
 _SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f "
 
 
+def _carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (path, start, ln, line, header) with ``own`` in place of ``header``: the last header of the split so far.
+
+    The first line of a file is no header. Splits come one after the other, each in order.
+    """
+    split, last = None, None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        path, start, ln = batch.column(0), batch.column(1), batch.column(2)
+        begins = np.ones(n, bool)
+        begins[0] = split != (path[0].as_py(), start[0].as_py())
+        differ = pc.or_(pc.not_equal(path.slice(1), path.slice(0, n - 1)), pc.not_equal(start.slice(1), start.slice(0, n - 1)))
+        begins[1:] = differ.to_numpy(zero_copy_only=False)
+        header = batch.column(4).to_numpy(zero_copy_only=False) & ~(begins & (start.to_numpy() == 0))
+        at = np.maximum.accumulate(np.where(header, np.arange(n), -1))
+        group = np.maximum.accumulate(np.where(begins, np.arange(n), -1))
+        own = np.where((at >= 0) & (at >= group), ln.to_numpy()[np.maximum(at, 0)], -1)
+        if last is not None:
+            own[(group < 0) & (at < 0)] = last  # the split of the batch before goes on
+        yield pa.record_batch(
+            [path, start, ln, batch.column(3), pa.array(own, pa.int64(), mask=own < 0)], names=["path", "start", "ln", "line", "own"]
+        )
+        split, last = (path[n - 1].as_py(), start[n - 1].as_py()), (int(own[-1]) if own[-1] >= 0 else None)
+
+
 def read_lines(spark: SparkSession, paths: str | Sequence[str], scratch: Scratch) -> DataFrame:
-    """Lines of windows-1252 files as ``(path, start, ln, line)``, kept in the scratch folder.
+    """Lines of windows-1252 files as ``(path, start, ln, line, own)``, kept in the scratch folder.
 
     The scan stays splittable. Row ids grow along a split and splits are ordered
     by their offset. Both depend on how one execution deals the files out, so
-    they are written down in that execution.
+    they are written down in that execution, and with them the place of the last
+    header above each line in its split.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     rows = spark.read.text(paths).select(
@@ -42,7 +79,8 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], scratch: Scratch
         F.monotonically_increasing_id().alias("ln"),
         windows_line(F.col("value")).alias("line"),
     )
-    return scratch.keep(rows)
+    rows = rows.withColumn("header", _is_header())
+    return scratch.keep(rows.mapInArrow(_carried, "path string, start long, ln long, line string, own long"))
 
 
 def _is_blank(text: Column) -> Column:
@@ -62,48 +100,44 @@ def _is_header() -> Column:
     return F.substring_index("line", SEPARATOR, 1) == HEADER
 
 
-def _placed(lines: DataFrame) -> DataFrame:
-    """``(path, at, line)``: ``at`` orders the lines of a file."""
-    start = F.col("start") if "start" in lines.columns else F.lit(0).cast("bigint")
-    return lines.select("path", F.struct(start.alias("start"), F.col("ln")).alias("at"), "line")
+def _in_blocks(lines: DataFrame) -> DataFrame:
+    """``(path, start, ln, line, own)``: a block is (path, start), and ``own`` the last header in it above or at a line."""
+    if "own" in lines.columns:
+        return lines
+    tops = lines.groupBy("path").agg(F.min("ln").alias("_top"))
+    above = Window.partitionBy("path", "start").orderBy("ln")
+    header = F.when(_is_header() & (F.col("ln") != F.col("_top")), F.col("ln"))
+    rows = lines.join(tops, "path").withColumn("start", F.floor(F.col("ln") / _BLOCK))
+    return rows.select("path", "start", "ln", "line", F.last(header, ignorenulls=True).over(above).alias("own"))
 
 
 def _headers(lines: DataFrame) -> DataFrame:
-    """One row per file: where its first line stands, and its headers as (at, line) in order.
-
-    Line 1 never counts as a header, whatever it starts with.
-    """
-    header = F.when(_is_header(), F.struct("at", "line"))
-    return (
-        lines.groupBy("path")
-        .agg(F.min("at").alias("top"), F.sort_array(F.collect_list(header)).alias("_found"))
-        .select("path", "top", F.filter("_found", lambda h: h["at"] != F.col("top")).alias("own"))
-    )
-
-
-def _last_of(items) -> Column:
-    items = F.col(items) if isinstance(items, str) else items
-    return F.get(items, F.size(items) - 1)
-
+    """``(path, section, line)`` of each header; a section is the place of its header."""
+    return lines.where(F.col("own") == F.col("ln")).select("path", F.struct("start", F.col("ln")).alias("section"), "line")
 
-def _marked(lines: DataFrame, marks: DataFrame) -> DataFrame:
-    """Data rows below a header with the mark of that header: ``(path, line, mark)``.
 
-    ``marks`` has the files with one struct per header, ``at`` first. A line of a
-    file without such a row fails the job; none is dropped by the join.
-    """
+def _rows(lines: DataFrame) -> DataFrame:
+    """Data rows below a header: ``(path, section, line)``."""
+    # What a block takes from the blocks before it: one row for each block.
+    blocks = lines.groupBy("path", "start").agg(F.max("own").alias("_last"))
+    known = F.when(F.col("_last").isNotNull(), F.struct("start", F.col("_last").alias("ln")))
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    carry = blocks.select("path", "start", F.last(known, ignorenulls=True).over(before).alias("_carry"))
     kind = F.substring_index("line", SEPARATOR, 1)
-    above = F.filter("own", lambda mark: mark["at"] < F.col("at"))
-    lost = F.raise_error(F.concat(F.lit("no headers were looked up for "), F.col("path"))).cast("boolean")
+    section = F.when(F.col("own").isNotNull(), F.struct("start", F.col("own").alias("ln"))).otherwise(F.col("_carry"))
     return (
         lines.where(~kind.isin(HEADER, TOTAL) & ~_is_blank(F.col("line")))
-        .join(evenly(marks), "path", "left")
-        .where(F.when(F.col("top").isNull(), lost).otherwise(F.col("at") != F.col("top")))
-        .select("path", "line", _last_of(above).alias("mark"))
-        .where(F.col("mark").isNotNull())
+        .join(evenly(carry), ["path", "start"], "left")
+        .select("path", section.alias("section"), "line")
+        .where(F.col("section").isNotNull())
     )
 
 
+def _widths(rows: DataFrame) -> DataFrame:
+    """How far the rows of each section reach, white space aside: ``(path, section, width)``."""
+    return rows.groupBy("path", "section").agg(F.max(_last_filled(_cells(F.col("line")))).alias("width"))
+
+
 def _names(header: Column) -> Column:
     """Column names of a header line; blank ones at the end are dropped."""
     # Cell 0 is the row type, so the header's own columns are the cells after it.
@@ -118,29 +152,19 @@ def _extra_position(name: str) -> int | None:
 
 
 def _marks(headers: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """The files, each header reduced to the cells of the wanted columns: worked out per header, not per row."""
+    """The sections with where the wanted columns lie: worked out per header, not per row."""
+    names = F.col("_names")
 
-    def cell(names: Column, name: str) -> Column:
+    def cell(name: str) -> Column:
         place = F.array_position(names, F.lit(name)).cast("int")
         added = _extra_position(name)
         if added is None:
             return place
         return F.when((place == 0) & (F.size(names) <= added), F.lit(added + 1)).otherwise(place)
 
-    def mark(header: Column) -> Column:
-        names = _names(header["line"])
-        at = F.array(*[cell(names, name) for name in wanted]).cast("array<int>")
-        return F.struct(header["at"].alias("at"), F.size(names).alias("named"), at.alias("cells"))
-
-    return headers.withColumn("own", F.transform("own", mark))
-
-
-def _widths(lines: DataFrame, headers: DataFrame) -> DataFrame:
-    """How far the rows of each section reach, white space aside: ``(path, section, width)``."""
-    rows = _marked(lines, _marks(headers, []))
-    return rows.groupBy("path", F.col("mark.at").alias("section")).agg(
-        F.max(_last_filled(_cells(F.col("line")))).alias("width")
-    )
+    at = F.array(*[cell(name) for name in wanted]).cast("array<int>")
+    named = headers.select("path", "section", _names(F.col("line")).alias("_names"))
+    return named.select("path", "section", F.size("_names").alias("named"), at.alias("cells"))
 
 
 def section_columns(lines: DataFrame) -> list[str]:
@@ -149,17 +173,14 @@ def section_columns(lines: DataFrame) -> list[str]:
     Like a header read of a flat file this runs a job; only the distinct names
     come back. Blank names inside a header have no use as a column and are left out.
     """
-    lines = _placed(lines)
-    headers = _headers(lines)
-    named = headers.select("path", F.explode("own").alias("h")).select(
-        "path", F.col("h.at").alias("section"), _names(F.col("h.line")).alias("named")
-    )
+    lines = _in_blocks(lines)
+    named = _headers(lines).select("path", "section", _names(F.col("line")).alias("named"))
     # Where rows reach further than the header, ``_extra_N`` names are added, N counting its positions from 0.
     size, reach = F.size("named"), F.col("width") - 1
     added = F.when(reach > size, F.sequence(size, reach - 1)).otherwise(F.array().cast("array<int>"))
     names = F.concat("named", F.transform(added, lambda n: F.concat(F.lit(EXTRA), n.cast("string"))))
     found = (
-        named.join(_widths(lines, headers), ["path", "section"])
+        named.join(_widths(_rows(lines)), ["path", "section"])
         .select("path", "section", F.posexplode(names).alias("pos", "name"))
         .where("name != ''")
         .groupBy("name")
@@ -177,18 +198,18 @@ def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None) -> Da
     are looked up at once.
     """
     wanted = section_columns(lines) if columns is None else list(columns)
-    lines = _placed(lines)
-    headers = _headers(lines)
-    rows = _marked(lines, _marks(headers, wanted))
+    lines = _in_blocks(lines)
+    rows = _rows(lines)
+    marks = _marks(_headers(lines), wanted)
     reaches = [F.lit(True)] * len(wanted)
     extras = [i for i, name in enumerate(wanted) if _extra_position(name) is not None]
     if extras:
         # An added column exists only as far as some row of the section has text.
-        widths = _widths(lines, headers)
-        rows = rows.withColumn("section", F.col("mark.at")).join(evenly(widths), ["path", "section"], "left")
+        marks = marks.join(_widths(rows), ["path", "section"], "left")
         for i in extras:
-            at = F.get("mark.cells", F.lit(i))
-            reaches[i] = (at <= F.col("mark.named")) | (at < F.col("width"))
+            at = F.get("cells", F.lit(i))
+            reaches[i] = (at <= F.col("named")) | (at < F.col("width"))
+    rows = rows.join(marks, ["path", "section"])
     rows = rows.withColumn("_cell", _cells(F.col("line")))
 
     def text(at: Column) -> Column:
@@ -197,7 +218,7 @@ def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None) -> Da
     return rows.select(
         text(F.lit(0)).alias("row_type"),
         *[
-            F.when((F.get("mark.cells", F.lit(i)) > 0) & reaches[i], text(F.get("mark.cells", F.lit(i)))).alias(name)
+            F.when((F.get("cells", F.lit(i)) > 0) & reaches[i], text(F.get("cells", F.lit(i)))).alias(name)
             for i, name in enumerate(wanted)
         ],
     )

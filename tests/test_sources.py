@@ -181,6 +181,34 @@ def test_parallelism_may_change_between_building_and_running(spark, tmp_path, be
     assert found == {"4": (60_000, 60_000, 0), "5": (60_000, 0, 60_000)}
 
 
+def test_a_file_of_very_many_sections(spark, tmp_path):
+    """The header is carried within and over blocks, from files in splits and from numbered lines alike."""
+    names = ["A", "B", "C"]
+    body = ["2;not;a;header"] + [text for i in range(100_000) for text in (f"2;{names[i % 3]};X", f"4;{i};{i % 7}", "3;1")]
+    want = {"A": 33_334, "B": 33_333, "C": 33_333, "X": 100_000}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")  # many splits
+    try:
+        from_file = read_lines(spark, write(tmp_path / "many.csv", "\n".join(body)), scratch(spark, tmp_path))
+        assert from_file.select("start").distinct().count() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    numbered = spark.createDataFrame(list(enumerate(body)), "ln long, line string").withColumn("path", F.lit("x"))
+    for lines in (from_file, numbered.repartition(7)):
+        parsed = parse_sections(lines, [*names, "X"])
+        assert parsed.agg(*[F.count(n).alias(n) for n in (*names, "X")]).first().asDict() == want
+        right = F.when(F.col("A").isNotNull(), 0).when(F.col("B").isNotNull(), 1).otherwise(2)
+        number = F.coalesce("A", "B", "C").cast("int")
+        assert parsed.where((number % 3 != right) | (number % 7 != F.col("X").cast("int"))).isEmpty()
+        assert "collect_list" not in parsed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_section_over_many_blocks(spark, tmp_path):
+    body = ["1;meta", "4;before;any"] + ["2;A"] + [f"4;{i}" for i in range(200_000)] + ["2;B", "5;last"]
+    numbered = spark.createDataFrame(list(enumerate(body)), "ln long, line string").withColumn("path", F.lit("x"))
+    got = parse_sections(numbered.repartition(3), ["A", "B"])
+    assert got.agg(F.count("A"), F.count("B"), F.countDistinct("A")).first() == (200_000, 1, 200_000)
+
+
 def test_missing_file_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_lines(spark, str(tmp_path / "none.csv"), scratch(spark, tmp_path))
