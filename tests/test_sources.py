@@ -1,7 +1,9 @@
+import json
 import random
+import subprocess
+import sys
 from datetime import datetime
-
-import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Window
@@ -31,6 +33,8 @@ GOLDEN = """1;extract;20260901
 3;0
 """
 
+REPO = Path(__file__).resolve().parent.parent
+
 
 def write(path, text):
     path.write_bytes(text.encode("windows-1252"))
@@ -438,3 +442,39 @@ def test_scratch_goes(spark, tmp_path):
         assert name in Files(spark, base).names("")
     assert name not in Files(spark, base).names("")
     assert spark.sparkContext.getCheckpointDir() == before
+
+
+_RETRIED = """
+import sys
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import functions as F
+from dimkeep.plans.daily import DailyLoad
+from dimkeep.plans.warehouse import Warehouse
+from dimkeep.session import build_session
+from datetime import date
+
+spark = build_session("retry", "local[2,3]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "3"})
+spark.sparkContext.setLogLevel("OFF")
+
+def fail_once(batches):
+    context = TaskContext.get()
+    for batch in batches:
+        yield batch
+    if context.attemptNumber() == 0 and context.partitionId() % 2 == 0:
+        raise ValueError("lost")  # after its rows have been handed on
+
+wh = Warehouse(spark, sys.argv[1])
+load = DailyLoad(wh, date(2026, 9, 16))
+columns = "student_id int, event_type_code int, date_id int"
+rows = spark.range(1000).select(F.col("id").cast("int").alias("student_id"), F.lit(1).alias("event_type_code"), F.lit(20260901).alias("date_id"))
+watched, read = load._counted(rows.repartition(4))
+kept = load.scratch.keep(watched.mapInArrow(fail_once, columns))
+print(read(), kept.count(), wh.append("fact_student_event", rows.repartition(4).mapInArrow(fail_once, columns)), wh.table("fact_student_event").count())
+load.scratch.clear()
+"""
+
+
+def test_counts_are_right_where_tasks_run_again(tmp_path):
+    run = subprocess.run([sys.executable, "-c", _RETRIED, str(tmp_path)], cwd=REPO, capture_output=True, text=True, timeout=150)
+    assert run.stdout.split() == ["1000"] * 4, run.stderr[-2000:]
