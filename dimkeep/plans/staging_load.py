@@ -20,7 +20,7 @@ from dimkeep.sources.store import observed
 def read_extract(spark: SparkSession, path, file: str, scratch: Scratch) -> DataFrame:
     """Parsed extract under its source column names. ``path`` may be a list or a glob of files of one kind."""
     if file not in fixed.SECTIONED:
-        return read_delimited(spark, path)
+        return read_delimited(spark, path, scratch=scratch)
     mapping = fixed.COLUMNS[fixed.FILES[file]]
     lines = read_lines(spark, path, scratch)
     if len(set(mapping.values())) == len(mapping):

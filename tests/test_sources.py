@@ -243,6 +243,30 @@ def test_an_open_quote_yields_no_rows(spark, tmp_path):
         read_delimited(spark, write(tmp_path / "b.csv", 'a;b\n1;"x\n2;y\n'))
 
 
+def test_one_file_with_quoted_breaks_is_read_by_many_tasks(spark, tmp_path):
+    """The same rows as from the file read whole, wherever splits fall: inside quotes, at their ends, over many lines."""
+    draw = random.Random(3)
+    cell = lambda: draw.choice(["x", "", '"a;b"', '"p\nq"', '"\n"', '"""\n"""', '"1\n\n2\n3;4"', '"' + "long\n" * draw.randrange(400) + '"', "€ ø"])
+    body = ["id;b;c"] + [f"{i};{cell()};{cell()}" for i in range(3000)]
+    path = write(tmp_path / "quoted.csv", "\n".join(body))
+    reader = spark.read.option("sep", ";").option("header", True).option("encoding", "windows-1252").option("escape", '"')
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    whole = sorted(tuple(r) for r in reader.option("multiLine", True).option("nullValue", "").csv(path).collect())
+    spark.conf.unset("spark.sql.legacy.javaCharsets")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        kept = scratch(spark, tmp_path)
+        got = read_delimited(spark, path, scratch=kept)
+        lines = spark.read.parquet(*[f"{kept.folder}/{n}" for n in Files(spark, kept.folder).names("")])
+        assert lines.select("start").distinct().count() > 20
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    none = lambda rows: sorted(tuple(c or "" for c in r) for r in rows)
+    assert none(map(tuple, got.collect())) == none(whole) and len(whole) == 3000
+
+
 def test_files_are_united_by_name(spark, tmp_path):
     folder = tmp_path / "some files"
     folder.mkdir()
