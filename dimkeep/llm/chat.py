@@ -86,12 +86,16 @@ def format_conversations(
 def examples_of(formatted: DataFrame) -> DataFrame:
     """A row for each example: ``conv_id``, ``turn``, ``start``, ``end`` and ``reply``, the text under its loss mask.
 
-    The reply is cut out of the segment of its turn, so a conversation of n turns is read once and not n times.
+    ``start`` and ``end`` are looked up within the segment in which they lie, whose place in the text
+    is the sum of all lengths before it. So a conversation of n turns is read once and not n times.
     """
-    segments = F.split("text", f"{_CLOSE}\n")
-    one = formatted.select("conv_id", segments.alias("_segments"), "examples").select("conv_id", "_segments", F.explode("examples").alias("e"))
-    body = F.right(F.col("_segments")[(F.col("e.turn") - 1).cast("int")], (F.col("e.end") - F.col("e.start")).cast("int"))
-    return one.select("conv_id", "e.turn", "e.start", "e.end", body.alias("reply"))
+    segments = formatted.select("conv_id", F.posexplode(F.split("text", f"(?<={_CLOSE}\n)")).alias("_n", "_segment"))
+    before = Window.partitionBy("conv_id").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
+    placed = segments.withColumn("_begin", F.coalesce(F.sum(F.length("_segment").cast("long")).over(before), F.lit(0)))
+    spans = formatted.select(F.col("conv_id").alias("_conv"), F.explode("examples").alias("e"))
+    found = placed.join(spans, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("_n") == F.col("e.turn") - 1))
+    reply = F.substring("_segment", (F.col("e.start") - F.col("_begin") + 1).cast("int"), (F.col("e.end") - F.col("e.start")).cast("int"))
+    return found.select("conv_id", "e.turn", "e.start", "e.end", reply.alias("reply"))
 
 
 def expand(formatted: DataFrame) -> DataFrame:
@@ -108,18 +112,20 @@ def expand(formatted: DataFrame) -> DataFrame:
     )
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """``conv_id`` and ``turns``, the array of (role, text) that the formatted text stands for."""
-    segments = F.split("text", f"{_CLOSE}\n")
+def turns_of(text: Column) -> Column:
+    """The array of (role, text) that a formatted text stands for."""
+    segments = F.split(text, f"{_CLOSE}\n")
     whole = F.slice(segments, 1, F.greatest(F.size(segments) - 1, F.lit(0)))
     ended = lambda s: F.locate("\n", s)
-    return formatted.select(
-        "conv_id",
-        F.transform(
-            whole,
-            lambda s: F.struct(
-                unescape(F.substring(s, F.lit(len(_OPEN) + 1), ended(s) - len(_OPEN) - 2)).alias("role"),
-                unescape(F.substring(s, ended(s) + 1, F.length(s))).alias("text"),
-            ),
-        ).alias("turns"),
+    return F.transform(
+        whole,
+        lambda s: F.struct(
+            unescape(F.substring(s, F.lit(len(_OPEN) + 1), ended(s) - len(_OPEN) - 2)).alias("role"),
+            unescape(F.substring(s, ended(s) + 1, F.length(s))).alias("text"),
+        ),
     )
+
+
+def read_back(formatted: DataFrame) -> DataFrame:
+    """``conv_id`` and ``turns`` of each formatted text."""
+    return formatted.select("conv_id", turns_of(F.col("text")).alias("turns"))

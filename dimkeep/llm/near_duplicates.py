@@ -9,16 +9,14 @@ connected components of the links.
 Within a bucket not all pairs are looked at. Every document is first compared
 with one smallest partner; only pairs that are still in different components are
 compared after that, in blocks of bounded size. Pairs inside a component can add
-nothing to the classes. Within a block, a pair whose signatures agree by 4.5 standard
-deviations less than the threshold is not read; at the threshold itself, where that is
-likeliest, it happens to 2 pairs in 100,000 at 128 coordinates. A pair with its smallest
-partner is always read.
+nothing to the classes. Within a block every other pair is compared exactly: a text's
+shingles are looked up in the lists of who holds each, which gives its overlap with
+all others of the block at once.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +33,8 @@ from dimkeep.llm.shared import free_name, stored
 BANDS, ROWS = 32, 4
 #: Members of a bucket that one block holds at most, on average.
 BLOCK = 500
-#: How far an estimate from a signature may lie below the threshold: 4.5 standard deviations.
-_SLACK = 4.5
+#: Holders of shingles that are counted together.
+_TOGETHER = 1 << 22
 
 
 def _text_key(text: Column) -> Column:
@@ -45,12 +43,12 @@ def _text_key(text: Column) -> Column:
 
 
 def sketch(docs: DataFrame, *, doc_id: str, text: str, size: int, weighted: bool) -> DataFrame:
-    """(doc_id, key, node, bands, sig) of each row; node is a digest of the words in order, bands is null without a word."""
+    """(doc_id, key, node, bands) of each row; node is a digest of the words in order, bands is null without a word."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, bands, sigs = [], [], []
+            digests, bands = [], []
             for value in batch.column(2).to_pylist():
                 words = word_hashes(value or "")
                 digests.append(xxhash.xxh3_128_digest(words.tobytes()))
@@ -58,17 +56,15 @@ def sketch(docs: DataFrame, *, doc_id: str, text: str, size: int, weighted: bool
                 if len(elements):
                     sig = signature(elements, counts if weighted else np.ones(len(elements)), BANDS * ROWS)
                     bands.append(band_keys(sig, ROWS))
-                    sigs.append(sig.astype("<u4").tobytes())
                 else:
                     bands.append(None)
-                    sigs.append(None)
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                names=["doc_id", "key", "node", "bands", "sig"],
+                [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "key", "node", "bands"],
             )
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), _text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, key binary, node binary, bands array<bigint>, sig binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, key binary, node binary, bands array<bigint>")
 
 
 def _linked_pairs(pairs: DataFrame, texts: DataFrame, size: int, threshold: float, weighted: bool) -> DataFrame:
@@ -91,33 +87,58 @@ def _linked_pairs(pairs: DataFrame, texts: DataFrame, size: int, threshold: floa
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _links_of_block(ids, labels, sides, band: int, sigs: np.ndarray, texts, size: int, least: float, threshold: float, weighted: bool):
+class _Overlaps:
+    """The shingles of some texts of a block, and for each shingle those that hold it."""
+
+    def __init__(self, members: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]], number: int, weighted: bool):
+        lengths = np.array([len(elements) for elements, _ in sets])
+        self.number = number
+        self.ends = dict(zip(members.tolist(), np.cumsum(lengths).tolist()))
+        self.lengths = dict(zip(members.tolist(), lengths.tolist()))
+        self.codes = np.unique(np.concatenate([elements for elements, _ in sets]), return_inverse=True)[1].astype(np.int32)
+        self.owners = np.repeat(members.astype(np.int32), lengths)
+        self.weights = np.concatenate([counts for _, counts in sets]).astype(np.float64) if weighted else np.ones(len(self.codes))
+        self.totals = np.bincount(self.owners, self.weights, minlength=number)
+        self.by_code = np.argsort(self.codes, kind="stable").astype(np.int32)
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(self.codes))])
+
+    def with_all(self, i: int) -> np.ndarray:
+        """Weight of the shingles that member ``i`` shares with each of the block."""
+        mine = np.arange(self.ends[i] - self.lengths[i], self.ends[i])
+        begins = self.starts[self.codes[mine]]
+        holders = self.starts[self.codes[mine] + 1] - begins
+        shared = np.zeros(self.number)
+        cuts = np.searchsorted(np.cumsum(holders), np.arange(_TOGETHER, holders.sum() + _TOGETHER, _TOGETHER), side="left") + 1
+        for low, high in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+            times = holders[low:high]
+            place = np.arange(times.sum()) + np.repeat(begins[low:high] - (np.cumsum(times) - times), times)
+            entries = self.by_code[place]
+            least = np.minimum(self.weights[entries], np.repeat(self.weights[mine[low:high]], times))
+            shared += np.bincount(self.owners[entries], least, minlength=self.number)
+        return shared
+
+
+def _links_of_block(ids, labels, sides, band: int, bands: np.ndarray, texts, size: int, threshold: float, weighted: bool):
     """Links between the components of one block; at most one fewer than it has components."""
-    group = labels.copy()
-    sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def set_of(i: int) -> tuple[np.ndarray, np.ndarray]:
-        if i not in sets:
-            sets[i] = shingles(word_hashes(texts[i] or ""), size)
-        return sets[i]
-
+    pairs: dict[int, np.ndarray] = {}
     for i in range(len(ids) - 1):
         others = i + 1 + np.flatnonzero((labels[i + 1 :] != labels[i]) & ((sides[i + 1 :] | sides[i]) == 1))
+        # a pair that meets in several bands is compared in the first of them
+        others = others[(bands[others] == bands[i]).argmax(axis=1) == band]
+        if len(others):
+            pairs[i] = others
+    if not pairs:
+        return
+    members = np.unique(np.concatenate([np.array(list(pairs)), *pairs.values()]))
+    overlaps = _Overlaps(members, [shingles(word_hashes(texts[i] or ""), size) for i in members], len(ids), weighted)
+    group = labels.copy()
+    for i, others in pairs.items():
+        others = others[group[others] != group[i]]
         if not len(others):
             continue
-        same = sigs[others] == sigs[i]
-        share = same.mean(axis=1)
-        near = np.flatnonzero(share >= least)
-        if not len(near):
-            continue
-        # a pair that meets in several bands is compared in the first of them
-        first = same[near].reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1)
-        near = near[first == band]
-        for j in others[near[np.argsort(-share[near], kind="stable")]]:
-            if group[i] == group[j]:
-                continue
-            one, two = set_of(i), set_of(j)
-            if similarity(one[0], two[0], *((one[1], two[1]) if weighted else ())) >= threshold:
+        shared = overlaps.with_all(i)[others]
+        for j in others[shared / (overlaps.totals[i] + overlaps.totals[others] - shared) >= threshold]:
+            if group[i] != group[j]:
                 group[group == group[j]] = group[i]
                 yield ids[i], ids[j]
 
@@ -128,7 +149,6 @@ def _links_in_blocks(rows: DataFrame, size: int, threshold: float, weighted: boo
     A task gets whole blocks, one after the other; most are a few rows, so they
     are cut from the sorted rows without a frame for each.
     """
-    least = threshold - _SLACK * math.sqrt(threshold * (1 - threshold) / (BANDS * ROWS))
     order = ("bucket", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,26 +168,26 @@ def _links_in_blocks(rows: DataFrame, size: int, threshold: float, weighted: boo
             whole = rest.slice(0, ends[-1])
             rest = rest.slice(ends[-1])
             labels = np.unique(whole.column("label").to_numpy(zero_copy_only=False), return_inverse=True)[1]
-            sides, bands = whole.column("side").to_numpy(), whole.column("band").to_numpy()
+            sides, band = whole.column("side").to_numpy(), whole.column("band").to_numpy()
             ids, texts = whole.column("node").to_pylist(), whole.column("text").to_pylist()
-            sigs = np.frombuffer(b"".join(whole.column("sig").to_pylist()), "<u4").reshape(len(ids), -1)
+            bands = whole.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
             out = []
             for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
                 part = slice(begin, end)
-                out += _links_of_block(ids[part], labels[part], sides[part], int(bands[begin]), sigs[part], texts[part], size, least, threshold, weighted)
+                out += _links_of_block(ids[part], labels[part], sides[part], int(band[begin]), bands[part], texts[part], size, threshold, weighted)
             if out:
                 yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*out)], names=["a", "b"])
 
-    dealt = rows.select(*order, "band", "node", "label", "side", "sig", "text").repartition(*order).sortWithinPartitions(*order)
+    dealt = rows.select(*order, "band", "node", "label", "side", "bands", "text").repartition(*order).sortWithinPartitions(*order)
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
 def _classes(docs: DataFrame, *, doc_id: str, text: str, size: int, threshold: float, weighted: bool) -> tuple[DataFrame, DataFrame]:
     """The sketches of all rows, and for each node with an id its class: (node, label, class_id)."""
     sketches = stored(sketch(docs, doc_id=doc_id, text=text, size=size, weighted=weighted))
-    # equal nodes have equal bands and signatures
+    # equal nodes have equal bands
     folded = sketches.filter("doc_id IS NOT NULL").groupBy("node").agg(
-        F.min(F.struct("doc_id", "key")).alias("row"), F.first("bands").alias("bands"), F.first("sig").alias("sig")
+        F.min(F.struct("doc_id", "key")).alias("row"), F.first("bands").alias("bands")
     )
     representatives = stored(folded)
     spread = representatives.filter("bands IS NOT NULL").select("node", F.posexplode("bands").alias("band", "bucket"))
@@ -217,7 +237,7 @@ def _classes(docs: DataFrame, *, doc_id: str, text: str, size: int, threshold: f
     dealt = placed.select("bucket", "band", "node", "label", "side", F.explode(places).alias("_at")).select(
         "bucket", "band", "node", "label", "side", "_at.i", "_at.j"
     )
-    carried = few.join(representatives.select("node", "sig"), "node")
+    carried = few.join(representatives.select("node", "bands"), "node")
     more = stored(_links_in_blocks(dealt.join(carried, "node"), size, threshold, weighted))
     final = labels if more.isEmpty() else components(links.union(more))
 

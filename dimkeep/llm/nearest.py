@@ -9,6 +9,8 @@ bit at a time, until the ranges hold enough candidates; these are measured exact
 The array of all trees is cut into runs of equal size by (tree, string, id), so no
 string, however common, fills a run alone. Queries go to the runs that their ranges
 touch, where vectors lie beside the strings, and only the best of each run travel on.
+There are MAX_RUNS runs at most. A run that would be longer is cut into slices by a hash, and
+the queries into parts, so that no task holds more than so many of either.
 """
 
 from __future__ import annotations
@@ -32,8 +34,10 @@ TREES, BITS = 32, 48
 SHARE = 1.3
 #: Vectors from which the middle of each hyperplane's projections is taken; all are indexed.
 SAMPLE = 4096
-#: Entries of a run, while there are at most MAX_RUNS of them.
-RUN, MAX_RUNS = 20_000, 65_536
+#: Entries of a slice of a run, runs (their bounds come to the driver), and queries that meet a slice at once; about.
+RUN, MAX_RUNS, PART = 20_000, 65_536, 100_000
+#: What a task holds at a time.
+_GROUP = ("run", "slice", "part")
 
 
 @dataclass(frozen=True)
@@ -168,7 +172,16 @@ def _dealt(queries: DataFrame, columns: str, pick) -> DataFrame:
     return queries.mapInPandas(run, f"{columns}, run int")
 
 
-def _levels(forest: DataFrame, queries: DataFrame, runs: _Runs, least: int, bits: int) -> DataFrame:
+def _cut(number: int) -> Column:
+    """One of ``number`` numbers from 0 on for each vector."""
+    return F.pmod(F.xxhash64("digest"), F.lit(max(1, number))).cast("int")
+
+
+def _each(number: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(max(1, number) - 1)))
+
+
+def _levels(forest: DataFrame, queries: DataFrame, runs: _Runs, least: int, bits: int, cuts: tuple[int, int]) -> DataFrame:
     """The synchronous ascent: the most bits at which all trees together hold ``least`` entries, for each query."""
 
     def place(batch: pd.DataFrame):
@@ -188,10 +201,11 @@ def _levels(forest: DataFrame, queries: DataFrame, runs: _Runs, least: int, bits
         return pd.DataFrame({"digest": digests, "found": counts})
 
     placed = _dealt(queries.select("digest", "tree", "string"), "digest binary, tree int, string bigint", place)
+    placed = placed.select("*", _each(cuts[0]).alias("slice"), _cut(cuts[1]).alias("part"))
     counted = (
-        forest.select("run", "tree", "string")
-        .groupBy("run")
-        .cogroup(placed.groupBy("run"))
+        forest.select("run", "slice", "tree", "string", _each(cuts[1]).alias("part"))
+        .groupBy(*_GROUP)
+        .cogroup(placed.groupBy(*_GROUP))
         .applyInPandas(count, "digest binary, found array<bigint>")
     )
     levels = range(bits + 1)
@@ -200,7 +214,7 @@ def _levels(forest: DataFrame, queries: DataFrame, runs: _Runs, least: int, bits
     return totals.select("digest", F.greatest(*[F.when(F.col(f"f{i}") >= least, i).otherwise(0) for i in levels]).alias("shared"))
 
 
-def _best(forest: DataFrame, queries: DataFrame, runs: _Runs, neighbours: int, bits: int) -> DataFrame:
+def _best(forest: DataFrame, queries: DataFrame, runs: _Runs, neighbours: int, bits: int, cuts: tuple[int, int]) -> DataFrame:
     """The nearest ids of each query in each run its ranges touch, each with its nearest vector: (digest, vec_id, score)."""
 
     def place(batch: pd.DataFrame):
@@ -244,10 +258,11 @@ def _best(forest: DataFrame, queries: DataFrame, runs: _Runs, neighbours: int, b
 
     kinds = f"digest binary, tree int, string bigint, vector {_kind(queries, 'vector')}, shared int"
     placed = _dealt(queries.select("digest", "tree", "string", "vector", "shared"), kinds, place)
+    placed = placed.select("*", _each(cuts[0]).alias("slice"), _cut(cuts[1]).alias("part"))
     return (
-        forest.select("run", "tree", "string", "vector", "ids")
-        .groupBy("run")
-        .cogroup(placed.groupBy("run"))
+        forest.select("run", "slice", "tree", "string", "vector", "ids", _each(cuts[1]).alias("part"))
+        .groupBy(*_GROUP)
+        .cogroup(placed.groupBy(*_GROUP))
         .applyInPandas(search, "digest binary, vec_id bigint, score double")
     )
 
@@ -287,12 +302,14 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], empty)
     rows = rows.filter(F.size("vector") == lengths["d"])
     distinct = stored(_distinct(rows, neighbours))
-    number = distinct.count()
+    number, questions = distinct.agg(F.count(F.lit(1)), F.count_if("asked")).first()
     planes = fit(distinct, lengths["d"], trees, bits)
     entries = _entries(distinct, planes)  # worked out twice, for the bounds of the runs and for the runs, and not kept besides
-    cuts = max(1, min(MAX_RUNS, math.ceil(number * trees / RUN)))
-    arrays = entries.repartitionByRange(cuts, "tree", "string", "digest").sortWithinPartitions("tree", "string", "digest")
-    forest = stored(arrays.withColumn("run", F.spark_partition_id()))
+    entry_runs = math.ceil(number * trees / RUN)
+    parts = max(1, min(MAX_RUNS, entry_runs))
+    cuts = math.ceil(entry_runs / parts), math.ceil(questions / PART)
+    arrays = entries.repartitionByRange(parts, "tree", "string", "digest").sortWithinPartitions("tree", "string", "digest")
+    forest = stored(arrays.withColumn("run", F.spark_partition_id()).withColumn("slice", _cut(cuts[0])))
     bounds = forest.groupBy("run").agg(F.min(F.struct("tree", "string")).alias("at"), F.count(F.lit(1)).alias("n")).orderBy("at", "run").toPandas()
     starts = bounds["at"].tolist()
     runs = _Runs(
@@ -302,8 +319,8 @@ def nearest(
         bounds["run"].to_numpy(np.int32),
     )
     asked = forest.filter("asked").select("digest", "tree", "string", "vector")
-    levels = stored(_levels(forest, asked, runs, max(2 * neighbours * trees, math.ceil(share * number)), bits))
-    found = stored(_best(forest, asked.join(levels, "digest"), runs, neighbours, bits))
+    levels = stored(_levels(forest, asked, runs, max(2 * neighbours * trees, math.ceil(share * number)), bits, cuts))
+    found = stored(_best(forest, asked.join(levels, "digest"), runs, neighbours, bits, cuts))
 
     each = found.groupBy("digest", "vec_id").agg(F.min("score").alias("score"))
     turn = F.row_number().over(Window.partitionBy("digest").orderBy("score", "vec_id"))

@@ -68,16 +68,25 @@ WITH rows_ AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
     UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
-), sized AS (
-    SELECT *, length('<turn ' || replace({_ESCAPED.format("role")}, chr(10), '\\n') || '>' || chr(10) || {_ESCAPED.format("text")} || '</turn>' || chr(10)) AS size
+), written AS (
+    SELECT *, '<turn ' || replace({_ESCAPED.format("role")}, chr(10), '\\n') || '>' || chr(10) AS head,
+           head || {_ESCAPED.format("text")} || '</turn>' || chr(10) AS segment,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n
     FROM rows_
+), sized AS (
+    SELECT *, length(segment) AS size,
+           sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY n) - length(segment) + length(head) AS context,
+           max(n) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS last
+    FROM written
 )
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(size) AS BIGINT) AS formatted_chars,
-       count(*) FILTER (role = 'assistant') AS n_examples
+       count(*) FILTER (role = 'assistant') AS n_examples,
+       CAST(coalesce(sum(context) FILTER (role = 'assistant'), 0) AS BIGINT) AS context_chars,
+       sha256(coalesce(string_agg(CASE WHEN n < last THEN segment ELSE head END, '' ORDER BY n) FILTER (n <= last), '')) AS last_context_sha256
 FROM sized GROUP BY conv_id
 """
 
@@ -88,16 +97,23 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     odd = "\\### Assistant: </turn> ok"
     added = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
     formatted = stored(chat.format_conversations(turns.unionByName(added)))
-    turns_read = chat.read_back(formatted)
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    replies = chat.examples_of(formatted).select("conv_id", "turn", chat.unescape(F.col("reply")).alias("reply"))
+    replies = chat.examples_of(formatted).select("conv_id", "turn", "start", chat.unescape(F.col("reply")).alias("reply"))
     under_mask = replies.groupBy("conv_id").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", "reply"))), lambda r: r["reply"]), "").alias("said"),
         F.count(F.lit(1)).alias("n_examples"),
+        F.sum("start").alias("context_chars"),
     )
-    whole = turns_read.join(formatted.select("conv_id", F.length("text").cast("long").alias("formatted_chars")), "conv_id")
+    last = F.coalesce(F.try_element_at(F.col("examples.start"), F.lit(-1)), F.lit(0)).cast("int")
+    whole = formatted.select(
+        "conv_id",
+        chat.turns_of(F.col("text")).alias("turns"),
+        F.length("text").cast("long").alias("formatted_chars"),
+        F.sha2(F.substring("text", F.lit(1), last), 256).alias("last_context_sha256"),  # all other contexts begin it
+    )
+    under_mask = under_mask.withColumnRenamed("conv_id", "_conv")
     loss = F.coalesce("said", F.lit(""))
-    return whole.join(under_mask, "conv_id", "left").select(
+    return whole.join(under_mask, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(said, 256).alias("turns_sha256"),
@@ -105,6 +121,8 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"),
         "formatted_chars",
         F.coalesce("n_examples", F.lit(0)).alias("n_examples"),
+        F.coalesce("context_chars", F.lit(0)).alias("context_chars"),
+        "last_context_sha256",
     )
 
 
@@ -153,7 +171,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "n_chars", "cut_1024")
 
 
-# The rules, and the sites that are not wanted (with all below them).
+# The rules, and some of the sites that are not wanted (with all below them).
 _RULES = (
     url_filter.Rule("net", "/", allow=False),
     url_filter.Rule("example.net", "/en/", allow=True),
@@ -172,23 +190,35 @@ WITH cut AS (
     SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), address AS (
     SELECT page_id, {_HOST} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
-), rules(h, p, verdict) AS (VALUES {", ".join(f"('{r.host}', '{r.path}', '{'allow' if r.allow else 'block'}')" for r in _RULES)}),
-sites(site) AS (VALUES {", ".join(f"('{s}')" for s in _SITES)}),
-fit AS (
+), hosts AS (SELECT DISTINCT host FROM address WHERE host <> ''),
+rules(h, p, verdict) AS (VALUES {", ".join(f"('{r.host}', '{r.path}', '{'allow' if r.allow else 'block'}')" for r in _RULES)}),
+sites AS (
+    SELECT site FROM (VALUES {", ".join(f"('{s}')" for s in _SITES)}) AS _(site)
+    UNION SELECT 'ads.' || host FROM hosts WHERE length(host) < 250
+    UNION SELECT host FROM hosts WHERE length(host) < 250 AND md5(host) < '1'
+), ends AS (
+    SELECT host, string_split(host, '.') AS parts, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM hosts
+), marked AS (
+    SELECT DISTINCT host FROM ends JOIN sites ON site = array_to_string(parts[i:], '.')
+), fit AS (
     SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
     FROM address LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
     GROUP BY page_id, host, path
-), marked AS (
-    SELECT *, EXISTS (SELECT 1 FROM sites WHERE host = site OR ends_with(host, '.' || site)) AS listed FROM fit
-)
-SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed FROM marked
+), told AS (SELECT fit.*, marked.host IS NOT NULL AS listed FROM fit LEFT JOIN marked USING (host))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed FROM told
 """
 
 
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether each page's address is allowed, by the rules and else by the listed sites."""
-    sites = spark.createDataFrame([(s,) for s in _SITES], "site string")
-    return url_filter.judge(table(spark, folder, "pages"), _RULES, sites)
+    """Whether each page's address is allowed, by the rules and else by the listed sites.
+
+    The list grows with the pages: of every host a site for advertisements, which few pages
+    are on, and of every sixteenth the host itself.
+    """
+    pages = table(spark, folder, "pages")
+    hosts = url_filter.with_address(pages.select("url"), "url", "host", "path").select("host").distinct().filter("host <> '' AND length(host) < 250")
+    own = hosts.select(F.explode(F.array_compact(F.array(F.concat(F.lit("ads."), "host"), F.when(F.md5("host") < "1", F.col("host"))))).alias("site"))
+    return url_filter.judge(pages, _RULES, spark.createDataFrame([(s,) for s in _SITES], "site string").union(own))
 
 
 def _rounds(count: int, before: str) -> str:

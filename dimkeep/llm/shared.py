@@ -22,11 +22,15 @@ def free_name(df: DataFrame, base: str) -> str:
 def scratch(spark: SparkSession) -> str:
     """A new folder that all executors share.
 
-    It lies in ``spark.checkpoint.dir``; where that is not set, as in tests,
-    under the warehouse. All folders of one application share a parent, which
+    It lies in ``spark.checkpoint.dir``; where that is not set, as in tests on one
+    machine, under the warehouse. On a cluster that fails, as executors may not share it. All folders of one application share a parent, which
     can be removed when the application has ended.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 

@@ -1,8 +1,8 @@
 """Judge addresses by rules and by a list of sites held in a cascade of Bloom filters.
 
-The first filter of a cascade holds the listed keys. The second holds those keys
-of the corpus that are not listed but pass the first, the third those listed ones
-that pass the second, and so on until none is left. Over the complete universe of
+The first filter of a cascade holds the listed keys. All keys of the corpus go through
+it, and only those that pass are looked up in the list. The second holds those of them that are
+not listed, the third the listed ones that pass the second, and so on until none is left. Over the complete universe of
 the corpus's keys, from which it was built, the answer is then exact: a key is
 listed if the first filter that it fails has an even number. Judging an address
 takes a few bit tests in filters a fraction of the list's size; nothing is joined.
@@ -95,21 +95,23 @@ class Cascade:
         self.filters = list(filters)
 
     @classmethod
-    def build(cls, universe: DataFrame) -> Cascade:
-        """From distinct keys (``key``, ``listed``); a key that was not among them may get either answer."""
-        counts = {r["listed"]: r["count"] for r in universe.groupBy("listed").count().collect()}
-        held = universe.filter("listed").select("key")
-        others = universe.filter("NOT listed").select("key")
-        number = counts.get(True, 0)
+    def build(cls, universe: DataFrame, listed: DataFrame) -> Cascade:
+        """From distinct keys and distinct listed keys (``key``); a key that was not among the former may get either answer."""
+        number, keys = listed.count(), universe.count()
+        if not number:
+            return cls([])
         # the first filter lets so many others pass as make the sum of all sizes least
-        chance = min(0.5, max(1e-9, number * math.sqrt(0.5) / max(1, counts.get(False, 0))))
-        filters: list[Filter] = []
+        filters = [_build(listed, number, min(0.5, max(1e-9, number * math.sqrt(0.5) / max(1, keys))), 0)]
+        marked = listed.select("key", F.lit(True).alias("listed"))
+        passed = stored(_passing(universe, filters[0], 0).join(marked, "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed")))
+        held, others = passed.filter("NOT listed").select("key"), passed.filter("listed").select("key")
+        number = held.count()
         while number:
             if len(filters) == _LEVELS:
                 raise RuntimeError("the cascade does not end")
-            filters.append(_build(held, number, chance, len(filters)))
+            filters.append(_build(held, number, 0.5, len(filters)))
             wrong = stored(_passing(others, filters[-1], len(filters) - 1))
-            held, others, number, chance = wrong, held, wrong.count(), 0.5
+            held, others, number = wrong, held, wrong.count()
         return cls(filters)
 
     @property
@@ -203,21 +205,17 @@ def judge(
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     rows = named.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("_verdict"), F.lit(False).alias("listed"))
     if keys:
-        universe = stored(
-            named.select(F.explode(F.array_compact(F.array(*keys))).alias("key"))
-            .distinct()
-            .join(listed_sites.withColumn("listed", F.lit(True)), "key", "left")
-            .select("key", F.coalesce("listed", F.lit(False)).alias("listed"))
-        )
-        size = universe.agg(F.count_if("listed").alias("r"), F.count(F.lit(1)).alias("n")).first()
+        listed_sites = stored(listed_sites)
+        universe = stored(named.select(F.explode(F.array_compact(F.array(*keys))).alias("key")).distinct())
+        number, size = listed_sites.count(), universe.count()
         # twice what a cascade takes: the first filter, and less than as much for all others
-        expected = 2 * size["r"] * (1.5 * math.log2(max(2, size["n"] / max(1, size["r"]))) + 6)
+        expected = 2 * number * (1.5 * math.log2(max(2, size / max(1, number))) + 6)
         shards = max(1, math.ceil(expected / MAX_BITS))
         for shard in range(shards):
             inside = lambda key: key if shards == 1 else F.when(F.pmod(F.xxhash64(key, F.lit(-1)), shards) == shard, key)  # noqa: B023, E731
-            part = universe if shards == 1 else universe.filter(inside(F.col("key")).isNotNull())
+            part = lambda all_: all_ if shards == 1 else all_.filter(inside(F.col("key")).isNotNull())  # noqa: B023, E731
             flag = free_name(rows, "_flag")
-            rows = _listed(rows, Cascade.build(part), [inside(k) for k in keys], flag)
+            rows = _listed(rows, Cascade.build(part(universe), part(listed_sites)), [inside(k) for k in keys], flag)
             rows = rows.withColumn("listed", F.col("listed") | F.col(flag)).drop(flag)
             if shard + 1 < shards:
                 rows = stored(rows)  # one shard is held at a time

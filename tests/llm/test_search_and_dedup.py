@@ -68,6 +68,17 @@ def test_search_of_odd_vectors(spark):
     assert [(r.query_id, r["rank"], r.vec_id) for r in few] == [(1, 1, 2), (1, 2, 9)]  # all there are
 
 
+def test_slices_and_parts_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 8)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = sorted(map(tuple, nearest.nearest(df, F.col("vec_id") % 7 == 0).collect()))
+    monkeypatch.setattr(nearest, "MAX_RUNS", 3)
+    monkeypatch.setattr(nearest, "RUN", 700)  # 5 slices of each run
+    monkeypatch.setattr(nearest, "PART", 20)  # 3 parts of the queries
+    assert sorted(map(tuple, nearest.nearest(df, F.col("vec_id") % 7 == 0).collect())) == whole and len(whole) == 430
+
+
 def test_search_counts_ids_and_not_rows(spark):
     shared = [(i, [1.0, float(i % 2), 0.5]) for i in range(30)]  # two vectors of fifteen ids each
     many = [(500, [1.0, 0.2, 0.5 + i / 1000]) for i in range(14)]  # one id with vectors nearer than all others
@@ -209,6 +220,22 @@ def test_classes_of_odd_rows(spark, copies, monkeypatch):
     assert weighted == plain_classes({i: t for i, t in texts.items() if i < 300}, weighted=True)
 
 
+def test_overlaps_are_exact(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 6, rng.integers(1, 40))) for _ in range(30)]
+    sets = [dart_minhash.shingles(dart_minhash.word_hashes(t), 2) for t in texts]
+    members = np.arange(0, 60, 2)  # others of the block are not looked at
+    for together in (near_duplicates._TOGETHER, 5):
+        monkeypatch.setattr(near_duplicates, "_TOGETHER", together)
+        for weighted in (False, True):
+            overlaps = near_duplicates._Overlaps(members, sets, 60, weighted)
+            for n, i in enumerate(members):
+                shared = overlaps.with_all(i)[members]
+                found = shared / (overlaps.totals[i] + overlaps.totals[members] - shared)
+                want = [dart_minhash.similarity(sets[n][0], b, *((sets[n][1], c) if weighted else ())) for b, c in sets]
+                assert found.tolist() == want
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99)], "a long, b long")
     assert {r.node: r.label for r in components(links).collect()} == {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
@@ -297,6 +324,9 @@ def test_chats_read_back_and_expand(spark):
     written = {(r.conv_id, r.turn): (r.context, r.reply) for r in chat.expand(formatted).collect()}
     assert written == {(conv, turn): (text[conv][:start], reply) for conv, turn, start, end, reply in examples}
     assert chat.format_conversations(df.limit(0)).count() == 0
+    shifted = formatted.withColumn("examples", F.transform("examples", lambda e: F.struct(e["turn"], (e["start"] + 1).alias("start"), (e["end"] + 1).alias("end"))))
+    assert all(text[conv][start:end].startswith(reply) for conv, _, start, end, reply in chat.examples_of(shifted).collect())
+    assert sorted(map(tuple, chat.examples_of(shifted).collect()), key=repr) != examples
 
 
 def test_the_odd_conversation(spark):
@@ -310,12 +340,16 @@ def test_the_odd_conversation(spark):
 
 def test_cascade_is_exact_over_its_universe(spark):
     universe = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 41 == 0).alias("listed")).cache()
-    cascade = url_filter.Cascade.build(universe)
-    assert len(cascade.filters) > 1
-    assert url_filter._listed(universe, cascade, [F.col("key")], "found").filter("found <> listed").count() == 0
-    assert url_filter.Cascade.build(universe.filter("NOT listed")).filters == []
-    everything = universe.filter("listed")
-    assert url_filter._listed(everything, url_filter.Cascade.build(everything), [F.col("key")], "found").filter("NOT found").count() == 0
+    keys, listed = universe.select("key"), universe.filter("listed").select("key")
+    elsewhere = spark.range(3000).select(F.concat(F.lit("e"), "id").alias("key"))  # listed, but on no page
+    for sites in (listed, listed.union(elsewhere)):
+        cascade = url_filter.Cascade.build(keys, sites)
+        assert len(cascade.filters) > 1
+        assert url_filter._listed(universe, cascade, [F.col("key")], "found").filter("found <> listed").count() == 0
+    assert url_filter.Cascade.build(keys, listed.limit(0)).filters == []
+    none = url_filter.Cascade.build(keys, elsewhere)
+    assert url_filter._listed(keys, none, [F.col("key")], "found").filter("found").count() == 0
+    assert url_filter._listed(listed, url_filter.Cascade.build(listed, listed), [F.col("key")], "found").filter("NOT found").count() == 0
 
 
 @pytest.mark.parametrize("bits", [url_filter.MAX_BITS, 20])
