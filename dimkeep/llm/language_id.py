@@ -3,14 +3,14 @@
 Four kinds of evidence are added up as logarithms: how likely the text's letters
 are in each language, the language that the markup declares, the suffix of the
 address, and a prior for the host. What a declaration or a suffix is worth is
-estimated from the corpus itself: from the languages that the texts alone suggest.
-So is the host prior, which leans on its domain's, and that on the whole corpus's,
-the more the fewer texts there are. All these are grouped sums.
+estimated from the corpus itself: from the languages that the other rows' texts alone
+suggest. So is the host prior, which leans on its domain's, and that on the whole
+corpus's, the more the fewer texts there are. All these are grouped sums.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,8 +29,8 @@ BUCKETS = 1 << 14
 MOST_TRIPLES = 60.0
 #: Texts' worth of belief of a level in the level above, and of a declaration in the corpus's languages.
 HOST_BELIEF, VALUE_BELIEF = 10.0, 5.0
-#: Languages that can be told apart; a model of more is refused.
-MOST_LANGUAGES = 500
+#: Languages whose letters a task holds at a time (128 kB each); with more, texts are read once for every so many.
+PER_PASS = 256
 
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 #: Texts that ``triples`` finds something in: two bytes of letters at least.
@@ -54,16 +54,23 @@ class LetterModel:
     languages: tuple[str, ...]
     table: np.ndarray
 
-    def evidence(self, text: str) -> list[float]:
-        """Log likelihood of a text in each language, less the highest; zeros for a text without letters."""
+    def likelihood(self, text: str) -> np.ndarray:
+        """Log likelihood of a text in each language; zeros for a text without letters."""
         found = triples(text)
-        if not len(found):
-            return [0.0] * len(self.languages)
         counts = np.bincount(found, minlength=BUCKETS)
         some = np.flatnonzero(counts)
-        total = counts[some] @ self.table[some] * min(1.0, MOST_TRIPLES / len(found))
+        return counts[some] @ self.table[some] * min(1.0, MOST_TRIPLES / max(1, len(found)))
+
+    def evidence(self, text: str) -> list[float]:
+        """``likelihood`` less the highest."""
+        total = self.likelihood(text)
         return (total - total.max()).tolist()
 
+    def blocks(self, size: int) -> Iterator[LetterModel]:
+        """Models of ``size`` languages each, in order."""
+        for at in range(0, len(self.languages), size):
+            yield LetterModel(self.languages[at : at + size], np.ascontiguousarray(self.table[:, at : at + size]))
+
 
 def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = SAMPLE) -> LetterModel:
     """Count triples by language in about ``sample`` labelled texts of each language, or all where there are fewer.
@@ -76,14 +83,12 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str
     known = known.filter("lang <> ''").filter(F.col("text").rlike(_HAS_TRIPLE))
     known = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("hashed"))
     sizes = known.select("lang", "hashed").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("hashed").alias("least"))
-    found = sizes.limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    languages = sorted(r["lang"] for r in found)
     # the share of all hashes that holds ``sample`` of a language's; its least is always in
-    upto = [(r["lang"], max(r["least"], min(sample * 2**64 // r["n"], 2**64 - 1) - 2**63)) for r in found]
-    bounds = docs.sparkSession.createDataFrame(upto, "lang string, upto long")  # MOST_LANGUAGES rows at most
-    known = known.join(F.broadcast(bounds), "lang").filter("hashed <= upto")
+    share = F.when(F.col("n") > sample, (F.lit(2.0 * sample) / F.col("n") - 1) * F.lit(2.0**63))
+    upto = F.when(share.isNull(), F.lit(2**63 - 1)).otherwise(F.greatest("least", share.cast("long")))
+    sizes = stored(sizes.select("lang", upto.alias("upto")))
+    languages = sorted(r["lang"] for r in sizes.select("lang").collect())
+    known = known.join(sizes, "lang").filter("hashed <= upto")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -96,10 +101,13 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str
             yield pa.record_batch([pa.array([language] * len(some)), pa.array(some), pa.array(n[some])], names=["lang", "bucket", "n"])
 
     counted = known.select("lang", "text").mapInArrow(run, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = counted.toPandas()  # at most languages * BUCKETS rows
+    counted = stored(counted) if len(languages) > PER_PASS else counted
     table = np.full((BUCKETS, max(1, len(languages))), 0.5)
     at = {language: i for i, language in enumerate(languages)}
-    table[found["bucket"].to_numpy(np.int64), found["lang"].map(at).to_numpy(np.int64)] += found["n"].to_numpy(np.float64)
+    for first in range(0, len(languages), PER_PASS):
+        part = languages[first : first + PER_PASS]
+        found = counted.filter(F.col("lang").between(part[0], part[-1])).toPandas()  # at most PER_PASS * BUCKETS rows
+        table[found["bucket"].to_numpy(np.int64), found["lang"].map(at).to_numpy(np.int64)] += found["n"].to_numpy(np.float64)
     return LetterModel(tuple(languages), np.log(table / table.sum(axis=0)))
 
 
@@ -121,18 +129,27 @@ def page_evidence(pages: DataFrame, *, url: str = "url", html: str = "html") ->
     return [text.alias("text"), some(declared).alias("declared"), some(suffix).alias("suffix"), some(host).alias("host")]
 
 
-def _sums(post: Sequence[Column]) -> list[Column]:
-    return [F.sum(p).alias(f"c{i}") for i, p in enumerate(post)]
+def _sums(rows: DataFrame, *by: str) -> DataFrame:
+    """``by``, ``c`` (the sum of beliefs in each language) and ``n`` (rows): the same for all rows where ``by`` is empty."""
+    each = rows.select(*by, F.posexplode("post").alias("i", "p")).groupBy(*by, "i").agg(F.sum("p").alias("p"), F.count(F.lit(1)).alias("n"))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("i", "p"))), lambda x: x["p"])  # one entry a language
+    return each.groupBy(*by).agg(in_order.alias("c"), F.max("n").alias("n"))
+
+
+def _shares(rows: DataFrame, n: int) -> list[float]:
+    """The share of each of ``n`` languages in the rows, none of them zero."""
+    found = _sums(rows).first()
+    c, rows_ = (found["c"], found["n"]) if found and found["n"] else ([0.0] * n, 0)
+    return [(x + 1.0) / (rows_ + n) for x in c]
 
 
-def _value_evidence(rows: DataFrame, value: str, n: int) -> DataFrame:
-    """(value, w): log probability of a value in each language, from the rows' own beliefs."""
-    post = [F.col("post")[i] for i in range(n)]
-    by_value = rows.filter(F.col(value).isNotNull()).groupBy(value).agg(*_sums(post))
-    total = rows.filter(F.col(value).isNotNull()).agg(*_sums(post), F.count(F.lit(1)).alias("n")).first()
-    share = sum(F.col(f"c{i}") for i in range(n)) / F.lit(float(max(1, total["n"])))
-    weights = [F.log((F.col(f"c{i}") + VALUE_BELIEF * share) / F.lit(float(total[f"c{i}"] or 0.0) + VALUE_BELIEF)) for i in range(n)]
-    return by_value.select(value, F.array(*weights).alias(f"w_{value}"))
+def _of_others(c: Column, post: Column) -> Column:
+    return F.zip_with(c, post, lambda x, own: F.greatest(x - own, F.lit(0.0)))
+
+
+def _gain(c: Column, count: Column, usual: Column) -> Column:
+    """Log of how much commoner than usual each language is in ``count`` rows with beliefs ``c``."""
+    return F.zip_with(c, usual, lambda x, p: F.log((x + VALUE_BELIEF * p) / ((count + VALUE_BELIEF) * p)))
 
 
 def identify(rows: DataFrame, model: LetterModel) -> DataFrame:
@@ -145,56 +162,60 @@ def identify(rows: DataFrame, model: LetterModel) -> DataFrame:
     rows of their own. A model without languages gives nulls. An empty table gives
     no rows.
 
-    The own text is left out of a row's host prior. Values and hosts are summed
-    before they move, and joined as tables, however many there are.
+    A row's own text is left out of what its host, declaration and suffix say: one
+    that no other row has says nothing. Values and hosts are summed before they move,
+    and joined as tables, however many there are. A task holds the letters of
+    ``PER_PASS`` languages; for more, the rows are written once for every so many.
     """
     n = len(model.languages)
     if not n:
         none = F.lit(None).cast("string")
         return rows.select("key", none.alias("language"), F.lit(None).cast("double").alias("confidence"), none.alias("by_text"))
 
-    @F.pandas_udf("array<double>")
-    def letters(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([model.evidence(t or "") for t in batch])
-
-    each = range(n)
-    first = rows.select("key", letters(F.col("text")).alias("ll"), "declared", "suffix", "host")
-    total = lambda a: sum(F.exp(a[i]) for i in each)
-    believed = first.withColumn("post", F.array(*[F.exp(F.col("ll")[i]) / total(F.col("ll")) for i in each]))
+    first = rows.select("key", "text", "declared", "suffix", "host")
+    for at, block in enumerate(model.blocks(PER_PASS)):
+        if at:
+            first = stored(first)
+        first = first.withColumn("ll", F.concat("ll", _letters(block)(F.col("text"))) if at else _letters(block)(F.col("text")))
+    first = first.withColumn("most", F.array_max("ll")).withColumn("ll", F.transform("ll", lambda x: x - F.col("most"))).drop("text", "most")
+    total = F.aggregate("ll", F.lit(0.0), lambda done, x: done + F.exp(x))
+    believed = first.withColumn("total", total).withColumn("post", F.transform("ll", lambda x: F.exp(x) / F.col("total"))).drop("total")
     domain = F.array_join(F.slice(F.reverse(F.split("host", r"\.")), 1, 2), ".")
     known = stored(believed.withColumn("domain", domain))
 
-    post = [F.col("post")[i] for i in each]
-    corpus = known.agg(*_sums(post), F.count(F.lit(1)).alias("n")).first()
-    prior = [((corpus[f"c{i}"] or 0.0) + 1.0) / (corpus["n"] + n) for i in each]
-    domains = known.filter("domain IS NOT NULL").groupBy("domain").agg(*_sums(post), F.count(F.lit(1)).alias("n"))
-    domains = domains.select("domain", F.array(*[(F.col(f"c{i}") + HOST_BELIEF * prior[i]) / (F.col("n") + HOST_BELIEF) for i in each]).alias("p_domain"))
-    hosts = known.filter("host IS NOT NULL").groupBy("domain", "host").agg(*_sums(post), F.count(F.lit(1)).alias("n"))
-    hosts = hosts.join(domains, "domain").select("host", F.array(*[F.col(f"c{i}") for i in each]).alias("c"), "n", "p_domain")
+    prior = F.lit(_shares(known, n))
+    leaning = lambda c, count, on: F.zip_with(c, on, lambda x, p: (x + HOST_BELIEF * p) / (count + HOST_BELIEF))
+    domains = _sums(known.filter("domain IS NOT NULL"), "domain")
+    domains = domains.select("domain", leaning(F.col("c"), F.col("n"), prior).alias("p_domain"))
+    hosts = _sums(known.filter("host IS NOT NULL"), "domain", "host").join(domains, "domain").drop("domain")
 
     joined = known.join(hosts.hint("rebalance"), "host", "left")
+    host_prior = F.coalesce(leaning(_of_others(F.col("c"), F.col("post")), F.col("n") - 1, F.col("p_domain")), prior)
+    score = F.zip_with("ll", host_prior, lambda x, p: x + F.log(p))
     for value in ("declared", "suffix"):
-        joined = joined.join(_value_evidence(known, value, n).hint("rebalance"), value, "left")
-    no = F.array(*[F.lit(0.0)] * n)
-    others = lambda i: (F.greatest(F.col("c")[i] - F.col("post")[i], F.lit(0.0)) + HOST_BELIEF * F.col("p_domain")[i]) / (F.col("n") - 1 + HOST_BELIEF)
-    host_prior = F.when(F.col("c").isNull(), F.array(*map(F.lit, prior))).otherwise(F.array(*[others(i) for i in each]))
-    scored = joined.withColumn("prior", host_prior).select(
-        "key",
-        "ll",
-        F.array(
-            *[
-                F.log(F.col("prior")[i]) + F.col("ll")[i] + F.coalesce("w_declared", no)[i] + F.coalesce("w_suffix", no)[i]
-                for i in each
-            ]
-        ).alias("score"),
-    )
-    names = F.array(*map(F.lit, model.languages))
+        having = known.filter(F.col(value).isNotNull())
+        sums = _sums(having, value).select(value, F.col("c").alias(f"c_{value}"), F.col("n").alias(f"n_{value}"))
+        joined = joined.join(sums.hint("rebalance"), value, "left")
+        others = _of_others(F.col(f"c_{value}"), F.col("post"))
+        gain = _gain(others, F.col(f"n_{value}") - 1, F.lit(_shares(having, n)))
+        score = F.coalesce(F.zip_with(score, gain, lambda x, w: x + w), score)
+    scored = joined.select("key", "ll", score.alias("score")).withColumn("top", F.array_max("score"))
+    names = F.lit(list(model.languages))
     best = lambda a: names[F.array_position(a, F.array_max(a)).cast("int") - 1]
-    top = F.array_max("score")
     return scored.select(
         "key",
         best(F.col("score")).alias("language"),
-        (1 / sum(F.exp(F.col("score")[i] - top) for i in each)).alias("confidence"),
+        (1 / F.aggregate("score", F.lit(0.0), lambda done, x: done + F.exp(x - F.col("top")))).alias("confidence"),
         best(F.col("ll")).alias("by_text"),
     )
+
+
+def _letters(model: LetterModel) -> Callable[[Column], Column]:
+    """The likelihood of a text in each of the model's languages."""
+
+    @F.pandas_udf("array<double>")
+    def letters(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([model.likelihood(t or "") for t in batch])
+
+    return letters

@@ -300,6 +300,69 @@ def test_rare_languages_are_known_in_many_rows(spark):
     assert language_id.fit(docs, sample=1).languages == model.languages
 
 
+def plain_languages(rows, model):
+    """(language, confidence) of each row of text, declared, suffix and host, one row after another."""
+    n, out = len(model.languages), []
+    post = []
+    for text, *_ in rows:
+        ll = np.array(model.evidence(text or ""))
+        post.append((ll, np.exp(ll) / np.exp(ll).sum()))
+    domain = lambda host: ".".join(host.split(".")[::-1][:2]) if host is not None else None
+    added = lambda some: sum((post[j][1] for j in some), np.zeros(n))
+    usual = lambda some: (added(some) + 1) / (len(some) + n)
+    every = range(len(rows))
+    for i, row in enumerate(rows):
+        prior = usual(every)
+        if row[3] is not None:
+            near = [j for j in every if domain(rows[j][3]) == domain(row[3])]
+            prior = (added(near) + 10 * prior) / (len(near) + 10)
+            others = [j for j in every if rows[j][3] == row[3] and j != i]
+            prior = (added(others) + 10 * prior) / (len(others) + 10)
+        score = post[i][0] + np.log(prior)
+        for k in (1, 2):
+            if row[k] is not None:
+                p = usual([j for j in every if rows[j][k] is not None])
+                others = [j for j in every if rows[j][k] == row[k] and j != i]
+                score = score + np.log((added(others) + 5 * p) / ((len(others) + 5) * p))
+        share = np.exp(score - score.max()) / np.exp(score - score.max()).sum()
+        out.append((model.languages[int(np.argmax(score))], share.max()))
+    return out
+
+
+def some_languages(spark, count):
+    """A model of so many languages, each with words of its own letters, and rows of their words."""
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) * 2 for k in range(3))
+    docs = spark.createDataFrame([(i * 10 + k, f"{word(i)} {word(i)} {word(i)[::-1]}", f"l{i:04d}") for i in range(count) for k in range(2)], "doc_id long, text string, lang string")
+    return docs, language_id.fit(docs)
+
+
+@pytest.mark.parametrize("per_pass", [256, 2])
+def test_languages_against_a_plain_version(spark, monkeypatch, per_pass):
+    monkeypatch.setattr(language_id, "PER_PASS", per_pass)
+    docs, model = some_languages(spark, 5)
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    rng = random.Random(5)
+    pick = lambda *values: rng.choice(values)
+    rows = [(pick(*texts, texts[0][:5], "", None), pick("x", "y", None), pick("de", "com/fr", None), pick("a.b.de", "c.b.de", "b.de", "com", None)) for _ in range(60)]
+    rows.append((texts[2], "once", "seldom", "own.example"))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "key long, text string, declared string, suffix string, host string")
+    found = {r.key: r for r in language_id.identify(df, model).collect()}
+    for i, (language, confidence) in enumerate(plain_languages(rows, model)):
+        assert found[i].confidence == pytest.approx(confidence, rel=1e-9)
+        assert found[i].language == language
+
+
+def test_hundreds_of_languages(spark):
+    docs, model = some_languages(spark, 501)
+    assert model.languages == tuple(f"l{i:04d}" for i in range(501))
+    none = F.lit(None).cast("string")
+    rows = docs.select("lang", F.col("doc_id").alias("key"), "text", none.alias("declared"), none.alias("suffix"), none.alias("host"))
+    found = language_id.identify(rows, model).join(docs.withColumnRenamed("doc_id", "key"), "key").collect()
+    best = lambda text: model.languages[int(np.argmax(model.evidence(text)))]
+    assert len(found) == 1002 and all(r.by_text == best(r.text) for r in found)
+    assert sum(r.language == r.lang for r in found) >= 0.98 * len(found)
+
+
 def test_languages_of_odd_rows(spark, odd):
     model = language_id.fit(odd)
     assert model.languages == ("en",)
