@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dimkeep.operators.calendar_gaps import asof_source, baseline_rows, fill_gaps, last_school_days
 from dimkeep.operators.lookup import eligible_members, latest_prior_parent, lookup
 from dimkeep.operators.rollup import collapse_min, daily_rollup, with_fallback
+from dimkeep.plans.dims import previous_main_school
 
 FIRST, LAST = "første", "sidste"
 CASES = {
@@ -171,3 +172,11 @@ def test_latest_prior_parent_keeps_ties(spark, rows):
     members = spark.createDataFrame([(1, 7), (2, 10)], "m int, u int")
     got = latest_prior_parent(stays, units, members, member="m", unit="u", until="till", parent="p", this_unit=7)
     assert rows(got) == [(1, 100), (1, 200)]
+
+
+def test_previous_main_school_is_one_where_two_stays_end_together(spark, rows):
+    stays = spark.createDataFrame([(1, 10, 5), (1, 20, 5), (1, 30, 5), (1, 20, 3), (2, 10, 4), (3, 20, 6)], "student_id int, school_code int, to_date_id int")
+    schools = spark.createDataFrame([(10, 100), (20, 200), (30, None), (7, 700)], "school_code int, main_school_code int")
+    students = spark.createDataFrame([(1, 7), (2, 7), (3, 10)], "student_id int, school_code int")
+    got = previous_main_school(stays, schools, students, transfer_school=7)
+    assert rows(got, "student_id", "main_school_code") == [(1, 200), (2, 100)]
