@@ -29,3 +29,9 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_grades_are_grouped_once_and_read_back(spark):
+    """The state before and the merge read the kept rows, not the line items."""
+    read = entry.queries()["load_fact_grade"](spark, FOLDER).inputFiles()
+    assert read and not any("lineitem" in f for f in read)
