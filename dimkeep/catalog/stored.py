@@ -158,28 +158,33 @@ def cleanup_all(t: Tables) -> DataFrame:
     return step_log(t.spark, log).join(left, "step_name").select("step_name", "rows_deleted", "rows_left")
 
 
-def _section_text(rows: DataFrame, table: str, kinds: tuple[int, ...]) -> DataFrame:
-    """Typed staging rows as the lines of section files, eight of them: a line of metadata, then a header and rows of each kind."""
+#: Rows a section file is written for, about; a file is one task's.
+_FILE_ROWS = 500_000
+
+
+def _section_text(rows: DataFrame, table: str, kinds: tuple[int, ...], files: int) -> DataFrame:
+    """Typed staging rows as the lines of section files: a line of metadata, then a header and rows of each kind."""
     source = {new: old for old, new in reversed(fixed.COLUMNS[table].items()) if not old.startswith("_extra_")}
     names = [c for c in rows.columns if c in source and c != "row_type"]
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
     line = F.concat_ws(";", F.col("row_type").cast("string"), *cells)
-    file = F.pmod(F.xxhash64("cpr_nr"), F.lit(8)).cast("int")
+    file = F.pmod(F.xxhash64("cpr_nr"), F.lit(files)).cast("int")
     body = rows.where(F.col("row_type").isin(list(kinds))).select(file.alias("file"), (F.col("row_type") * 2 + 1).alias("at"), line.alias("value"))
     heads = [(0, "1;extract")] + [(2 * k, ";".join(["2", *[source[c] for c in names]])) for k in kinds]
     fixed_lines = F.explode(F.array(*[F.struct(F.lit(at).alias("at"), F.lit(text).alias("value")) for at, text in heads])).alias("l")
-    return body.union(rows.sparkSession.range(8).select(F.col("id").cast("int").alias("file"), fixed_lines).select("file", "l.at", "l.value"))
+    return body.union(rows.sparkSession.range(files).select(F.col("id").cast("int").alias("file"), fixed_lines).select("file", "l.at", "l.value"))
 
 
 def _write_extracts(t: Tables, folder: str, *, with_grades: bool) -> None:
     s = School(t)
     sectioned = {
-        "elev_historik.csv": (s.history, "student_history", (4, 5, 6, 7, 8)),
-        "elev_fravaer.csv": (s.absence, "student_absence", (5, 6, 7)),
-        "elev_karakterer.csv": (s.grades.withColumn("row_type", F.lit(1 if with_grades else None).cast("int")), "student_grades", (1,)),
+        "elev_historik.csv": (s.history, "student_history", (4, 5, 6, 7, 8), t.orders),
+        "elev_fravaer.csv": (s.absence, "student_absence", (5, 6, 7), t.events),
+        "elev_karakterer.csv": (s.grades.withColumn("row_type", F.lit(1 if with_grades else None).cast("int")), "student_grades", (1,), t.lineitem),
     }
-    for file, (rows, table, kinds) in sectioned.items():
-        lines = _section_text(rows, table, kinds)
+    for file, (rows, table, kinds, of) in sectioned.items():
+        # Eight files, and more of them where the table is large.
+        lines = _section_text(rows, table, kinds, max(8, of.count() // _FILE_ROWS))
         # A file's lines must lie in order; the rows of a kind may lie in any.
         lines.repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").option(
             "encoding", "windows-1252"

@@ -24,9 +24,9 @@ def read_extract(spark: SparkSession, path, file: str, scratch: Scratch) -> Data
     mapping = fixed.COLUMNS[fixed.FILES[file]]
     lines = read_lines(spark, path, scratch)
     if len(set(mapping.values())) == len(mapping):
-        return parse_sections(lines, [c for c in mapping if c != "row_type"])
+        return parse_sections(lines, [c for c in mapping if c != "row_type"], scratch.keep)
     # Two source columns share a name: which one comes first is up to the files.
-    return parse_sections(lines, [c for c in section_columns(lines) if c in mapping])
+    return parse_sections(lines, [c for c in section_columns(lines, scratch.keep) if c in mapping], scratch.keep)
 
 
 def stage(parsed: DataFrame, table: str, moment: datetime) -> DataFrame:

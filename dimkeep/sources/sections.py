@@ -16,7 +16,7 @@ copy, however the cluster has changed in between.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,9 @@ from dimkeep.functions.text import windows_line
 from dimkeep.operators.skew import evenly
 from dimkeep.session import Scratch
 
+#: Stores what holds a row for each block or header, so that the join with the lines knows how small it is.
+Keep = Callable[[DataFrame], DataFrame]
+
 SEPARATOR = ";"
 HEADER, TOTAL = "2", "3"
 EXTRA = "_extra_"
@@ -38,7 +41,7 @@ _SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f "
 
 
 def _carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (path, start, ln, line, header) with ``own`` in place of ``header``: the last header of the split so far.
+    """Rows of (path, start, ln, line, header, width) with ``own`` in place of ``header``: the last header of the split so far.
 
     The first line of a file is no header. Splits come one after the other, each in order.
     """
@@ -59,18 +62,20 @@ def _carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last is not None:
             own[(group < 0) & (at < 0)] = last  # the split of the batch before goes on
         yield pa.record_batch(
-            [path, start, ln, batch.column(3), pa.array(own, pa.int64(), mask=own < 0)], names=["path", "start", "ln", "line", "own"]
+            [path, start, ln, batch.column(3), pa.array(own, pa.int64(), mask=own < 0), batch.column(5)],
+            names=["path", "start", "ln", "line", "own", "width"],
         )
         split, last = (path[n - 1].as_py(), start[n - 1].as_py()), (int(own[-1]) if own[-1] >= 0 else None)
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], scratch: Scratch) -> DataFrame:
-    """Lines of windows-1252 files as ``(path, start, ln, line, own)``, kept in the scratch folder.
+    """Lines of windows-1252 files as ``(path, start, ln, line, own, width)``, kept in the scratch folder.
 
     The scan stays splittable. Row ids grow along a split and splits are ordered
     by their offset. Both depend on how one execution deals the files out, so
     they are written down in that execution, and with them the place of the last
-    header above each line in its split.
+    header above each line in its split, and how far a row reaches: what looks at the
+    rows only to place them or to measure them reads no text.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     rows = spark.read.text(paths).select(
@@ -79,8 +84,8 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], scratch: Scratch
         F.monotonically_increasing_id().alias("ln"),
         windows_line(F.col("value")).alias("line"),
     )
-    rows = rows.withColumn("header", _is_header())
-    return scratch.keep(rows.mapInArrow(_carried, "path string, start long, ln long, line string, own long"))
+    rows = rows.select("*", _is_header().alias("header"), _width().alias("width"))
+    return scratch.keep(rows.mapInArrow(_carried, "path string, start long, ln long, line string, own long, width int"))
 
 
 def _is_blank(text: Column) -> Column:
@@ -91,24 +96,31 @@ def _cells(line: Column) -> Column:
     return F.split(line, SEPARATOR, -1)
 
 
-def _last_filled(cells: Column) -> Column:
-    """Position of the last cell that is not blank, counted from 1; 0 if there is none."""
-    return F.array_max(F.transform(cells, lambda cell, i: F.when(_is_blank(cell), 0).otherwise(i + 1)))
+def _last_filled(line: Column) -> Column:
+    """Position of the last cell of a line that is not blank, counted from 1; 0 if there is none."""
+    filled = F.rtrim(line, F.lit(_SPACE + SEPARATOR))
+    return F.when(filled == "", 0).otherwise(F.length(filled) - F.length(F.replace(filled, F.lit(SEPARATOR), F.lit(""))) + 1)
 
 
 def _is_header() -> Column:
     return F.substring_index("line", SEPARATOR, 1) == HEADER
 
 
+def _width() -> Column:
+    """How far a data row reaches; null for any other line."""
+    kind = F.substring_index("line", SEPARATOR, 1)
+    return F.when(~kind.isin(HEADER, TOTAL) & ~_is_blank(F.col("line")), _last_filled(F.col("line")))
+
+
 def _in_blocks(lines: DataFrame) -> DataFrame:
-    """``(path, start, ln, line, own)``: a block is (path, start), and ``own`` the last header in it above or at a line."""
+    """``(path, start, ln, line, own, width)``: a block is (path, start), and ``own`` the last header in it above or at a line."""
     if "own" in lines.columns:
         return lines
     tops = lines.groupBy("path").agg(F.min("ln").alias("_top"))
     above = Window.partitionBy("path", "start").orderBy("ln")
     header = F.when(_is_header() & (F.col("ln") != F.col("_top")), F.col("ln"))
     rows = lines.join(tops, "path").withColumn("start", F.floor(F.col("ln") / _BLOCK))
-    return rows.select("path", "start", "ln", "line", F.last(header, ignorenulls=True).over(above).alias("own"))
+    return rows.select("path", "start", "ln", "line", F.last(header, ignorenulls=True).over(above).alias("own"), _width().alias("width"))
 
 
 def _headers(lines: DataFrame) -> DataFrame:
@@ -116,33 +128,31 @@ def _headers(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("own") == F.col("ln")).select("path", F.struct("start", F.col("ln")).alias("section"), "line")
 
 
-def _rows(lines: DataFrame) -> DataFrame:
-    """Data rows below a header: ``(path, section, line)``."""
+def _rows(lines: DataFrame, keep: Keep) -> DataFrame:
+    """Data rows below a header: ``(path, section, line, width)``."""
     # What a block takes from the blocks before it: one row for each block.
     blocks = lines.groupBy("path", "start").agg(F.max("own").alias("_last"))
     known = F.when(F.col("_last").isNotNull(), F.struct("start", F.col("_last").alias("ln")))
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     carry = blocks.select("path", "start", F.last(known, ignorenulls=True).over(before).alias("_carry"))
-    kind = F.substring_index("line", SEPARATOR, 1)
     section = F.when(F.col("own").isNotNull(), F.struct("start", F.col("own").alias("ln"))).otherwise(F.col("_carry"))
     return (
-        lines.where(~kind.isin(HEADER, TOTAL) & ~_is_blank(F.col("line")))
-        .join(evenly(carry), ["path", "start"], "left")
-        .select("path", section.alias("section"), "line")
+        lines.where(F.col("width").isNotNull())
+        .join(keep(carry), ["path", "start"], "left")
+        .select("path", section.alias("section"), "line", "width")
         .where(F.col("section").isNotNull())
     )
 
 
 def _widths(rows: DataFrame) -> DataFrame:
     """How far the rows of each section reach, white space aside: ``(path, section, width)``."""
-    return rows.groupBy("path", "section").agg(F.max(_last_filled(_cells(F.col("line")))).alias("width"))
+    return rows.groupBy("path", "section").agg(F.max("width").alias("width"))
 
 
 def _names(header: Column) -> Column:
     """Column names of a header line; blank ones at the end are dropped."""
     # Cell 0 is the row type, so the header's own columns are the cells after it.
-    cells = F.slice(_cells(header), 2, F.size(_cells(header)))
-    return F.slice(cells, F.lit(1), F.coalesce(_last_filled(cells), F.lit(0)))
+    return F.slice(_cells(header), F.lit(2), F.greatest(_last_filled(header) - 1, F.lit(0)))
 
 
 def _extra_position(name: str) -> int | None:
@@ -167,7 +177,7 @@ def _marks(headers: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return named.select("path", "section", F.size("_names").alias("named"), at.alias("cells"))
 
 
-def section_columns(lines: DataFrame) -> list[str]:
+def section_columns(lines: DataFrame, keep: Keep = evenly) -> list[str]:
     """Names of all sections with rows, in order of first appearance.
 
     Like a header read of a flat file this runs a job; only the distinct names
@@ -180,7 +190,7 @@ def section_columns(lines: DataFrame) -> list[str]:
     added = F.when(reach > size, F.sequence(size, reach - 1)).otherwise(F.array().cast("array<int>"))
     names = F.concat("named", F.transform(added, lambda n: F.concat(F.lit(EXTRA), n.cast("string"))))
     found = (
-        named.join(_widths(_rows(lines)), ["path", "section"])
+        named.join(_widths(_rows(lines, keep)), ["path", "section"])
         .select("path", "section", F.posexplode(names).alias("pos", "name"))
         .where("name != ''")
         .groupBy("name")
@@ -189,17 +199,18 @@ def section_columns(lines: DataFrame) -> list[str]:
     return [r["name"] for r in sorted(found.collect(), key=lambda r: r["seen"])]
 
 
-def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None, keep: Keep = evenly) -> DataFrame:
     """All data rows of all sections, united by column name: ``row_type`` and ``columns``.
 
     ``lines`` is ``(path, ln, line)``, ``ln`` counting from the top of each file, or
     what :func:`read_lines` gives. Columns a section does not have are null, and
     so are empty cells; other white space is kept. Without ``columns`` the names
-    are looked up at once.
+    are looked up at once. With ``keep`` (a scratch folder's) the places of headers
+    are stored first; while they are few, no row is shuffled to meet its header.
     """
-    wanted = section_columns(lines) if columns is None else list(columns)
+    wanted = section_columns(lines, keep) if columns is None else list(columns)
     lines = _in_blocks(lines)
-    rows = _rows(lines)
+    rows = _rows(lines, keep)
     marks = _marks(_headers(lines), wanted)
     reaches = [F.lit(True)] * len(wanted)
     extras = [i for i, name in enumerate(wanted) if _extra_position(name) is not None]
@@ -209,7 +220,9 @@ def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None) -> Da
         for i in extras:
             at = F.get("cells", F.lit(i))
             reaches[i] = (at <= F.col("named")) | (at < F.col("width"))
-    rows = rows.join(marks, ["path", "section"])
+    if keep is not evenly:
+        marks = keep(marks)
+    rows = rows.drop("width").join(marks, ["path", "section"])
     rows = rows.withColumn("_cell", _cells(F.col("line")))
 
     def text(at: Column) -> Column:

@@ -502,3 +502,13 @@ load.scratch.clear()
 def test_counts_are_right_where_tasks_run_again(tmp_path):
     run = subprocess.run([sys.executable, "-c", _RETRIED, str(tmp_path)], cwd=REPO, capture_output=True, text=True, timeout=150)
     assert run.stdout.split() == ["1000"] * 4, run.stderr[-2000:]
+
+
+def test_rows_meet_their_headers_without_a_shuffle(spark, tmp_path):
+    """With the places of blocks and headers kept, each of both joins sends those and not the text."""
+    keep = scratch(spark, tmp_path).keep
+    lines = read_lines(spark, write(tmp_path / "h.csv", GOLDEN), scratch(spark, tmp_path))
+    kept, plain = parse_sections(lines, ["Cprnr", "Feltnavn"], keep), parse_sections(lines, ["Cprnr", "Feltnavn"])
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, plain.collect()))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
