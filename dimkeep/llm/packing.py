@@ -28,7 +28,7 @@ from dimkeep.llm.word_ids import word_ids
 #: Tokens, in windows, that one group may hold; differencing is done within a group.
 GROUP_WINDOWS = 128
 #: Texts encoded together.
-_TEXTS = 128
+_TEXTS = 256
 
 Piece = tuple[int, int, int]  # document within the partition, first token, number of tokens
 

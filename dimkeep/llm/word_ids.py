@@ -12,10 +12,14 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words that a Python worker remembers, in each of two generations.
 REMEMBERED = 400_000
 _REMEMBERED_LENGTH = 64
+#: Characters of texts, unless it is one text, that are dealt with together.
+_CHARACTERS = 1 << 22
 #: Words encoded in one call.
 _TOGETHER = 500
 
@@ -69,29 +73,34 @@ class WordIds:
         for at in range(0, len(runs), _TOGETHER):
             some = runs[at : at + _TOGETHER]
             ids = np.array(self._runs.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self._ends[ids]) + 1
+            raw, ends = ids.tobytes(), 4 * (np.flatnonzero(self._ends[ids]) + 1)
             if len(ends) != len(some):
                 raise ValueError("a run of letters did not end with a word end")
             begun = 0
             for run, end in zip(some, ends.tolist()):
-                found[run] = ids[begun:end].tobytes()
+                found[run] = raw[begun:end]
                 begun = end
         return found
 
     def _learn(self, words: set[str]) -> None:
         """Encode words not met before."""
         simple, odd = {}, []
+        plain = {}
         for word in words:
+            if word.isascii() and word.isalpha():
+                plain[word] = word.lower()
+                continue
             parts = _SIMPLE.fullmatch(word)
             if parts and not (self._special and self._special in word):
                 simple[word] = (parts[1].lower(), parts[2])
             else:
                 odd.append(word)
-        runs = sorted({r for pair in simple.values() for r in pair if r})
+        runs = sorted({r for pair in simple.values() for r in pair if r}.union(plain.values()))
         ids = self._of_runs(runs)
         ids[""] = b""
         if len(self._place) + len(words) > REMEMBERED:
             self._older, self._place = self._place, {"": b""}
+        self._place.update(zip(plain, map(ids.__getitem__, plain.values())))
         for word, (letters, marks) in simple.items():
             self._place[word] = ids[letters] + ids[marks]
         for at in range(0, len(odd), _TOGETHER):
@@ -103,9 +112,17 @@ class WordIds:
         """Little-endian unsigned 32-bit ids of each text, as the tokenizers library gives them."""
         if not self._by_word:
             return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        if not texts:
+            return []
+        if len(texts) > 1 and sum(map(len, texts)) > _CHARACTERS:
+            half = len(texts) // 2
+            return self.encode(texts[:half]) + self.encode(texts[half:])
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        # each distinct word of these texts is looked up once; their ids are then dealt out by numbers
+        named = split.values.dictionary_encode()
+        words = named.dictionary.to_numpy(zero_copy_only=False).tolist()
         known, older = self._place, self._older
-        missing = {w for words in split for w in words if w not in known}
+        missing = {w for w in words if w not in known}
         for word in [w for w in missing if w in older]:
             known[word] = older[word]
             missing.discard(word)
@@ -113,13 +130,25 @@ class WordIds:
             self._learn(missing)
             if self._place is not known:
                 # a new generation has begun; what these texts need is taken along
-                self._place |= {w: v for words in split for w in words if (v := known.get(w)) is not None}
-        place = self._place
-        out = [b"".join(map(place.__getitem__, words)) for words in split]
+                self._place |= {w: v for w in words if (v := known.get(w)) is not None}
+        of_word = list(map(self._place.__getitem__, words))
         for word in missing:
             if len(word) > _REMEMBERED_LENGTH:
-                del place[word]
-        return out
+                del self._place[word]
+        return _dealt(of_word, named.indices.to_numpy(), split.offsets.to_numpy())
+
+
+def _dealt(of_word: list[bytes], words: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The ids of each text: ``words`` numbers the words of all texts, ``offsets`` says where each text begins."""
+    ids = np.frombuffer(b"".join(of_word), "<u4")
+    sizes = np.fromiter(map(len, of_word), np.int64, len(of_word)) // 4
+    firsts = np.cumsum(sizes) - sizes
+    counts = sizes[words]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    places = np.arange(ends[-1]) + np.repeat(firsts[words] - ends[:-1], counts)
+    out = ids[places].tobytes()
+    borders = (4 * ends[offsets]).tolist()
+    return [out[a:b] for a, b in zip(borders, borders[1:])]
 
 
 @lru_cache(maxsize=2)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from dimkeep.llm import language_id, packing, quality_classifier, quality_rules, token_counts
+from dimkeep.llm.word_ids import WordIds
 from dimkeep.llm.queries import queries
 from dimkeep.llm.shared import stored
 
@@ -375,3 +376,18 @@ def test_languages_of_odd_rows(spark, odd):
         ("  a b ", "fr", None, None),
         ("", None, "de/en", "a.b.de"),
     ]
+
+
+def test_each_distinct_word_is_looked_up_once():
+    class Counted(dict):
+        looked = 0
+
+        def __getitem__(self, word):
+            Counted.looked += 1
+            return super().__getitem__(word)
+
+    ids = WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    once = ids.encode(["one two\nthree"])[0]
+    ids._place = Counted(ids._place)
+    assert ids.encode(["one two\nthree"] * 500 + [""]) == [once] * 500 + [b""]
+    assert Counted.looked <= 4
