@@ -18,6 +18,8 @@ from dimkeep.llm.shared import free_name, scratch, stored, table
 GOOD = 0.3
 #: Sources are mixed by this power of their sizes.
 POWER = 0.5
+#: Words whose ids a worker remembers, in each of two generations: its memory holds other stages' pages too.
+REMEMBERED = 100_000
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     known = quality_classifier.statistics(docs.filter(~quality_classifier.held_out("doc_id")))
     model = quality_classifier.fit(known, table(spark, sf_dir, "labels"))
-    return docs.filter(quality_classifier.score(model, quality_classifier.measure(F.col("text"))) >= GOOD)
+    return docs.filter(quality_classifier.score_text(model, F.col("text")) >= GOOD)
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +62,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     follows from their ids and sources.
     """
     docs = mix_sources(spark, docs.select("doc_id", "text", "source"), sf_dir)
-    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2, remembered=REMEMBERED)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

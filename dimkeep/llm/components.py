@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from dimkeep.llm.shared import stored
 
+#: Files of a round for each core. Nodes and labels are narrow, and there are as many rounds as the paths are long.
+_FILES = 2
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of ``links`` (a, b): the label is the smallest node of its component.
@@ -14,10 +17,12 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the smallest label among a node's neighbours and then the
     label of that label, so the number of rounds grows with the logarithm of the
     longest path. Neighbours' labels are combined before they move, and every
-    round is written to the shared folder. No link table gives no rows.
+    round is written to the shared folder, in a few files a core however many
+    partitions shuffles have. No link table gives no rows.
     """
-    both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "node"))
+    few = lambda df: df.coalesce(_FILES * df.sparkSession.sparkContext.defaultParallelism)
+    both = stored(few(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()))
+    labels = stored(few(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "node")))
     while True:
         near = (
             both.join(labels.select(F.col("node").alias("b"), "label").hint("rebalance"), "b")
@@ -27,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
         lower = labels.join(near, "node").select("node", F.col("label").alias("_old"), F.least("label", "_near").alias("_low"))
         # follow the label once; hot labels are many rows of the left side
         jump = labels.select(F.col("node").alias("_low"), F.col("label").alias("_jump")).hint("rebalance")
-        new = stored(lower.join(jump, "_low").select("node", "_old", F.least("_low", "_jump").alias("label")))
+        new = stored(few(lower.join(jump, "_low").select("node", "_old", F.least("_low", "_jump").alias("label"))))
         labels = new.select("node", "label")
         if new.filter("label <> _old").isEmpty():
             return labels

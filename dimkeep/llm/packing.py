@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimkeep.llm.word_ids import word_ids
+from dimkeep.llm.word_ids import REMEMBERED, word_ids
 
 #: Tokens, in windows, that one group may hold; differencing is done within a group.
 GROUP_WINDOWS = 128
@@ -137,7 +137,14 @@ def _packed(sizes: Iterable[int], capacity: int) -> Iterator[tuple[int, list[lis
 
 
 def pack(
-    docs: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "text", capacity: int = 4096, end_id: int | None = 2
+    docs: DataFrame,
+    path: str,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    capacity: int = 4096,
+    end_id: int | None = 2,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """A row for each piece of a document: ``doc_id``, ``start`` and ``length`` in the document's ids,
     ``ids`` (little-endian unsigned 32-bit), ``doc_tokens``, ``sequence_id`` and ``offset`` in its sequence.
@@ -145,6 +152,7 @@ def pack(
     A document's ids are those of the tokenizers file at ``path``, then ``end_id``.
     Each id lies in exactly one piece, and a sequence has no gap. Sequences hold
     ``capacity`` ids, but for the last of a partition, which are powers of two.
+    A worker remembers the ids of up to twice ``remembered`` words; fewer take less memory and more time.
 
     A null text counts as empty: it has the end id only, and without one no
     row. Null ids are kept; repeated rows are packed as documents of their own.
@@ -166,7 +174,7 @@ def pack(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_ids(path).encode
+        encode = word_ids(path, remembered).encode
         end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
         kept: dict[int, tuple[object, bytes]] = {}
         id_arrow = None

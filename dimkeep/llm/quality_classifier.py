@@ -160,6 +160,18 @@ def score(model: Model, measured: Column) -> Column:
     return scored(measured)
 
 
+def score_text(model: Model, text: Column) -> Column:
+    """Score of a column of whole texts, measured and scored by one worker; a null text counts as empty."""
+
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            rows = [statistics_of(t or "") for t in batch]
+            yield pd.Series(model.score(np.array(rows, float).reshape(len(batch), len(STATISTICS))))
+
+    return scored(text)
+
+
 def held_out(doc_id: str, folds: int = 5) -> Column:
     """Whether a row is kept from learning: its id's checksum is divisible by ``folds``. A null id is not."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0, F.lit(False))

@@ -32,7 +32,7 @@ _SIMPLE = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]*)([!-&(-/:-@\[-`{-~]
 
 
 class WordIds:
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -40,6 +40,7 @@ class WordIds:
             described = json.load(file)
         self._by_word = self._drops_space(described)
         self._special = "<|" if described.get("added_tokens") else None
+        self._remembered = remembered
         self._place: dict[str, bytes] = {"": b""}
         self._older: dict[str, bytes] = {}
         if self._by_word:
@@ -98,7 +99,7 @@ class WordIds:
         runs = sorted({r for pair in simple.values() for r in pair if r}.union(plain.values()))
         ids = self._of_runs(runs)
         ids[""] = b""
-        if len(self._place) + len(words) > REMEMBERED:
+        if len(self._place) + len(words) > self._remembered:
             self._older, self._place = self._place, {"": b""}
         self._place.update(zip(plain, map(ids.__getitem__, plain.values())))
         for word, (letters, marks) in simple.items():
@@ -152,5 +153,5 @@ def _dealt(of_word: list[bytes], words: np.ndarray, offsets: np.ndarray) -> list
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, remembered: int = REMEMBERED) -> WordIds:
+    return WordIds(path, remembered)

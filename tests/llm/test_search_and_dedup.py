@@ -9,10 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dimkeep.llm import chat, dart_minhash, mixing, near_duplicates, nearest, url_filter
+from dimkeep.llm import chat, dart_minhash, mixing, near_duplicates, nearest, quality_classifier, url_filter
 from dimkeep.llm.components import components
 from dimkeep.llm.queries import ORACLES, queries
-from dimkeep.llm.shared import free_name
+from dimkeep.llm.shared import free_name, stored
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -242,6 +242,25 @@ def test_components_of_a_long_chain(spark):
     assert components(links.limit(0)).count() == 0
 
 
+def test_rounds_are_written_in_few_files(spark, monkeypatch):
+    """However many partitions shuffles have, a round has some files a core."""
+    from dimkeep.llm import components as module
+
+    written = []
+    monkeypatch.setattr(module, "stored", lambda df: written.append(stored(df)) or written[-1])
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        labels = components(spark.range(2000).selectExpr("id AS a", "id + 2000 AS b"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert labels.where("label <> node % 2000").count() == 0 and labels.count() == 4000
+    assert len(written) >= 3 and all(len(df.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism for df in written)
+
+
 # mixing
 
 
@@ -402,6 +421,18 @@ def test_pipeline_by_stages(spark):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == has
 
 
+def test_classifying_takes_one_worker_a_task(spark):
+    """Texts are measured and scored in one step, with the scores of the two steps."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = corpus_pipeline.classify(spark, docs, SF)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    known = quality_classifier.statistics(docs.filter(~quality_classifier.held_out("doc_id")))
+    model = quality_classifier.fit(known, spark.read.parquet(f"{SF}/labels.parquet"))
+    text = F.col("text")
+    both = docs.select(quality_classifier.score_text(model, text).alias("a"), quality_classifier.score(model, quality_classifier.measure(text)).alias("b"))
+    assert both.where("a <=> b").count() == docs.count()
+
+
 def test_sequences_follow_the_mix_over_files_of_unequal_size(spark, tmp_path):
     rows = [(i, f"w{i} " * (20 + i), "big" if i % 10 else "small") for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

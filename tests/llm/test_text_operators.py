@@ -391,3 +391,11 @@ def test_each_distinct_word_is_looked_up_once():
     ids._place = Counted(ids._place)
     assert ids.encode(["one two\nthree"] * 500 + [""]) == [once] * 500 + [b""]
     assert Counted.looked <= 4
+
+
+def test_a_small_memory_gives_the_same_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [[f"word{i} {'abc'[i % 3] * (i % 7 + 1)} the, {i}th" for i in range(at, at + 20)] for at in range(0, 400, 20)]
+    few, many = WordIds(path, remembered=50), WordIds(path)
+    assert [few.encode(t) for t in texts] == [many.encode(t) for t in texts]
+    assert len(few._place) + len(few._older) < 200 < len(many._place)
