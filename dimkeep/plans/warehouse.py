@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimkeep.operators.merge import ACTION, DELETE
 from dimkeep.plans.model import PART, PARTS, STAGED_BY, TABLES, staged
 from dimkeep.sources.staging import typed
 from dimkeep.sources.store import ROW_ID, Counts, Store
@@ -93,6 +92,5 @@ class Warehouse:
         self.store.drop_drafts()
 
     def delete_members(self, name: str, gone: DataFrame) -> int:
-        """Delete the members' rows: which ones they are is found in one narrow scan, then only their parts are rewritten."""
-        hit = self.rows(name).join(gone, gone.columns, "left_semi")
-        return self.apply(name, hit.withColumn(ACTION, F.lit(DELETE)))["deleted"]
+        """Delete the members' rows: one narrow scan counts them by part, then only the parts that have some are rewritten."""
+        return self.store.delete(name, gone, self._schema(name), self._partition(name))

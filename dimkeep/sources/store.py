@@ -190,10 +190,48 @@ class Store:
             if partition is None:
                 return self._swap(table, plan)
             kept = self.spark.read.schema(self._with_action(schema)).parquet(self._path(plan["changes"]))
-            self._exchange(table, schema, partition, kept, plan)
+
+            def new(parts: list[int]) -> DataFrame:
+                here = kept.where(F.col(partition).isin(parts))
+                # Files of one write have the same names in each part, so the part belongs to a row's name.
+                return self._merged(self.rows(table, schema, parts), here, columns, [partition])
+
+            self._exchange(table, partition, plan, new)
 
         return self.once(prepare, publish)["counts"]
 
+    def delete(self, table: str, members: DataFrame, schema: T.StructType, partition: str | None = None) -> int:
+        """Delete the rows that agree with one of ``members`` in its columns; returns how many there were.
+
+        A scan of these columns alone counts them by part. Then the parts that have some, or
+        the table, are written without them; nothing is where there is none. When a
+        stopped write is taken up, ``members`` must be those of before.
+        """
+        on = members.columns
+        others = lambda parts=None: self.read(table, schema, parts).join(members, on, "left_anti").select(schema.fieldNames())
+
+        def prepare() -> Plan:
+            hit = self.read(table, schema).join(members, on, "left_semi")
+            if partition is None:
+                plan = {"deleted": hit.count(), "draft": None}
+                if plan["deleted"]:
+                    plan["draft"] = self._draft()
+                    self._written(others(), plan["draft"], "error")
+                return plan
+            counts = {r[0]: r[1] for r in hit.groupBy(partition).count().collect()}  # a row a part
+            there = {}
+            if counts:  # row counts of these parts, from the files' own
+                there = {r[0]: r[1] for r in self.read(table, schema, list(counts)).groupBy(partition).count().collect()}
+            before = {str(p): self.files.names(f"{table}/{partition}={p}") for p in counts}
+            return {"deleted": sum(counts.values()), "before": before, "emptied": [p for p, n in counts.items() if there[p] == n]}
+
+        def publish(plan: Plan) -> None:
+            if partition is None:
+                return self._swap(table, plan)
+            self._exchange(table, partition, plan, others)
+
+        return self.once(prepare, publish)["deleted"]
+
     @staticmethod
     def _with_action(schema: T.StructType) -> T.StructType:
         return T.StructType([*schema.fields, *ROW_ID.fields, T.StructField(ACTION, T.StringType())])
@@ -205,8 +243,8 @@ class Store:
         stay = old.join(gone, [*on, "_file", "_row"], "left_anti")
         return stay.select(columns).unionByName(changes.where(F.col(ACTION) != DELETE).select(columns))
 
-    def _exchange(self, table: str, schema: T.StructType, partition: str, changes: DataFrame, plan: Plan) -> None:
-        """Overwrite the parts that a change hits.
+    def _exchange(self, table: str, partition: str, plan: Plan, new: Callable[[list[int]], DataFrame]) -> None:
+        """Overwrite the parts that a change hits with their ``new`` rows.
 
         Spark puts the finished parts in place one by one. After a stop, those whose files
         are not the ones of before are done.
@@ -215,10 +253,7 @@ class Store:
         as_before = lambda p, files: self.files.names(f"{table}/{partition}={p}") == files
         todo = [int(p) for p, files in plan["before"].items() if int(p) not in emptied and as_before(p, files)]
         if todo:
-            here = changes.where(F.col(partition).isin(todo))
-            # Files of one write have the same names in each part, so the part belongs to a row's name.
-            new = self._merged(self.rows(table, schema, todo), here, schema.fieldNames(), [partition])
-            self._written(new, table, "overwrite", partition)
+            self._written(new(todo), table, "overwrite", partition)
         for p in emptied:
             self.files.remove(f"{table}/{partition}={p}")
         lost = [p for p in plan["before"] if int(p) not in emptied and not self.files.names(f"{table}/{partition}={p}")]

@@ -274,6 +274,29 @@ def test_retention(spark, tmp_path, rows):
     assert steps(wh, 1)["Cleanup fact_grade"] == (None, None, None, 0)
 
 
+@pytest.mark.parametrize("table", ["fact_student_event", "fact_student_action"])
+def test_deleting_members_names_no_rows(spark, tmp_path, rows, table):
+    """No draft holds the deleted rows, rows do not meet by file name, and parts without a hit stay."""
+    wh = Warehouse(spark, str(tmp_path))
+    day = "date_id" if table == "fact_student_event" else "from_date_id"
+    data = [(1, 20220101), (2, 20220102), (None, 20220103), (2, 20230101), (2, 20230101), (1, 20240101)]
+    wh.replace(table, spark.createDataFrame(data, f"student_id int, {day} int"))
+    before = {n: wh.store.files.names(f"{table}/{n}") for n in wh.store.files.names(table)}
+    gone = spark.createDataFrame([(2,), (3,), (2,)], "student_id int")
+    seen = len(executions(spark))
+    assert wh.delete_members(table, gone) == 3
+    assert not any("row_index" in plan for plan in executions(spark)[seen:])
+    left = [(1, 20220101), (1, 20240101), (None, 20220103)]
+    assert rows(wh.table(table), "student_id", day) == left
+    after = {n: wh.store.files.names(f"{table}/{n}") for n in wh.store.files.names(table)}
+    if table == "fact_student_event":
+        same = {n for n in before if before[n] == after.get(n)}
+        assert len(before) == 3 and len(after) == 2 and len(same) == 1
+    assert wh.delete_members(table, gone) == 0
+    assert rows(wh.table(table), "student_id", day) == left
+    assert after == {n: wh.store.files.names(f"{table}/{n}") for n in wh.store.files.names(table)}
+
+
 def test_nothing_of_the_departed_is_left(spark, tmp_path):
     """After a run no file of the warehouse holds a departed student's number or id."""
     root, folder = tmp_path / "wh", tmp_path / "in"
