@@ -190,13 +190,7 @@ class Store:
             if partition is None:
                 return self._swap(table, plan)
             kept = self.spark.read.schema(self._with_action(schema)).parquet(self._path(plan["changes"]))
-
-            def new(parts: list[int]) -> DataFrame:
-                here = kept.where(F.col(partition).isin(parts))
-                # Files of one write have the same names in each part, so the part belongs to a row's name.
-                return self._merged(self.rows(table, schema, parts), here, columns, [partition])
-
-            self._exchange(table, partition, plan, new)
+            self._exchange(table, schema, partition, kept, plan)
 
         return self.once(prepare, publish)["counts"]
 
@@ -228,7 +222,7 @@ class Store:
         def publish(plan: Plan) -> None:
             if partition is None:
                 return self._swap(table, plan)
-            self._exchange(table, partition, plan, others)
+            self._rewrite(table, partition, plan, others)
 
         return self.once(prepare, publish)["deleted"]
 
@@ -243,7 +237,17 @@ class Store:
         stay = old.join(gone, [*on, "_file", "_row"], "left_anti")
         return stay.select(columns).unionByName(changes.where(F.col(ACTION) != DELETE).select(columns))
 
-    def _exchange(self, table: str, partition: str, plan: Plan, new: Callable[[list[int]], DataFrame]) -> None:
+    def _exchange(self, table: str, schema: T.StructType, partition: str, changes: DataFrame, plan: Plan) -> None:
+        """Overwrite the parts that a change hits with what it makes of them."""
+
+        def new(parts: list[int]) -> DataFrame:
+            here = changes.where(F.col(partition).isin(parts))
+            # Files of one write have the same names in each part, so the part belongs to a row's name.
+            return self._merged(self.rows(table, schema, parts), here, schema.fieldNames(), [partition])
+
+        self._rewrite(table, partition, plan, new)
+
+    def _rewrite(self, table: str, partition: str, plan: Plan, new: Callable[[list[int]], DataFrame]) -> None:
         """Overwrite the parts that a change hits with their ``new`` rows.
 
         Spark puts the finished parts in place one by one. After a stop, those whose files
