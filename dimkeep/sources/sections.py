@@ -36,6 +36,8 @@ HEADER, TOTAL = "2", "3"
 EXTRA = "_extra_"
 #: Lines of a block, where the lines do not come from files.
 _BLOCK = 1 << 16
+#: Columns whose cells are looked up one by one.
+_APART = 16
 # What Python's strip() removes, as far as it occurs in single-byte text.
 _SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f "
 
@@ -212,14 +214,14 @@ def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None, keep:
     lines = _in_blocks(lines)
     rows = _rows(lines, keep)
     marks = _marks(_headers(lines), wanted)
-    reaches = [F.lit(True)] * len(wanted)
     extras = [i for i, name in enumerate(wanted) if _extra_position(name) is not None]
     if extras:
         # An added column exists only as far as some row of the section has text.
         marks = marks.join(_widths(rows), ["path", "section"], "left")
-        for i in extras:
-            at = F.get("cells", F.lit(i))
-            reaches[i] = (at <= F.col("named")) | (at < F.col("width"))
+    at = [F.get("cells", F.lit(i)) for i in range(len(wanted))]
+    there = [(c <= F.col("named")) | (c < F.col("width")) if i in extras else F.lit(True) for i, c in enumerate(at)]
+    cells = F.array(*[F.when((c > 0) & reached, c) for c, reached in zip(at, there)]).cast("array<int>")
+    marks = marks.select("path", "section", cells.alias("cells"))
     if keep is not evenly:
         marks = keep(marks)
     rows = rows.drop("width").join(marks, ["path", "section"])
@@ -228,10 +230,9 @@ def parse_sections(lines: DataFrame, columns: Sequence[str] | None = None, keep:
     def text(at: Column) -> Column:
         return F.nullif(F.get("_cell", at), F.lit(""))
 
-    return rows.select(
-        text(F.lit(0)).alias("row_type"),
-        *[
-            F.when((F.get("cells", F.lit(i)) > 0) & reaches[i], text(F.get("cells", F.lit(i)))).alias(name)
-            for i, name in enumerate(wanted)
-        ],
-    )
+    first = text(F.lit(0)).alias("row_type")
+    if len(wanted) <= _APART:
+        return rows.select(first, *[text(F.get("cells", F.lit(i))).alias(name) for i, name in enumerate(wanted)])
+    # One expression looks up all cells: one for each makes a method too long for the JVM to compile.
+    rows = rows.select(first, F.transform("cells", text).alias("_found"))
+    return rows.select("row_type", *[F.get("_found", F.lit(i)).alias(name) for i, name in enumerate(wanted)])

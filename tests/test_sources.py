@@ -1,5 +1,6 @@
 import json
 import random
+import re
 import subprocess
 import sys
 from datetime import datetime
@@ -512,3 +513,27 @@ def test_rows_meet_their_headers_without_a_shuffle(spark, tmp_path):
     assert sorted(map(repr, kept.collect())) == sorted(map(repr, plain.collect()))
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
+
+
+def test_many_columns_make_no_method_too_long_to_compile(spark, tmp_path, rows):
+    """HotSpot leaves methods above 8,000 bytes to its interpreter; few and many columns read alike."""
+    names = [f"c{i}" for i in range(40)]
+    lines = [(0, "1;x"), (1, ";".join(["2", *names])), (2, ";".join(["4", *[str(i) if i % 3 else "" for i in range(40)], "more"])), (3, "4;short"),
+             (4, "2;c3;c0"), (5, "5;three;zero;; "), (6, "5;three;;far")]
+    df = spark.createDataFrame([("f", *x) for x in lines], "path string, ln long, line string")
+    wanted = [*names, "absent", "_extra_2", "_extra_40"]
+    many = parse_sections(df, wanted)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        # the places of cells are kept, so this is the code that each row runs through
+        plan = parse_sections(df, wanted, Scratch(spark, str(tmp_path)).keep)._jdf.queryExecution()
+        code = plan.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+    for some in (["c0", "c3", "c4"], ["c39", "absent"], ["_extra_2", "_extra_40", "c1"]):
+        assert rows(many, "row_type", *some) == rows(parse_sections(df, some), "row_type", *some)
+    found = {(r.row_type, r.c0, r.c3, r.c4, r._extra_2, r._extra_40) for r in many.collect()}
+    assert found == {("4", None, None, "4", None, "more"), ("4", "short", None, None, None, None), ("5", "zero", "three", None, None, None), ("5", None, "three", None, "far", None)}
