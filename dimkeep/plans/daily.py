@@ -17,7 +17,7 @@ from dimkeep.plans.audit import Run
 from dimkeep.plans.model import STUDENT_FACTS
 from dimkeep.plans.staging_load import load_staging
 from dimkeep.plans.warehouse import Warehouse
-from dimkeep.session import Scratch
+from dimkeep.session import Scratch, measured_broadcasts
 
 Counts = dict[str, int | None]
 
@@ -268,7 +268,8 @@ class DailyLoad:
         writes that are done are not repeated. Afterwards nothing is left of earlier
         versions of the tables, and so of deleted students, nor of what the run kept for itself.
         """
-        with self.scratch, Run(self.wh.spark, f"{self.wh.root}/_log", self.as_of.isoformat()) as run:
+        spark = self.wh.spark
+        with measured_broadcasts(spark), self.scratch, Run(spark, f"{self.wh.root}/_log", self.as_of.isoformat()) as run:
             self.wh.store.once = run.once
             self.cleanup(run)
             for job, name, work in self.steps():

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dimkeep.plans import fixed_values as fixed
 from dimkeep.plans.model import staged
 from dimkeep.plans.warehouse import Warehouse
-from dimkeep.session import Scratch
+from dimkeep.session import Scratch, measured_broadcasts
 from dimkeep.sources.delimited import read_delimited
 from dimkeep.sources.sections import parse_sections, read_lines, section_columns
 from dimkeep.sources.staging import select_renamed, typed, with_load_date
@@ -45,7 +45,7 @@ def load_staging(warehouse: Warehouse, folder: str, moment: datetime) -> dict[st
     counted where the file has been parsed and where they are written, in one pass.
     """
     loaded = {}
-    with Scratch(warehouse.spark, warehouse.root) as scratch:
+    with measured_broadcasts(warehouse.spark), Scratch(warehouse.spark, warehouse.root) as scratch:
         for file, table in fixed.FILES.items():
             seen = Observation()
             parsed = read_extract(warehouse.spark, f"{folder}/{file}", file, scratch)

@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from dimkeep.sources.files import Files
 
+#: Bytes of a join's side as planned from its files up to which it is broadcast unmeasured.
+SURELY_SMALL = 256 << 10
+
+_PLANNED, _MEASURED = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+
 
 def build_session(app: str = "dimkeep", master: str | None = None, **extra: str) -> SparkSession:
     """Adaptive execution splits hot join partitions and picks broadcasts by measured size.
@@ -30,6 +37,33 @@ def build_session(app: str = "dimkeep", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def measured_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Joins that run within broadcast a side that is surely small, any other only once its rows have been measured.
+
+    The driver holds what is broadcast. From files Spark plans with their bytes times the
+    share of the columns that are read, as if all were alike; keys packed beside many empty
+    columns have come to a hundred times that in memory. So only the rows that a shuffle
+    has counted are held against the session's own threshold, which is set back at the end.
+    """
+    own = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if own <= SURELY_SMALL:
+        yield
+        return
+    before = {name: spark.conf.get(name, None) for name in (_PLANNED, _MEASURED)}
+    if before[_MEASURED] is None:
+        spark.conf.set(_MEASURED, str(own))
+    spark.conf.set(_PLANNED, str(SURELY_SMALL))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 class Scratch:
     """A folder of its own for what one run keeps between jobs; every executor can reach it.
 

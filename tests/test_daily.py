@@ -11,9 +11,10 @@ from dimkeep.plans.audit import Run, run_log, step_log
 from dimkeep.plans.daily import DailyLoad, run_daily
 from dimkeep.plans.staging_load import load_staging
 from dimkeep.plans import facts
-from dimkeep.plans.model import TABLES
+from dimkeep.plans.model import TABLES, staged
 from dimkeep.plans.warehouse import Warehouse
 from dimkeep.sources.files import Files
+from dimkeep.sources.staging import typed
 from tests.school import (
     new_warehouse,
     stay,
@@ -382,6 +383,34 @@ def test_the_merge_runs_once_and_only_its_parts_are_written(spark, tmp_path, row
     assert files() == after
 
 
+def test_a_side_that_is_large_in_memory_is_not_broadcast(spark, tmp_path, monkeypatch, rows):
+    """The keys of people lie beside empty columns, so the plan takes them for a fraction of what they are."""
+    monkeypatch.setattr("dimkeep.session.SURELY_SMALL", 4_000, raising=False)
+    wh = new_warehouse(spark, tmp_path)
+    people = spark.range(20_000).select(F.col("id").cast("int").alias("student_id"), F.format_string("P%09d", "id").alias("cpr_nr"))
+    wh.replace("dim_student_sensitive", people)
+    events = people.crossJoin(spark.range(3)).select(
+        F.lit(6).alias("row_type"), "cpr_nr", F.lit(40).alias("event_type_code"), (F.col("id") + 20260901).cast("string").alias("event_date")
+    )
+    wh.stage("student_history", typed(events, staged("student_history")), lambda _: False)
+    load = DailyLoad(wh, DAY1)
+    monkeypatch.setattr(load, "cleanup", lambda run: None)
+    monkeypatch.setattr(load, "steps", lambda: [("fact_student_event", "Load fact_student_event", load.student_event)])
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set(names[0], "200k")
+    seen = len(executions(spark))
+    try:
+        load.run()
+        after = [spark.conf.get(name, None) for name in names]
+    finally:
+        spark.conf.unset(names[0])
+    assert after == ["200k", None]
+    assert rows(wh.table("fact_student_event").agg(F.count("*"), F.countDistinct("student_id"))) == [(60_000, 20_000)]
+    found = next(plan for plan in executions(spark)[seen:] if "cpr_nr" in plan).split("Initial Plan")[0]
+    # People meet the rows by a shuffle; the handful of event types is broadcast.
+    assert found.count("SortMergeJoin") == 1 and found.count("BroadcastHashJoin") == 1
+
+
 def test_one_field_rewrites_one_part(spark, tmp_path, rows):
     wh = Warehouse(spark, str(tmp_path))
     names = "student_id int, field_name string, field_value string"
