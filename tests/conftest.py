@@ -12,6 +12,8 @@ def spark():
             "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            # Some tests look at the plans of their queries, also where a thousand have run before.
+            "spark.sql.ui.retainedExecutions": "10000",
         },
     )
     session.sparkContext.setLogLevel("OFF")
